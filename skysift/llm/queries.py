@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from skysift.functions.mac import canonical_mac
 from skysift.llm.digests import frame_percentiles
 from skysift.llm.groups import connected_groups
+from skysift.llm.leakage import leaked_items
+from skysift.llm.packing import pack, token_counts, tokenizer_files
 from skysift.llm.patterns import frequent_patterns
 from skysift.sources.tables import table
 
@@ -42,12 +44,40 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return connected_groups(left.unionByName(right)).select(F.col("v").alias("source_mac"), F.col("group").alias("group_mac"))
 
 
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    """Which tokens of which document lie in which container of 2,048 tokens."""
+    texts = table(spark, d, "documents").select(F.col("doc_id").alias("item"), "text")
+    return pack(token_counts(texts, *tokenizer_files())).withColumnsRenamed({"item": "doc_id", "begin": "token_begin", "end": "token_end", "size": "tokens"})
+
+
+def p8_room(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, tokens in them and the share of room left."""
+    fill = p8_packed(spark, d).groupBy("container").agg(F.sum("tokens").alias("tokens"))
+    return fill.agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("fullest"), (1 - F.sum("tokens") / (F.count("*") * 2048)).alias("room_share"))
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leaked_items(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).select("doc_id", "item_id")
+
+
+def p9_evidence(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d)
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_supports": p2_supports,
     "p6_found": p6_found,
     "p6_percentiles": p6_percentiles,
     "p7_found": p7_found,
+    "p8_packed": p8_packed,
+    "p8_room": p8_room,
+    "p9_found": p9_found,
+    "p9_evidence": p9_evidence,
 }
 
 _MAC = "CASE WHEN length(regexp_replace(lower({0}), '[^0-9a-f]', '', 'g')) = 12 THEN array_to_string(list_transform(range(6), lambda i: substr(regexp_replace(lower({0}), '[^0-9a-f]', '', 'g'), CAST(2*i+1 AS BIGINT), 2)), ':') ELSE lower(trim({0})) END"
