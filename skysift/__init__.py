@@ -1 +1,8 @@
 """skysift: Spark-native analytics for wireless and proxy telemetry."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the query: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
