@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skysift.functions.mac import canonical_mac
 from skysift.llm.digests import frame_percentiles
 from skysift.llm.groups import connected_groups
+from skysift.llm.language import corrected_languages, document_languages, segment_languages
 from skysift.llm.leakage import leaked_items
 from skysift.llm.packing import pack, token_counts, tokenizer_files
 from skysift.llm.patterns import frequent_patterns
@@ -68,6 +69,18 @@ def p9_evidence(spark: SparkSession, d: str) -> DataFrame:
     return _leaks(spark, d)
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return corrected_languages(document_languages(segment_languages(table(spark, d, "documents")))).select("doc_id", "lang")
+
+
+def p10_documents(spark: SparkSession, d: str) -> DataFrame:
+    return document_languages(segment_languages(table(spark, d, "documents")))
+
+
+def p10_segments(spark: SparkSession, d: str) -> DataFrame:
+    return segment_languages(table(spark, d, "documents"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_supports": p2_supports,
@@ -78,6 +91,9 @@ QUERIES = {
     "p8_room": p8_room,
     "p9_found": p9_found,
     "p9_evidence": p9_evidence,
+    "p10_found": p10_found,
+    "p10_documents": p10_documents,
+    "p10_segments": p10_segments,
 }
 
 _MAC = "CASE WHEN length(regexp_replace(lower({0}), '[^0-9a-f]', '', 'g')) = 12 THEN array_to_string(list_transform(range(6), lambda i: substr(regexp_replace(lower({0}), '[^0-9a-f]', '', 'g'), CAST(2*i+1 AS BIGINT), 2)), ':') ELSE lower(trim({0})) END"
