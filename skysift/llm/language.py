@@ -173,14 +173,10 @@ def _word_counts(model: TextModel | None):
         total: dict[tuple[str, str], int] = defaultdict(int)
         for b in batches:
             for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for _, _, w in sentences(text):
-                    x = label
-                    if model is not None:
-                        s = model.score(w)
-                        best = int(s.argmax())
-                        if len(s) > 1 and s[best] - np.partition(s, -2)[-2] < 2:
-                            continue
-                        x = model.languages[best]
+                found = sentences(text)
+                best = in_context(np.array([model.score(w) for _, _, w in found])).argmax(axis=1) if model is not None and found else None
+                for k, (_, _, w) in enumerate(found):
+                    x = label if best is None else model.languages[int(best[k])]
                     for a in w:
                         total[a, x] += 1
         if total:
