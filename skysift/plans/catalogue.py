@@ -1,8 +1,8 @@
 """All queries of the reference's operators."""
 
-from skysift.plans import frames, payloads
+from skysift.plans import frames, ledger, payloads
 
 QUERIES, ORACLES = {}, {}
-for _module in (frames, payloads):
+for _module in (frames, payloads, ledger):
     QUERIES |= _module.query.queries
     ORACLES |= _module.query.oracles
