@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from skysift.functions.mac import epoch_us
 from skysift.operators.ordered import ordered_ranges
+from skysift.operators.spread import width
 from skysift.session import materialize
 
 BUCKET_US = 30 * 60 * 1_000_000
@@ -216,7 +217,7 @@ def signal_anomalies(frames: DataFrame) -> DataFrame:
     possible = (F.col("value") > LOWEST) & (F.col("value") < HIGHEST)
     cells = readings.where(possible).groupBy("sensor_id", bucket.alias("bucket"), "value").agg(F.count("*").alias("n"))
     near = F.array_distinct(F.array(*(F.floor((F.col("bucket") + d) / BLOCK).cast("long") for d in (-HALO, 0, HALO))))
-    model = materialize(cells.withColumn("block", F.explode(near)).groupBy("sensor_id", "block").applyInPandas(_fit, MODEL), "signal-model")
+    model = materialize(cells.withColumn("block", F.explode(near)).repartition(width(frames), "sensor_id", "block").groupBy("sensor_id", "block").applyInPandas(_fit, MODEL), "signal-model")
     limits = model.where("run_limit is not null").groupBy("sensor_id").agg(F.max("run_limit").alias("run_limit"))
     spikes = model.where("bucket is not null").select("sensor_id", "bucket", "value")
     flags = (
