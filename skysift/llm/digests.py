@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from skysift.functions.mac import epoch_us
 from skysift.operators.ordered import ordered_ranges
+from skysift.operators.spread import width
 from skysift.session import materialize
 
 #: Scale of the size function; a digest holds at most about half as many centroids.
@@ -142,7 +143,7 @@ def day_percentiles(values: DataFrame) -> DataFrame:
     schema = "source string, day string, metric string, mean array<double>, weight array<double>"
     out = "source string, metric string, day string, n long, " + ", ".join(f"{w}{p} double" for w in ("day", "all") for p in PCTS)
     cols = ["source", "day", "metric", "n", *(f"{w}{p}" for w in ("day", "all") for p in PCTS)]
-    return values.mapInArrow(_digests, schema).groupBy("source", "metric").applyInPandas(_combine, out).select(cols)
+    return values.mapInArrow(_digests, schema).repartition(width(values), "source", "metric").groupBy("source", "metric").applyInPandas(_combine, out).select(cols)
 
 
 def certified(values: DataFrame, estimates: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skysift.operators.spread import spread
 from skysift.session import materialize
 
 #: Labelled documents that the text model is fitted on, at most about.
@@ -37,7 +38,7 @@ ISO_THREE = {
 NO_LABEL = ("", "und", "unknown", "mul", "zxx", "none", "null")
 
 _LOG = re.compile(r"^[^\n]*$", re.M)
-_SENTENCE = re.compile(r"[^\x00\s](?:[^\x00]*?)(?:[.!?…]+[\"'»”’)\]]*(?=\s|\x00|\Z)|(?=\x00)|\Z)")
+_END = re.compile(r"[.!?…]+[\"'»”’)\]]*(?=\s|\x00|\Z)|\x00+|\Z")
 _NATURAL = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
 _EDGE = ".,;:!?…\"'()[]«»“”„‘’–—-•>*"
 _FOLD = str.maketrans({"ł": "l", "ß": "ss", "ø": "o", "æ": "ae", "œ": "oe", "đ": "d", "’": "'"})
@@ -57,13 +58,21 @@ def fold(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
 
 
-def natural_words(text: str) -> list[str]:
+_WORDS: dict[str, str | None] = {}
+
+
+def natural_words(tokens: list[str]) -> list[str]:
     """Folded words; tokens with digits, underscores or signs inside have no language."""
     out = []
-    for t in text.split():
-        t = t.strip(_EDGE)
-        if t and _NATURAL.fullmatch(t):
-            out.append(fold(t))
+    for t in tokens:
+        w = _WORDS.get(t, "")
+        if w == "":
+            bare = t.strip(_EDGE)
+            w = fold(bare) if bare and _NATURAL.fullmatch(bare) else None
+            if len(_WORDS) < 200_000:
+                _WORDS[t] = w
+        if w:
+            out.append(w)
     return out
 
 
@@ -83,11 +92,16 @@ def sentences(text: str | None) -> list[tuple[int, int, list[str]]]:
     text = text.replace("\x00", " ")
     if "\n" in text:
         text = _LOG.sub(lambda m: "\x00" * len(m[0]) if _is_log(m[0]) else m[0], text).replace("\n", " ")
-    out = []
-    for m in _SENTENCE.finditer(text):
-        w = natural_words(m[0])
-        if len(w) >= 2 and 2 * len(w) >= len(m[0].split()):
-            out.append((m.start(), m.end(), w))
+    out, begin = [], 0
+    for m in _END.finditer(text):
+        log = m[0][:1] == "\x00"
+        end = m.start() if log else m.end()
+        piece = text[begin:end]
+        tokens = piece.split()
+        w = natural_words(tokens)
+        if len(w) >= 2 and 2 * len(w) >= len(tokens):
+            out.append((end - len(piece.lstrip()), end - len(piece) + len(piece.rstrip()), w))
+        begin = m.end()
     return out
 
 
@@ -141,11 +155,18 @@ class TextModel:
                 self.cache[w] = v
         return v
 
-    def score(self, words: list[str]) -> np.ndarray:
-        """Log likelihood of each language, up to a constant."""
-        if not words:
-            return np.zeros(len(self.languages))
-        return np.sum([self.word(w) for w in words], axis=0)
+    def scores(self, sentences: list[list[str]]) -> np.ndarray:
+        """Log likelihood of each language, up to a constant: a row for each list of words."""
+        at: dict[str, int] = {}
+        flat = np.fromiter((at.setdefault(w, len(at)) for s in sentences for w in s), np.int64)
+        size = np.array([len(s) for s in sentences], np.int64)
+        out = np.zeros((len(sentences), len(self.languages)))
+        if len(flat):
+            table = np.array([self.word(w) for w in at])
+            first = np.concatenate([[0], np.cumsum(size)[:-1]])
+            some = size > 0
+            out[some] = np.add.reduceat(table[flat], first[some], axis=0)
+        return out
 
 
 def in_context(score: np.ndarray) -> np.ndarray:
@@ -166,18 +187,31 @@ def in_context(score: np.ndarray) -> np.ndarray:
     return score + np.log((other + CONTEXT_WEIGHT / k) / (other.sum(axis=1, keepdims=True) + CONTEXT_WEIGHT))
 
 
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sentences of labelled texts, as lists of words."""
+    for b in batches:
+        words = [[w for _, _, w in sentences(t)] for t in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.list_(pa.list_(pa.string())))], ["label", "sentences"])
+
+
+def _by_text(found: list[list[list[str]]], scores: np.ndarray) -> list[np.ndarray]:
+    """Scores of the sentences of each text, in context."""
+    cut = np.cumsum([len(f) for f in found])[:-1] if found else []
+    return [in_context(s) for s in np.split(scores, cut)]
+
+
 def _word_counts(model: TextModel | None):
     """Partial (word, language, count) of sample sentences, labelled by document or by model."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[str, str], int] = defaultdict(int)
         for b in batches:
-            for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = sentences(text)
-                best = in_context(np.array([model.score(w) for _, _, w in found])).argmax(axis=1) if model is not None and found else None
-                for k, (_, _, w) in enumerate(found):
-                    x = label if best is None else model.languages[int(best[k])]
-                    for a in w:
+            found = b.column(1).to_pylist()
+            best = _by_text(found, model.scores([w for f in found for w in f])) if model is not None else None
+            for i, label in enumerate(b.column(0).to_pylist()):
+                for k, words in enumerate(found[i]):
+                    x = label if best is None else model.languages[int(best[i][k].argmax())]
+                    for a in words:
                         total[a, x] += 1
         if total:
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in total]), pa.array([x for _, x in total]), pa.array(list(total.values()), pa.int64())], ["word", "language", "n"])
@@ -195,7 +229,8 @@ def fit(documents: DataFrame, most: int = FIT_DOCUMENTS) -> TextModel:
     n = labelled.count()
     share = min(1.0, most / max(n, 1))
     sample = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("label", "text")
-    sample = materialize(sample.repartition(max(1, min(16, int(n * share) // 500 + 1))), "language-sample")
+    sample = sample.repartition(max(1, min(64, int(n * share) // 500 + 1)))
+    sample = materialize(sample.mapInArrow(_split, "label string, sentences array<array<string>>"), "language-sample")
     model = None
     for _ in range(ROUNDS):
         rows = sample.mapInArrow(_word_counts(model), "word string, language string, n long").groupBy("word", "language").agg(F.sum("n").alias("n"))
@@ -212,12 +247,11 @@ def _segments(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in batches:
-            row, number, begin, end, size, score = [], [], [], [], [], []
-            for r, text in enumerate(b.column(3).to_pylist()):
-                found = sentences(text)
-                if found:
-                    score.extend(in_context(np.array([m.score(w) for _, _, w in found])))
-                for k, (a, z, w) in enumerate(found):
+            row, number, begin, end, size = [], [], [], [], []
+            found = [sentences(t) for t in b.column(3).to_pylist()]
+            score = [x for s in _by_text(found, m.scores([w for f in found for _, _, w in f])) for x in s]
+            for r, f in enumerate(found):
+                for k, (a, z, w) in enumerate(f):
                     row.append(r), number.append(k), begin.append(a), end.append(z), size.append(len(w))
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(3)), *(pa.array(x, pa.int32()) for x in (number, begin, end, size)), pa.array(score, pa.list_(pa.float32()))], names)
@@ -249,7 +283,7 @@ def segment_languages(documents: DataFrame, model: TextModel | None = None) -> D
     if not k:
         return spark.createDataFrame([], empty)
     schema = "doc_id long, source string, label string, segment int, begin int, end int, words int, score array<float>"
-    rows = materialize(plain.mapInArrow(_segments(spark.sparkContext.broadcast(model)), schema), "segments")
+    rows = materialize(spread(plain, "doc_id").mapInArrow(_segments(spark.sparkContext.broadcast(model)), schema), "segments")
     rows = rows.withColumn("source", F.coalesce("source", F.lit(""))).withColumn("suffix", F.regexp_replace("source", r"^[^-./@]*[-./@]", "")).withColumn("label", F.coalesce("label", F.lit("")))
     best = F.array_position("score", F.array_max("score")).cast("int")
     ones = [F.sum((best == i + 1).cast("double")).alias(f"n{i}") for i in range(k)]

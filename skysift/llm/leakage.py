@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skysift.operators.spread import spread
+
 #: Words of a seed, which also is the least length of a tile.
 SEED = 3
 #: Consecutive words that are a leak by themselves.
@@ -201,6 +203,7 @@ def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
     bodies = item_bodies(items)
     total = bodies.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES)
+    texts = spread(documents.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null"), "doc_id")
     result = None
     for b in range(blocks):
         mine = bodies.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
@@ -213,7 +216,7 @@ def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
                     t, i, longest, share = zip(*rows)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(t)), pa.array(i, pa.int64()), pa.array(longest, pa.int32()), pa.array(share, pa.float64())], ["doc_id", "item_id", "longest_run", "share_in_order"])
 
-        part = documents.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null").mapInArrow(run, "doc_id long, item_id long, longest_run int, share_in_order double")
+        part = texts.mapInArrow(run, "doc_id long, item_id long, longest_run int, share_in_order double")
         result = part if result is None else result.unionByName(part)
     if result is None:
         return spark.createDataFrame([], "doc_id long, item_id long, longest_run int, share_in_order double")

@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skysift.operators.spread import spread
 from skysift.session import materialize
 
 CAPACITY = 2048
@@ -43,7 +44,7 @@ def _count(vocabulary: str, pattern: str):
 
 def token_counts(texts: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """(item, size): tokens of the whole text of ``texts(item long, text string)``; null text: 0."""
-    return texts.select("item", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_count(vocabulary, pattern), "item long, size long")
+    return spread(texts.select("item", F.coalesce("text", F.lit("")).alias("text")), "item").mapInArrow(_count(vocabulary, pattern), "item long, size long")
 
 
 class BestFit:

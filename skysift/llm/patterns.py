@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skysift.operators.spread import width
 from skysift.session import materialize
 
 #: Cells of one table of next positions (sequences x places x tokens).
@@ -136,7 +137,7 @@ def frequent_patterns(sequences: DataFrame, min_share: float, min_len: int, max_
         suffix = F.slice("tokens", F.array_position("tokens", F.col("root")).cast("int") + 1, F.size("tokens"))
         suffix = F.transform(suffix, lambda t: F.element_at(known, t))
         shards = projected.select("root", suffix.alias("suffix"), "weight", "entity").where("size(suffix) > 0").groupBy("root", "suffix", "entity").agg(F.sum("weight").alias("weight"))
-        shards = materialize(shards.select("root", "suffix", "weight", "entity").repartition(F.col("root"), F.xxhash64("suffix")).sortWithinPartitions("root"), "suffixes")
+        shards = materialize(shards.select("root", "suffix", "weight", "entity").repartition(width(sequences), F.col("root"), F.xxhash64("suffix")).sortWithinPartitions("root"), "suffixes")
     for k in range(2, max_len + 1):
         if not result[k - 1]:
             break
