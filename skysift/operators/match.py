@@ -33,9 +33,10 @@ def null_tolerant_anti(rows: DataFrame, patterns: DataFrame, columns: list[str])
     patterns = patterns.select(*columns).distinct()
     if patterns.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return rows.alias("r").join(F.broadcast(patterns.alias("p")), _condition("r", "p", columns), "left_anti")
+    order = rows.columns
     for named, part in _masks(patterns, columns):
         if named:
-            rows = rows.join(part.select(*named), named, "left_anti")
+            rows = rows.join(part.select(*named), named, "left_anti").select(*order)
         elif part.limit(1).count():
             rows = rows.where("false")
     return rows
