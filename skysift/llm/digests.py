@@ -23,35 +23,53 @@ METRICS = ("tsft_delta_us", "wall_clock_delta_ms")
 PCTS = (50, 95)
 
 
-def cluster(mean: np.ndarray, weight: np.ndarray, delta: int = DELTA) -> tuple[np.ndarray, np.ndarray]:
+#: A digest: centroid means in order, weights, and which centroids stand for one value only.
+Digest = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def of_values(values: np.ndarray) -> Digest:
+    mean, weight = np.unique(values, return_counts=True)
+    return cluster(mean, weight.astype(float), np.ones(len(mean), bool))
+
+
+def cluster(mean: np.ndarray, weight: np.ndarray, pure: np.ndarray, delta: int = DELTA) -> Digest:
     """Re-cluster sorted centroids: one cluster spans at most 1 on the arcsine scale.
 
     The scale is steep at both ends, so clusters there are small and extreme percentiles are
-    exact or nearly so. With few values every centroid is a single value.
+    exact or nearly so. Few values, and values that repeat a lot, keep centroids of their own.
     """
+    same = np.append(False, (mean[1:] == mean[:-1]) & pure[1:] & pure[:-1])
+    if same.any():
+        at = np.flatnonzero(~same)
+        mean, weight, pure = mean[at], np.add.reduceat(weight, at), pure[at]
     if len(mean) <= delta // 2:
-        return mean, weight
+        return mean, weight, pure
     total = np.cumsum(weight)
     q = (total - weight / 2) / total[-1]
     k = np.floor(delta / (2 * math.pi) * (np.arcsin(2 * q - 1) + math.pi / 2)).astype(np.int64)
     at = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
     w = np.add.reduceat(weight, at)
-    return np.add.reduceat(mean * weight, at) / w, w
+    alone = np.diff(np.append(at, len(mean))) == 1
+    return np.add.reduceat(mean * weight, at) / w, w, alone & pure[at]
 
 
-def merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    mean, weight = np.concatenate([m for m, _ in parts]), np.concatenate([w for _, w in parts])
+def merge(parts: list[Digest]) -> Digest:
+    mean, weight, pure = (np.concatenate([p[i] for p in parts]) for i in range(3))
     order = np.argsort(mean, kind="stable")
-    return cluster(mean[order], weight[order])
+    return cluster(mean[order], weight[order], pure[order].astype(bool))
 
 
-def quantile(mean: np.ndarray, weight: np.ndarray, p: float) -> float:
-    """Linear interpolation at rank p * (n - 1) between the middle ranks of the centroids.
+def quantile(mean: np.ndarray, weight: np.ndarray, pure: np.ndarray, p: float) -> float:
+    """Linear interpolation at rank p * (n - 1).
 
-    Exact, and equal to the usual interpolated percentile, while all weights are 1.
+    A centroid of one value covers all its ranks, another stands at its middle rank. Exact,
+    and equal to the usual interpolated percentile, while all centroids are of one value.
     """
-    total = np.cumsum(weight)
-    return float(np.interp(p * (total[-1] - 1), total - weight + (weight - 1) / 2, mean))
+    end = np.cumsum(weight)
+    first, last = end - weight, end - 1
+    middle = (first + last) / 2
+    ranks = np.stack([np.where(pure, first, middle), np.where(pure, last, middle)], axis=1).ravel()
+    return float(np.interp(p * (end[-1] - 1), ranks, np.repeat(mean, 2)))
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,14 +92,13 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One digest per group and stretch of rows; rows come sorted, so one group is open."""
-    names = ["source", "day", "metric", "mean", "weight"]
+    names = ["source", "day", "metric", "mean", "weight", "pure"]
     open_, held = None, [[] for _ in METRICS]
 
     def close():
         for metric, parts in zip(METRICS, held):
             if parts:
-                m, w = merge(parts)
-                yield pa.RecordBatch.from_arrays([pa.array([open_[0]]), pa.array([open_[1]]), pa.array([metric]), pa.array([m]), pa.array([w])], names)
+                yield pa.RecordBatch.from_arrays([pa.array([open_[0]]), pa.array([open_[1]]), pa.array([metric]), *(pa.array([x]) for x in merge(parts))], names)
 
     for b in batches:
         n = b.num_rows
@@ -99,8 +116,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i in range(len(METRICS)):
                 v = b.column(2 + i)[int(a) : int(z)].drop_null().to_numpy(zero_copy_only=False).astype(float)
                 if len(v):
-                    value, count = np.unique(v, return_counts=True)
-                    held[i].append(cluster(value, count.astype(float)))
+                    held[i].append(of_values(v))
                     if len(held[i]) > 16:
                         held[i] = [merge(held[i])]
     yield from close()
@@ -110,7 +126,7 @@ def _combine(pdf: pd.DataFrame) -> pd.DataFrame:
     """Percentiles of each day and of all days of one source and metric."""
     rows, everything = [], []
     for day, part in pdf.groupby("day"):
-        d = merge(list(zip(part["mean"], part["weight"])))
+        d = merge(list(zip(part["mean"], part["weight"], part["pure"])))
         everything.append(d)
         rows.append((day, d[1].sum(), *(quantile(*d, p / 100) for p in PCTS)))
     whole = merge(everything)
@@ -140,7 +156,7 @@ def day_percentiles(values: DataFrame) -> DataFrame:
     added. Groups are contiguous stretches of range partitions: a hot source is spread over
     many tasks, and what is merged is one digest per stretch. Null values do not count.
     """
-    schema = "source string, day string, metric string, mean array<double>, weight array<double>"
+    schema = "source string, day string, metric string, mean array<double>, weight array<double>, pure array<boolean>"
     out = "source string, metric string, day string, n long, " + ", ".join(f"{w}{p} double" for w in ("day", "all") for p in PCTS)
     cols = ["source", "day", "metric", "n", *(f"{w}{p}" for w in ("day", "all") for p in PCTS)]
     return values.mapInArrow(_digests, schema).repartition(width(values), "source", "metric").groupBy("source", "metric").applyInPandas(_combine, out).select(cols)
