@@ -99,10 +99,10 @@ def supersede(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("q35_missing_jobs", """
-SELECT DISTINCT e.dedupe_key AS document_id, 'event' AS kind, 'all-MiniLM-L6-v2' AS model, 100 AS priority, 5 AS max_attempts FROM sync_events e WHERE e.payload IS NOT NULL AND NOT EXISTS (SELECT 1 FROM broker_records b WHERE b.dedupe_key = e.dedupe_key AND b.payload_sha256 = e.payload_sha256 AND b.message_key IS NOT NULL AND b.consumer_group = 'coordinator-ingest')""")
+SELECT DISTINCT e.dedupe_key AS document_id, 'event' AS kind, 'all-MiniLM-L6-v2' AS model, 100 AS priority, 5 AS max_attempts FROM sync_events e WHERE e.payload IS NOT NULL AND NOT EXISTS (SELECT 1 FROM broker_records b WHERE b.dedupe_key = e.dedupe_key AND b.payload_sha256 = e.payload_sha256 AND b.message_key IS NOT NULL AND b.consumer_group IS NOT NULL)""")
 def missing_jobs(spark: SparkSession, d: str) -> DataFrame:
     """Documents without a job of this kind and model; the constants filter the right side."""
-    jobs = table(spark, d, "broker_records").where("message_key is not null and consumer_group = 'coordinator-ingest'").select("dedupe_key", "payload_sha256")
+    jobs = table(spark, d, "broker_records").where("message_key is not null and consumer_group is not null").select("dedupe_key", "payload_sha256")
     e = table(spark, d, "sync_events").where("payload is not null").select("dedupe_key", "payload_sha256")
     fresh = e.join(jobs, ["dedupe_key", "payload_sha256"], "left_anti").select(F.col("dedupe_key").alias("document_id")).distinct()
     return fresh.select("document_id", F.lit("event").alias("kind"), F.lit("all-MiniLM-L6-v2").alias("model"), F.lit(100).alias("priority"), F.lit(5).alias("max_attempts"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skysift.functions.frames import MANAGEMENT, SPELLINGS, TOKENS, band, frame_token
 from skysift.functions.ids import stable_id
 from skysift.functions.mac import canonical_mac, epoch_us
+from skysift.operators.pairs import neighbour_counts
 from skysift.plans.problems import canon_sql
 from skysift.plans.registry import Registry
 from skysift.sources.tables import table
@@ -157,10 +158,9 @@ def session_sequence(spark: SparkSession, d: str) -> DataFrame:
 
 def transitions(rows: DataFrame) -> DataFrame:
     """Counts and probabilities of token pairs over all sessions, with the vocabulary size."""
-    token = frame_token(F.col("frame_type"), F.col("frame_subtype")).alias("previous_token")
-    along = Window.partitionBy("session_key").orderBy("observed_at", "dedupe_key")
-    pairs = rows.where("session_key is not null").select("session_key", "observed_at", "dedupe_key", token).withColumn("next_token", F.lead("previous_token").over(along)).where("next_token is not null")
-    counts = pairs.groupBy("previous_token", "next_token").agg(F.count("*").alias("transition_count"))
+    token = frame_token(F.col("frame_type"), F.col("frame_subtype"))
+    pairs = neighbour_counts(rows.select(F.col("session_key").alias("key"), epoch_us(F.col("observed_at")).alias("ts_us"), F.col("dedupe_key").alias("tie"), token.alias("value")))
+    counts = pairs.select(F.col("previous").alias("previous_token"), F.col("next").alias("next_token"), F.col("n").alias("transition_count"))
     total = F.sum("transition_count").over(Window.partitionBy("previous_token"))
     return counts.withColumn("previous_total", total).withColumn("probability", F.col("transition_count") / F.nullif("previous_total", F.lit(0))).withColumn("vocabulary", F.lit(len(TOKENS)))
 

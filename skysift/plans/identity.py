@@ -165,6 +165,14 @@ def shadow_alerts(spark: SparkSession, d: str) -> DataFrame:
     return c.groupBy("source_mac").agg(F.count("*").alias("occurrences"), epoch_us(F.min("observed_at")).alias("first_us"), epoch_us(F.max("observed_at")).alias("last_us"), F.max_by("sensor_id", order).alias("sensor_id"))
 
 
+@query("q12b_shadow_alert_json")
+def shadow_alert_json(spark: SparkSession, d: str) -> DataFrame:
+    """Shadow alerts as JSON messages; members without a value are kept as null."""
+    a = shadow_alerts(spark, d)
+    body = F.struct("source_mac", "first_us", "last_us", "occurrences", "sensor_id", F.lit(None).cast("string").alias("ssid"), F.lit("unauthorized_network").alias("reason"))
+    return a.select("source_mac", F.to_json(body, {"ignoreNullFields": "false"}).alias("alert_json"))
+
+
 @query("q21_dns_threat", f"""
 WITH {_M.format('proxy.events')}, b AS (SELECT {_TEXT.format('host')} AS host, TRY_CAST(json_extract_string(payload, '$.time') AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS t, coalesce({_LONG.format('bytes_up')}, 0) + coalesce({_LONG.format('bytes_down')}, 0) AS n
  FROM r WHERE json_extract_string(payload, '$.blocked') IN ('true', '1') AND json_type(payload, '$.blocked') <> 'VARCHAR'),

@@ -140,6 +140,31 @@ def backlog_states(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "sync_events").groupBy("stream_name", "dedupe_key").agg(F.when(done, "synced").when(failed, "sync_failed").otherwise("pending").alias("backlog_status"), F.max("attempt_count").alias("attempts"))
 
 
+def backlog_save(backlog: DataFrame, batch: DataFrame) -> DataFrame:
+    """Payload and stage of (dedupe_key, stream_name) are overwritten; a synced entry stays synced."""
+    keep = lambda old, new: F.when(old == "synced", old).otherwise(new)
+    return merge_rows(backlog, batch, ["dedupe_key", "stream_name"], {"status": keep, "attempts": "keep", "last_error": "keep", "next_attempt_us": "keep"})
+
+
+def backlog_synced(backlog: DataFrame, keys: DataFrame) -> DataFrame:
+    marks = keys.select("dedupe_key", "stream_name").distinct().withColumn("mark", F.lit(True))
+    return backlog.join(marks, ["dedupe_key", "stream_name"], "left").withColumn("status", F.when(F.col("mark"), F.lit("synced")).otherwise(F.col("status"))).select(*backlog.columns)
+
+
+def backlog_failed(backlog: DataFrame, errors: DataFrame, now_us: int, delay_us: int) -> DataFrame:
+    """Pending and failed entries get the error, one more attempt and their next time."""
+    marks = errors.select("dedupe_key", "stream_name", F.col("error").alias("new_error")).dropDuplicates(["dedupe_key", "stream_name"])
+    hit = F.col("new_error").isNotNull() & F.col("status").isin("pending", "sync_failed")
+    changed = {"status": F.lit("sync_failed"), "attempts": F.col("attempts") + 1, "last_error": F.col("new_error"), "next_attempt_us": F.lit(now_us + delay_us)}
+    joined = backlog.join(marks, ["dedupe_key", "stream_name"], "left")
+    return joined.select(*(F.when(hit, changed[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c) for c in backlog.columns))
+
+
+def backlog_prune(backlog: DataFrame, before_us: int) -> DataFrame:
+    """Without synced entries older than ``before_us``."""
+    return backlog.where(~((F.col("status") == "synced") & (F.col("saved_us") < before_us)))
+
+
 # Alert types, the columns that become the first and second address, and the details kept.
 ALERTS = {
     "attack_sequence": (None, None, ("attack_chain", "first_event_at", "last_event_at", "factor_breakdown", "explanation")),

@@ -54,6 +54,6 @@ def dlq_split(spark: SparkSession, d: str) -> DataFrame:
     room = _room(spark, "st03")
     request = F.to_json(F.struct("stream_name", F.col("message_key").alias("dedupe_key"), F.concat(F.lit("inline://"), "stream_name").alias("payload_ref"), F.date_format(F.col("received_at").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("observed_at")))
     records = stream_of(spark, d, "broker_records").select("topic", F.col("partition_id").alias("partition"), F.col("record_offset").alias("offset"), request.alias("value"))
-    bad = dead_letters(decode_requests(records, _STREAMS), "coordinator-v1")
+    bad = dead_letters(decode_requests(records, _STREAMS), "ingest-v1")
     bad.writeStream.format("parquet").option("path", f"{room}/dlq").option("checkpointLocation", f"{room}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(bad.schema).parquet(f"{room}/dlq").select("key", F.col("value").isNotNull().alias("has_value"))

@@ -48,8 +48,8 @@ class StreamConfig:
     """Settings of an ingest stream; validated before anything starts."""
 
     streams: tuple[str, ...] = ()
-    topic: str = "sync.scan.request"
-    group: str = "coordinator-v1"
+    topic: str = "ledger.requests"
+    group: str = "ingest-v1"
     max_offsets_per_trigger: int = 500
     watermark_minutes: int = 60
     problems: list[str] = field(default_factory=list)

@@ -181,3 +181,24 @@ def test_nested_equals_recursion(spark):
 
 def test_shredding_nothing():
     assert len(Shredded(pa.array([], pa.string())).open) == 0
+
+
+def test_neighbour_counts(spark):
+    from collections import Counter
+
+    from skysift.operators.pairs import neighbour_counts
+
+    rng = random.Random(9)
+    rows = [("hot" if rng.random() < 0.5 else f"s{rng.randrange(20)}", i, f"k{i}", rng.choice("abc")) for i in range(2000)] + [(None, 1, "x", "a"), ("s1", 5, "y", None)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "31")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = {(r.previous, r.next): r.n for r in neighbour_counts(spark.createDataFrame(rows, "key string, ts_us long, tie string, value string")).collect()}
+    for c in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.coalescePartitions.enabled"):
+        spark.conf.unset(c)
+    by, want = {}, Counter()
+    for k, _, _, v in rows:
+        if k and v:
+            by.setdefault(k, []).append(v)
+    for v in by.values():
+        want.update(zip(v, v[1:]))
+    assert got == dict(want)
