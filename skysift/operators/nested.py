@@ -143,8 +143,24 @@ def _joined(up: pa.Array, name: pa.Array) -> np.ndarray:
     return _cat(up, pc.if_else(pc.equal(up, pa.scalar("", up.type)), "", "."), name)
 
 
-def _node_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: Bytes of JSON shredded at once: the kernels' arrays take some tens of bytes for each.
+CHUNK_BYTES = 1 << 20
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches of about CHUNK_BYTES of text, one row at least."""
     for b in batches:
+        end = np.cumsum(pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < b.num_rows:
+            done = end[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(end, done + CHUNK_BYTES, side="right")))
+            yield b.slice(at, stop - at)
+            at = stop
+
+
+def _node_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in _chunks(batches):
         s = Shredded(b.column(2))
         if not len(s.open):
             continue
@@ -163,7 +179,7 @@ def _node_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _value_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in _chunks(batches):
         s = Shredded(b.column(2))
         if not len(s.open):
             continue

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skysift.operators import nested
 from skysift.operators.deliveries import WORDS, QuotientTable, mark_surplus, pack, permute
 from skysift.operators.nested import Shredded, nested_nodes, nested_values
 from skysift.operators.sessions import sessionize
@@ -156,7 +157,7 @@ def random_json(rng, depth=0):
     return {rng.choice(["a", "b", 'k"q', "d\\", "e.f", "é", "z"]): random_json(rng, depth + 1) for _ in range(rng.randrange(4))}
 
 
-def test_nested_equals_recursion(spark):
+def test_nested_equals_recursion(spark, monkeypatch):
     rng = random.Random(6)
     docs = [random_json(rng) for _ in range(600)]
     docs = [x if isinstance(x, dict | list) else [x, {"a": [x, {"b": [[{"c": x}]]}]}] for x in docs]
@@ -174,6 +175,8 @@ def test_nested_equals_recursion(spark):
         if key and key.startswith("k"):
             values += [(key, a, b, json.dumps(c, sort_keys=True)) for a, b, c in v]
     assert got == nodes
+    monkeypatch.setattr(nested, "CHUNK_BYTES", 700)
+    assert {(r.dedupe_key, r.node_path, r.parent_path) for r in nested_nodes(df).collect()} == nodes
     flat = [(r.dedupe_key, r.node_path, r.member, json.dumps(json.loads(r.value), sort_keys=True)) for r in nested_values(df).collect() if r.dedupe_key and r.dedupe_key.startswith("k")]
     assert sorted(flat) == sorted(values)
     assert nested_nodes(df.where("false")).count() == 0
