@@ -29,7 +29,7 @@ BLOCK, HALO = 28 * PER_DAY, 7 * PER_DAY
 POOL = 25
 #: Shorter runs are never looked at; every sensor's own limit is at least this.
 LEAST_RUN = 6
-MODEL = "sensor_id string, bucket long, value int, run_limit int"
+MODEL = "sensor_id string, bucket long, value int, residual int, n long"
 
 
 def weighted_median(x: np.ndarray, w: np.ndarray) -> float:
@@ -117,14 +117,23 @@ def run_limit(residual: np.ndarray, count: np.ndarray, alpha: float = 1e-3) -> i
 
 
 def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Outlying cells of a block's own buckets, then (bucket null) the counts of its own residuals."""
     pdf = pdf.sort_values(["bucket", "value"])
     bucket, value, count = (pdf[c].to_numpy() for c in ("bucket", "value", "n"))
+    own = bucket // BLOCK == pdf["block"].iloc[0]
+    if not own.any():
+        return pd.DataFrame(columns=["sensor_id", "bucket", "value", "residual", "n"])
     residual, _ = decompose(bucket, value, count)
-    bad = esd_outliers(residual, count) & (bucket // BLOCK == pdf["block"].iloc[0])
+    bad = esd_outliers(residual, count) & own
     sensor = pdf["sensor_id"].iloc[0]
-    cells = pd.DataFrame({"sensor_id": sensor, "bucket": bucket[bad], "value": value[bad], "run_limit": None})
-    limit = pd.DataFrame({"sensor_id": [sensor], "bucket": [None], "value": [None], "run_limit": [run_limit(residual, count)]})
-    return pd.concat([cells, limit]).astype({"bucket": "Int64", "value": "Int32", "run_limit": "Int32"})
+    cells = pd.DataFrame({"sensor_id": sensor, "bucket": bucket[bad], "value": value[bad], "residual": None, "n": None})
+    noise = pd.DataFrame({"residual": np.rint(residual[own]), "n": count[own]}).groupby("residual", as_index=False)["n"].sum()
+    noise = noise.assign(sensor_id=sensor, bucket=None, value=None)
+    return pd.concat([cells, noise]).astype({"bucket": "Int64", "value": "Int32", "residual": "Int32", "n": "Int64"})
+
+
+def _limit(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"sensor_id": pdf["sensor_id"].iloc[:1], "run_limit": run_limit(pdf["residual"].to_numpy(), pdf["n"].to_numpy())})
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +214,8 @@ def signal_anomalies(frames: DataFrame) -> DataFrame:
 
     The decomposition works on counts by (sensor, half hour, value), combined before the
     shuffle; their number does not depend on the number of readings. Each sensor is fitted in
-    blocks of 28 days with 7 days of overlap, so no task sees an unbounded group.
+    blocks of 28 days with 7 days of overlap, so no task sees an unbounded group. The noise of
+    a sensor is pooled over its blocks, each without its overlap: every reading counts once.
 
     Null sensor, signal, time or key: no reading. Repeated frames (equal key and time) count
     once in runs. Fewer than 10 readings in a block: no spikes. Empty input: no rows.
@@ -218,7 +228,8 @@ def signal_anomalies(frames: DataFrame) -> DataFrame:
     cells = readings.where(possible).groupBy("sensor_id", bucket.alias("bucket"), "value").agg(F.count("*").alias("n"))
     near = F.array_distinct(F.array(*(F.floor((F.col("bucket") + d) / BLOCK).cast("long") for d in (-HALO, 0, HALO))))
     model = materialize(cells.withColumn("block", F.explode(near)).repartition(width(frames), "sensor_id", "block").groupBy("sensor_id", "block").applyInPandas(_fit, MODEL), "signal-model")
-    limits = model.where("run_limit is not null").groupBy("sensor_id").agg(F.max("run_limit").alias("run_limit"))
+    noise = model.where("bucket is null").groupBy("sensor_id", "residual").agg(F.sum("n").alias("n"))
+    limits = noise.groupBy("sensor_id").applyInPandas(_limit, "sensor_id string, run_limit int")
     spikes = model.where("bucket is not null").select("sensor_id", "bucket", "value")
     flags = (
         readings.where(~possible).select("sensor_id", "dedupe_key", F.lit(1).alias("impossible"), F.lit(0).alias("stuck"), F.lit(0).alias("spike"))

@@ -56,6 +56,18 @@ def test_signal_anomalies_edge_cases(spark):
     assert len(flags(spark, same)) == 300  # one value throughout is stuck
 
 
+def test_a_block_of_one_reading_does_not_set_the_run_limit(spark):
+    rng = random.Random(7)
+    rows = [frame(i, "a", i * 3, round(rng.gauss(-60, 2.5))) for i in range(6000)]
+    run = range(2000, 2024)
+    for i in run:
+        rows[i] = rows[i][:3] + (-61,) + rows[i][4:]
+    for day in (26, 60):  # alone in its block: in the overlap of the others, and beyond it
+        got = flags(spark, rows + [frame(9000, "a", day * 1440, -60)])
+        stuck = {k for k, v in got.items() if v[1]}
+        assert {rows[i][0] for i in run} <= stuck and len(stuck) <= len(run) + 2
+
+
 def test_esd_and_run_limit():
     r = np.concatenate([np.random.default_rng(1).normal(0, 2, 5000), [30.0, -41.0]])
     assert set(np.flatnonzero(esd_outliers(r, np.ones(len(r), int)))) == {5000, 5001}
