@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skysift.functions.ids import consumer_contract, keyed_sha256, name_uuid, prefixed_name_uuid, sha256, source_version, stable_id
@@ -128,17 +128,26 @@ def stale_documents(spark: SparkSession, d: str) -> DataFrame:
     return t.join(newest, "profile_key").where("source_event_count < n").groupBy("source_mac").agg(F.count("*").alias("stale"))
 
 
+def _error_text(text: Column) -> Column:
+    n = F.col("doc_id").cast("string")
+    return F.concat(F.lit("failed at jdbc://user"), n, F.lit(":pw@db token="), n, F.lit(" Bearer a.b-"), n, F.lit("\n"), text)
+
+
 @query("q47_sanitize_text", r"""
 WITH t AS (SELECT doc_id, 'failed at jdbc://user' || doc_id || ':pw@db token=' || doc_id || ' Bearer a.b-' || doc_id || chr(10) || substr(text, 1, 300) AS x FROM documents WHERE regexp_full_match(text, '[\x09\x0A\x0D\x20-\x7E]*')),
 a AS (SELECT doc_id, regexp_replace(x, '[\x00-\x1F\x7F]', '', 'g') AS x FROM t), b AS (SELECT doc_id, regexp_replace(x, '://[^/]*?:([^@/]+)@', '://[REDACTED]@', 'g') AS x FROM a),
 c AS (SELECT doc_id, regexp_replace(x, '(?i)((?:authorization\s*[:=]?\s*)?Bearer\s+)([A-Za-z0-9._\-]+)', '\1[REDACTED]', 'g') AS x FROM b), e AS (SELECT doc_id, regexp_replace(x, '(?i)(password|passwd|token|secret|api[-_]?key)\s*[:=]\s*([^\s,;]+)', '\1=[REDACTED]', 'g') AS x FROM c)
 SELECT doc_id, substr(trim(regexp_replace(x, '\s+', ' ', 'g')), 1, 512) AS clean FROM e""")
 def sanitize_text(spark: SparkSession, d: str) -> DataFrame:
-    """Error texts made of secrets and the beginning of a document (the message, not a row cap)."""
+    """Error texts made of secrets and the beginning of a printable ASCII document, as far as SQL follows; q47c has all."""
     rows = table(spark, d, "documents").where(F.col("text").rlike(r"^[\x09\x0A\x0D\x20-\x7E]*\z"))
-    n = F.col("doc_id").cast("string")
-    x = F.concat(F.lit("failed at jdbc://user"), n, F.lit(":pw@db token="), n, F.lit(" Bearer a.b-"), n, F.lit("\n"), F.substring("text", 1, 300))
-    return rows.select("doc_id", sanitized(x).alias("clean"))
+    return rows.select("doc_id", sanitized(_error_text(F.substring("text", 1, 300))).alias("clean"))
+
+
+@query("q47c_sanitize_documents")
+def sanitize_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Error texts made of secrets and the whole text of every document; only the operator's own limit shortens them."""
+    return table(spark, d, "documents").select("doc_id", sanitized(_error_text(F.coalesce("text", F.lit("")))).alias("clean"))
 
 
 @query("q47b_device_lookup", """
