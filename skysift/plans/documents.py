@@ -62,10 +62,16 @@ WITH d AS (SELECT doc_id, {_NORMAL} AS t FROM documents WHERE {_ASCII}), h AS (S
 SELECT doc_id, s AS normalized_sha256, substr(m,1,8)||'-'||substr(m,9,4)||'-3'||substr(m,14,3)||'-'||translate(substr(m,17,1),'0123456789abcdef','89ab89ab89ab89ab')||substr(m,18,3)||'-'||substr(m,21,12) AS document_id,
  CAST('0x' || substr(s, 1, 15) AS BIGINT) AS source_version FROM h""")
 def documents_prepared(spark: SparkSession, d: str) -> DataFrame:
+    """Digest, id and version of the documents that are pure ASCII, as far as SQL follows; q31d has all."""
     rows = _docs(spark, d).where(F.col("text").rlike(r"^\p{ASCII}*\z"))
     return prepared(rows).select("doc_id", "normalized_sha256", "document_id", "source_version")
 
 
+@query("q31d_all_documents")
+def all_documents_prepared(spark: SparkSession, d: str) -> DataFrame:
+    return prepared(_docs(spark, d)).select("doc_id", "normalized_sha256", "document_id", "source_version")
+
+
 @query("q32_stable_ids", f"""
 SELECT c_custkey, sha256(c_name) AS digest, md5(c_name) AS md, sha256('tag' || chr(0) || c_name) AS keyed, {stable_sql('customer', 'c_name', 'c_mktsegment')} AS stable,
  (SELECT substr(m,1,8)||'-'||substr(m,9,4)||'-3'||substr(m,14,3)||'-'||translate(substr(m,17,1),'0123456789abcdef','89ab89ab89ab89ab')||substr(m,18,3)||'-'||substr(m,21,12) FROM (SELECT md5('11:customer:v2' || strlen(c_name) || ':' || c_name) AS m)) AS prefixed FROM customer""")

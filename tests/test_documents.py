@@ -1,11 +1,14 @@
 """Document queries over whole tables against brute force."""
 
+import hashlib
 import re
 import unicodedata
+import uuid
 
 import pytest
 
 import __spark_entry__ as entry
+from verify import duck, normal
 
 TEXTS = [
     "plain words",
@@ -40,3 +43,23 @@ def test_whole_documents_are_sanitised(spark, documents):
     got = {r.doc_id: r.clean for r in entry.queries()["q47c_sanitize_documents"](spark, documents).collect()}
     assert got == {i: clean(f"failed at jdbc://user{i}:pw@db token={i} Bearer a.b-{i}\n{t or ''}") for i, t in enumerate(TEXTS)}
     assert "token=[REDACTED] ; tail" in got[3] and max(map(len, got.values())) == 512
+
+
+def test_all_documents_get_digest_id_and_version(spark, documents):
+    want = {}
+    for i, t in enumerate(TEXTS):
+        body = re.sub(r"\s+", " ", unicodedata.normalize("NFKC", t or "").lower(), flags=re.A).strip(" ")
+        if body:
+            digest = hashlib.sha256(body.encode()).hexdigest()
+            name = hashlib.md5(f"documents:{i}:{digest}".encode()).digest()
+            want[i] = (digest, str(uuid.UUID(bytes=name, version=3)), int(digest[:15], 16))
+    got = {r.doc_id: tuple(r)[1:] for r in entry.queries()["q31d_all_documents"](spark, documents).collect()}
+    assert got == want and len(want) == len(TEXTS) - 2
+
+
+def test_ascii_documents_equal_sql(spark, documents):
+    sql = normal(duck(documents).execute(entry.oracle_sql()["q31c_documents"]).df())
+    whole = entry.queries()["q31d_all_documents"](spark, documents).toPandas()
+    plain = whole[whole["doc_id"].map(lambda i: (TEXTS[i] or "").isascii())]
+    assert normal(entry.queries()["q31c_documents"](spark, documents).toPandas()).equals(sql)
+    assert normal(plain).equals(sql) and len(sql) < len(whole)
