@@ -77,12 +77,14 @@ def decompose(bucket: np.ndarray, value: np.ndarray, count: np.ndarray) -> tuple
     return choices[np.abs(choices).argmin(0), np.arange(len(flat))], first
 
 
-def esd_outliers(residual: np.ndarray, count: np.ndarray, alpha: float = 1e-3, share: float = 0.1) -> np.ndarray:
+def esd_outliers(residual: np.ndarray, count: np.ndarray, alpha: float = 1e-3, step: float = 1.0) -> np.ndarray:
     """Generalised extreme studentised deviate test on weighted values: a mask of the outliers.
 
-    Values are taken off by distance from the median, at most ``share`` of all readings. The
-    last one whose studentised deviate among those left exceeds the critical value marks it
-    and all taken before it.
+    Values are taken off by distance from the median while those left are the greater half:
+    many outliers hide each other until most of them are off, so the test does not stop where
+    it finds none. The last one whose studentised deviate among those left exceeds the
+    critical value marks it and all taken before it. Equal readings of a cell go one by one and
+    the last of them decides. ``step`` is the receiver's resolution, below which nothing is far.
     """
     out = np.zeros(len(residual), bool)
     n = int(count.sum())
@@ -90,24 +92,37 @@ def esd_outliers(residual: np.ndarray, count: np.ndarray, alpha: float = 1e-3, s
         return out
     order = np.argsort(np.abs(residual - weighted_median(residual, count)), kind="stable")
     r, w = residual[order], count[order].astype(float)
-    left, s, q = np.cumsum(w), np.cumsum(w * r), np.cumsum(w * r * r)
-    mean = s / left
-    sd = np.sqrt(np.maximum((q - left * mean * mean) / np.maximum(left - 1, 1), 1e-12))
+    # what is left when one reading of the cell remains
+    left, total, square = (np.cumsum(x) - x + x / w for x in (w, w * r, w * r * r))
+    mean = total / left
+    sd = np.sqrt(np.maximum((square - left * mean * mean) / np.maximum(left - 1, 1), 1e-12))
     found = 0
     for i in range(len(r) - 1, -1, -1):
         m = left[i]
-        if n - m > share * n or m < 10:
+        if 2 * (m - 1) <= n or m < 10:
             break
         z = NormalDist().inv_cdf(1 - alpha / (2 * m))
         v = m - 2
         t = z + (z**3 + z) / (4 * v) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * v * v)
-        if abs(r[i] - mean[i]) / max(sd[i], 0.3) > (m - 1) * t / math.sqrt((v + t * t) * m):
+        if abs(r[i] - mean[i]) / max(sd[i], 0.3 * step) > (m - 1) * t / math.sqrt((v + t * t) * m):
             found = len(r) - i
     if found:
         out[order[len(r) - found :]] = True
     return out
 
 
+def resolution(value: np.ndarray, count: np.ndarray) -> float:
+    """The usual step between values that at least a hundredth of the readings have, 1 to 3 dB."""
+    level, at = np.unique(value, return_inverse=True)
+    n = np.bincount(at, weights=count)
+    common = n >= 0.01 * n.sum()
+    level, n = level[common], n[common]
+    if len(level) < 2:
+        return 1.0
+    gap = np.diff(level).astype(float)
+    return min(max(weighted_median(np.minimum(np.append(gap, np.inf), np.append(np.inf, gap)), n), 1.0), 3.0)
+
+
 def run_limit(residual: np.ndarray, count: np.ndarray, alpha: float = 1e-3) -> int:
     """The run length that chance repeats of this sensor's noise do not reach."""
     _, at = np.unique(np.rint(residual), return_inverse=True)
@@ -124,7 +139,7 @@ def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
     if not own.any():
         return pd.DataFrame(columns=["sensor_id", "bucket", "value", "residual", "n"])
     residual, _ = decompose(bucket, value, count)
-    bad = esd_outliers(residual, count) & own
+    bad = esd_outliers(residual, count, step=resolution(value, count)) & own
     sensor = pdf["sensor_id"].iloc[0]
     cells = pd.DataFrame({"sensor_id": sensor, "bucket": bucket[bad], "value": value[bad], "residual": None, "n": None})
     noise = pd.DataFrame({"residual": np.rint(residual[own]), "n": count[own]}).groupby("residual", as_index=False)["n"].sum()

@@ -14,7 +14,7 @@ from skysift.operators import nested
 from skysift.operators.deliveries import WORDS, QuotientTable, mark_surplus, pack, permute
 from skysift.operators.nested import Shredded, nested_nodes, nested_values
 from skysift.operators.sessions import sessionize
-from skysift.operators.signal import esd_outliers, run_limit, signal_anomalies
+from skysift.operators.signal import esd_outliers, resolution, run_limit, signal_anomalies
 
 T0 = datetime(2021, 1, 4)
 FRAMES = "dedupe_key string, sensor_id string, observed_at timestamp_ntz, signal_dbm int, source_mac string, source string"
@@ -75,6 +75,25 @@ def test_esd_and_run_limit():
     assert 6 <= run_limit(r, np.ones(len(r), int)) <= 14
 
 
+@pytest.mark.parametrize("share", [0.05, 0.15, 0.45])
+def test_esd_finds_spikes_that_hide_each_other(share):
+    rng = np.random.default_rng(3)
+    n = round(5000 * share)
+    r = np.concatenate([rng.normal(0, 2.5, 5000 - n), np.full(n, 30.0)])
+    assert set(np.flatnonzero(esd_outliers(r, np.ones(5000, int)))) == set(range(5000 - n, 5000))
+    value, count = np.unique(np.rint(r), return_counts=True)
+    assert value[esd_outliers(value, count)].tolist() == [30.0]
+
+
+def test_esd_takes_no_tails_for_spikes():
+    rng = np.random.default_rng(4)
+    for r in (rng.normal(0, 2.5, 9000), rng.uniform(-8, 8, 9000), rng.normal(0, 0.6, 9000)):
+        assert not esd_outliers(np.rint(r), np.ones(9000, int)).any()
+    assert esd_outliers(rng.laplace(0, 2, 9000), np.ones(9000, int)).sum() < 45
+    coarse = 2 * np.rint(rng.normal(0, 0.6, 9000))  # a receiver that reports every second value
+    assert resolution(coarse, np.ones(9000, int)) == 2 and not esd_outliers(coarse, np.ones(9000, int), step=2).any()
+
+
 @pytest.mark.parametrize("partitions", ["1", "7"])
 def test_sessions_equal_brute_force(spark, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
