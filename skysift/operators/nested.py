@@ -3,22 +3,72 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NODES = "stream_name string, dedupe_key string, node_path string, parent_path string, table_path string, ordinal long"
 VALUES = "stream_name string, dedupe_key string, node_path string, member string, value string"
 
 
+_TOKEN = re.compile(r"""[ \t\n\r]*+(?:([{}\[\],:])|("(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+")|(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?(?![0-9.eE+-])|(?:true|false|null)(?![a-z])))""")
+
+
+def strict_json(text: str) -> str | None:
+    """A JSON object or array without blanks, of any depth and with all repeated members; None if it is none.
+
+    Unwrapped first if it is JSON text inside a JSON string.
+    """
+    for _ in range(2):
+        m = _TOKEN.match(text)
+        if m and m[2] and not text[m.end() :].strip(" \t\n\r"):
+            text = json.loads(m[2])
+    out, at, closers, want = [], 0, [], "value"
+    end = len(text.rstrip(" \t\n\r"))
+    while at < end:
+        m = _TOKEN.match(text, at)
+        if not m or want == "nothing":
+            return None
+        at = m.end()
+        mark, string, plain = m.groups()
+        if mark and mark in "{[" and want in ("value", "value or end"):
+            closers.append("}" if mark == "{" else "]")
+            want = "name or end" if mark == "{" else "value or end"
+        elif mark and closers and mark == closers[-1] and want in ("name or end", "value or end", "comma"):
+            closers.pop()
+            want = "comma" if closers else "nothing"
+        elif mark == "," and want == "comma":
+            want = "name" if closers[-1] == "}" else "value"
+        elif mark == ":" and want == "colon":
+            want = "value"
+        elif string and want in ("name", "name or end"):
+            want = "colon"
+        elif (string or plain) and closers and want in ("value", "value or end"):
+            want = "comma"
+        else:
+            return None
+        if string and "\\" in string:
+            string = json.dumps(json.loads(string), ensure_ascii=False)
+        out.append(mark or string or plain)
+    return "".join(out).encode("utf-8", "replace").decode() if want == "nothing" else None
+
+
+@F.pandas_udf(T.StringType())
+def _strict(payload: pd.Series) -> pd.Series:
+    return payload.map(strict_json, na_action="ignore")
+
+
 def readable(payload: Column) -> Column:
     """The payload as canonical JSON text, unwrapped if it is JSON text inside a JSON string.
 
-    Null if it is null, not JSON, or no object or array.
+    Null if it is null, no object or array, or not JSON within the limits of VARIANT.
     """
     for _ in range(2):
         inner = F.try_variant_get(F.try_parse_json(payload), "$", "string")
@@ -168,11 +218,15 @@ def _node_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         node = s.node_of()
         mine = np.flatnonzero(s.is_object & s.in_array)
         up = node[s.parent[mine]]
+        above = np.where(up < 0, "$", path[up])
+        # paths repeat within a message where member names do
+        once = ~pd.DataFrame({"row": s.row[mine], "path": path[mine], "above": above}).duplicated().to_numpy()
+        mine, above = mine[once], above[once]
         take = pa.array(s.row[mine])
         yield pa.RecordBatch.from_arrays(
             [
                 b.column(0).take(take), b.column(1).take(take), pa.array(path[mine], pa.string()),
-                pa.array(np.where(up < 0, "$", path[up]), pa.string()), pa.array(table[mine], pa.string()), pa.array(place[mine]),
+                pa.array(above, pa.string()), pa.array(table[mine], pa.string()), pa.array(place[mine]),
             ],
             ["stream_name", "dedupe_key", "node_path", "parent_path", "table_path", "ordinal"],
         )
@@ -223,9 +277,15 @@ def _value_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _latest(events: DataFrame) -> DataFrame:
-    """The latest readable copy of each message, as canonical JSON text."""
-    text = events.select("stream_name", "dedupe_key", "updated_at", readable(F.col("payload")).alias("json")).where("json is not null")
-    return text.groupBy("stream_name", "dedupe_key").agg(F.max_by("json", F.struct("updated_at", "json")).alias("json"))
+    """The latest readable copy of each message, as canonical JSON text.
+
+    Only what VARIANT cannot hold (repeated member names, depth, size) goes through Python.
+    """
+    text = events.select("stream_name", "dedupe_key", "updated_at", "payload", readable(F.col("payload")).alias("json"))
+    text = text.withColumn("json", F.coalesce("json", _strict(F.when(F.col("json").isNull(), F.col("payload")))))
+    # unreadable copies are left out by the order: a filter here would be pushed down and parse all twice
+    order = F.when(F.col("json").isNotNull(), F.struct("updated_at", "json"))
+    return text.groupBy("stream_name", "dedupe_key").agg(F.max_by("json", order).alias("json")).where("json is not null")
 
 
 def nested_nodes(events: DataFrame) -> DataFrame:
@@ -234,8 +294,8 @@ def nested_nodes(events: DataFrame) -> DataFrame:
     node_path and parent_path link the tables; table_path (the path without indices) names the
     flat table a node belongs to, ordinal is its place in its array. Of a repeated message the
     latest readable copy counts. Null, broken or scalar payloads give no rows, as do empty
-    arrays and elements that are no objects. JSON beyond Spark's limits for VARIANT (size,
-    depth, repeated member names) is unreadable. Empty input gives no rows.
+    arrays and elements that are no objects. Where a member name is repeated in an object, all
+    its values count, and a path they share gives one row. Empty input gives no rows.
     """
     return _latest(events).mapInArrow(_node_batches, NODES)
 

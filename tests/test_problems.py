@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from skysift.operators import nested
 from skysift.operators.deliveries import WORDS, QuotientTable, mark_surplus, pack, permute
-from skysift.operators.nested import Shredded, nested_nodes, nested_values
+from skysift.operators.nested import Shredded, nested_nodes, nested_values, strict_json
 from skysift.operators.sessions import sessionize
 from skysift.operators.signal import esd_outliers, resolution, run_limit, signal_anomalies
 
@@ -213,6 +213,35 @@ def test_nested_equals_recursion(spark, monkeypatch):
     assert nested_nodes(df.where("false")).count() == 0
 
 
+def test_nested_reads_what_variant_rejects(spark):
+    deep = '{"a":' * 1500 + '[{"b": 1}, {"c": [{}]}]' + "}" * 1500
+    twice = '{"a": [{"b": 1}, {"b": 2}], "x": "]{", "a" : [ {"c": [{"d": "\\u00e9"}]} ]}'
+    rows = [("s", k, t, T0) for k, t in (("twice", twice), ("wrapped", json.dumps(twice)), ("deep", deep), ("cut", twice[:-1]), ("comma", '{"a":1,"a":[{},]}'), ("more", '{"a":1,"a":[{}]}]'), ("number", '{"a":01,"a":[{}]}'))]
+    df = spark.createDataFrame(rows, "stream_name string, dedupe_key string, payload string, updated_at timestamp_ntz")
+    got = sorted((r.dedupe_key, r.node_path, r.parent_path) for r in nested_nodes(df).collect())
+    top = ".".join("a" * 1500)
+    nodes = [("a[0]", "$"), ("a[0].c[0]", "a[0]"), ("a[1]", "$")]
+    assert got == sorted([("deep", f"{top}[0]", "$"), ("deep", f"{top}[1]", "$"), ("deep", f"{top}[1].c[0]", f"{top}[1]")] + [(k, *n) for k in ("twice", "wrapped") for n in nodes])
+    values = {(r.node_path, r.member, r.value) for r in nested_values(df.where("dedupe_key = 'twice'")).collect()}
+    assert values == {("a[0]", "b", "1"), ("a[1]", "b", "2"), ("$", "x", '"]{"'), ("a[0].c[0]", "d", '"é"')}
+
+
+def test_strict_json_equals_parser():
+    rng = random.Random(8)
+    for _ in range(400):
+        x = [random_json(rng)]
+        text = json.dumps(x, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 2]))
+        assert json.loads(strict_json(text)) == x
+        at = rng.randrange(len(text))
+        broken = text[:at] + rng.choice(['"', "]", "}", ",", ":", "\\", "x", ""]) + text[at + 1 :]
+        try:
+            good = json.loads(broken)
+        except ValueError:
+            assert strict_json(broken) is None
+        else:
+            assert json.loads(strict_json(broken)) == good
+
+
 def test_shredding_nothing():
     assert len(Shredded(pa.array([], pa.string())).open) == 0
 
