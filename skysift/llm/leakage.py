@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import defaultdict
@@ -104,6 +105,31 @@ class ItemIndex:
             for k, w in enumerate(c.tolist()):
                 m[w] |= 1 << k
             self.masks.append(dict(m))
+        self._rarest()
+
+    def _rarest(self) -> None:
+        """Each item's rarest words, of which a leak by share of words cannot miss ``least``.
+
+        It misses at most n - need of an item's n words, so of any n - need + least places
+        it has ``least``.
+        """
+        spread_over = np.bincount(np.concatenate([np.unique(c) for c in self.codes]), minlength=self.base) if self.codes else np.zeros(1, np.int64)
+        length = np.array([0, *map(len, self.vocabulary)])
+        self.need, self.least, self.rare, many = [], [], [], []
+        for c in self.codes:
+            need = math.ceil(SHARE * len(c) - 1e-9)
+            least = min(need, max(1, len(c) // 5))
+            order = np.lexsort((-length[c], spread_over[c]))
+            code, n = np.unique(c[order[: len(c) - need + least]], return_counts=True)
+            self.need.append(need)
+            self.least.append(least)
+            self.rare.append(code)
+            many.append(n)
+        code = np.concatenate(self.rare) if self.rare else np.zeros(0, np.int64)
+        order = np.argsort(code, kind="stable")
+        self.rare_code = code[order]
+        self.rare_item = np.repeat(np.arange(len(self.rare)), [len(x) for x in self.rare])[order]
+        self.rare_many = (np.concatenate(many) if many else code)[order]
 
     def seeds(self, code: np.ndarray) -> np.ndarray:
         """Codes of all SEED-grams; -1 where a word is in no item."""
@@ -126,8 +152,6 @@ class ItemIndex:
         seed = self.seeds(flat)
         lo, hi = np.searchsorted(self.seed, seed), np.searchsorted(self.seed, seed, side="right")
         hit = np.flatnonzero((seed >= 0) & (hi > lo))
-        if not len(hit):
-            return []
         many = (hi - lo)[hit]
         at = np.repeat(hit, many)
         entry = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo[hit], many)
@@ -141,18 +165,67 @@ class ItemIndex:
         start = np.flatnonzero(new)
         size = np.diff(np.append(start, len(at))) + SEED - 1
         text, item, at, place = text[start], item[start], at[start] - first[text[start]], place[start]
-        pair = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1])))
-        out = []
+        pair = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]))) if len(text) else start
+        seen = {}
         for a, b in zip(pair.tolist(), np.append(pair[1:], len(text)).tolist()):
             t, i, n = int(text[a]), int(item[a]), len(self.codes[int(item[a])])
-            longest = int(size[a:b].max())
             share = 0.0
-            # a leak by share of words leaves tiles that cover a good part of the item
+            # a leak by share of words leaves tiles that cover a good part of the item, unless it is cut finely
             if min(int(size[a:b].sum()), n) >= 0.25 * n:
                 share = self._in_order(coded[t], i, list(zip(size[a:b].tolist(), at[a:b].tolist(), place[a:b].tolist())))
-            if longest >= RUN or share >= SHARE:
-                out.append((t, self.ids[i], longest, share))
-        return out
+            seen[t, i] = (int(size[a:b].max()), share)
+        for t, i in self._covered(flat, first):
+            longest, share = seen.get((t, i), (0, 0.0))
+            if share < SHARE:
+                share = max(share, self._in_windows(coded[t], i))
+                if share >= SHARE:
+                    seen[t, i] = (longest or self._short_run(coded[t], i), share)
+        return [(t, self.ids[i], longest, share) for (t, i), (longest, share) in sorted(seen.items()) if longest >= RUN or share >= SHARE]
+
+    def _covered(self, flat: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(text, item) pairs with enough of the item's rarest words in the text, in any order."""
+        wanted = np.zeros(self.base, bool)
+        wanted[self.rare_code] = True
+        at = np.flatnonzero(wanted[flat])
+        text, code = np.divmod(np.unique((np.searchsorted(first, at, side="right") - 1) * self.base + flat[at]), self.base)
+        lo, hi = np.searchsorted(self.rare_code, code), np.searchsorted(self.rare_code, code, side="right")
+        least, items = np.array(self.least, np.int64), max(len(self.ids), 1)
+        # some texts at a time keep the postings small
+        edges = np.searchsorted(text, np.arange(0, len(first) + 64, 64))
+        for a, b in zip(edges[:-1], edges[1:]):
+            many = (hi - lo)[a:b]
+            entry = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo[a:b], many)
+            key, inverse = np.unique(np.repeat(text[a:b], many) * items + self.rare_item[entry], return_inverse=True)
+            enough = np.bincount(inverse, self.rare_many[entry], len(key)) >= least[key % items] if len(key) else np.zeros(0, bool)
+            yield from ((int(k) // items, int(k) % items) for k in key[enough])
+
+    def _in_windows(self, code: np.ndarray, item: int) -> float:
+        """Share of the item's words in order in a passage, exact where it reaches SHARE; 0 if it cannot."""
+        n, need = len(self.codes[item]), self.need[item]
+        width = int(PASSAGE * n)
+        known, rare = np.zeros(self.base, bool), np.zeros(self.base, bool)
+        known[self.codes[item]] = True
+        rare[self.rare[item]] = True
+        start = np.flatnonzero(known[code])
+        end = np.minimum(start + width, len(code))
+        all_, few = (np.concatenate([[0], np.cumsum(x[code])]) for x in (known, rare))
+        start = start[(all_[end] - all_[start] >= need) & (few[end] - few[start] >= self.least[item])]
+        best, k = 0, 0
+        while k < len(start) and best < need:
+            # no passage that begins in this stretch has more in order than the stretch and one passage after it
+            stop = int(np.searchsorted(start, start[k] + width))
+            if lcs(self.masks[item], n, code[start[k] : start[stop - 1] + width].tolist()) >= need:
+                for s in start[k:stop].tolist():
+                    best = max(best, lcs(self.masks[item], n, code[s : s + width].tolist()))
+                    if best >= need:
+                        break
+            k = stop
+        return best / n
+
+    def _short_run(self, code: np.ndarray, item: int) -> int:
+        """Longest run of a pair without a seed."""
+        mine = self.codes[item]
+        return 2 if np.isin(code[:-1] * self.base + code[1:], mine[:-1] * self.base + mine[1:]).any() else 1
 
     def _in_order(self, code: np.ndarray, item: int, matches: list[tuple[int, int, int]]) -> float:
         n = len(self.codes[item])
@@ -193,8 +266,9 @@ def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
     and all documents run against each block, whole and without any shuffle. Shared seeds are
     extended to matches on their diagonals (codes of words in running Karp-Rabin fashion,
     exact by construction), matches are tiled greedily, and what the tiles cover decides
-    whether the order is counted exactly. An item cut so finely that no three of its words
-    stand together is not found.
+    whether the order is counted exactly. An item cut more finely is found by its rarest words,
+    of which no leak can miss more than a fifth of the item, in any order; every passage that
+    has enough of them and of all words is counted exactly.
 
     Null texts or ids, items of fewer than SEED words: no rows. Repeated rows: one result row
     each pair. Empty input gives no rows.

@@ -100,6 +100,25 @@ def test_leak_limits():
     assert words("ﬁne Don’t STOP—now­1 é") == ["fine", "don", "t", "stop", "now1", "e"]
 
 
+def test_finely_cut_items_are_leaks():
+    w = ITEM.split()
+    cut = " ".join(x + (" other" if k % 2 else "") for k, x in enumerate(w))
+    assert leaks("noise before " * 40 + cut + " noise after" * 40) == [(7, True)]
+    rng = random.Random(12)
+    seen = set()
+    for _ in range(600):
+        item = [rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randrange(5, 14))]
+        text = [x for v in item if rng.random() > 0.12 for x in ([v] if rng.random() < 0.5 else [v, rng.choice("xyzab")])]
+        text = ["y"] * rng.randrange(30) + text + ["z"] * rng.randrange(30)
+        width = int(leakage.PASSAGE * len(item))
+        best = max(plain_lcs(item, text[k : k + width]) for k in range(len(text)))
+        want = best >= leakage.SHARE * len(item) - 1e-9
+        got = leaks(" ".join(text), " ".join(item))
+        assert (True in [s for _, s in got]) == want
+        seen.add(want)
+    assert seen == {True, False}
+
+
 def test_leaked_items(spark, monkeypatch):
     opening = "Please read the following passage and answer in one word. "
     items = spark.createDataFrame([(1, opening + ITEM + ". Why?"), (2, opening + " ".join(f"u{i}" for i in range(40))), (3, None), (4, ""), (None, ITEM)], "item_id long, text string")
