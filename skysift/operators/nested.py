@@ -3,78 +3,48 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 NODES = "stream_name string, dedupe_key string, node_path string, parent_path string, table_path string, ordinal long"
 VALUES = "stream_name string, dedupe_key string, node_path string, member string, value string"
 
+OPEN_OBJECT, OPEN_ARRAY, CLOSE_OBJECT, CLOSE_ARRAY, COMMA, COLON, NAME, VALUE, BEGIN = range(9)
+TOP, OBJECT, ARRAY = range(3)
 
-_TOKEN = re.compile(r"""[ \t\n\r]*+(?:([{}\[\],:])|("(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+")|(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?(?![0-9.eE+-])|(?:true|false|null)(?![a-z])))""")
+_KIND = np.full(256, VALUE, np.int8)
+for _byte, _kind in zip(b"{[}],:", range(6)):
+    _KIND[_byte] = _kind
+_MARK = _KIND < 6
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r"))
+_HEX = np.isin(np.arange(256), list(b"0123456789abcdefABCDEF"))
+_ESCAPED = np.isin(np.arange(256), list(b'"\\/bfnrtu'))
+_SCALAR = r"^(-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null)$"
 
 
-def strict_json(text: str) -> str | None:
-    """A JSON object or array without blanks, of any depth and with all repeated members; None if it is none.
+def _grammar() -> np.ndarray:
+    """Which token may follow which, inside which container: [container, before, token]."""
+    ok = np.zeros((3, 9, 8), bool)
+    ok[TOP, BEGIN, [OPEN_OBJECT, OPEN_ARRAY]] = True
+    for before in (VALUE, CLOSE_OBJECT, CLOSE_ARRAY):
+        ok[OBJECT, before, [COMMA, CLOSE_OBJECT]] = True
+        ok[ARRAY, before, [COMMA, CLOSE_ARRAY]] = True
+    ok[OBJECT, OPEN_OBJECT, [NAME, CLOSE_OBJECT]] = True
+    ok[OBJECT, COMMA, NAME] = True
+    ok[OBJECT, NAME, COLON] = True
+    ok[OBJECT, COLON, [VALUE, OPEN_OBJECT, OPEN_ARRAY]] = True
+    ok[ARRAY, OPEN_ARRAY, [VALUE, OPEN_OBJECT, OPEN_ARRAY, CLOSE_ARRAY]] = True
+    ok[ARRAY, COMMA, [VALUE, OPEN_OBJECT, OPEN_ARRAY]] = True
+    return ok
 
-    Unwrapped first if it is JSON text inside a JSON string.
-    """
-    for _ in range(2):
-        m = _TOKEN.match(text)
-        if m and m[2] and not text[m.end() :].strip(" \t\n\r"):
-            text = json.loads(m[2])
-    out, at, closers, want = [], 0, [], "value"
-    end = len(text.rstrip(" \t\n\r"))
-    while at < end:
-        m = _TOKEN.match(text, at)
-        if not m or want == "nothing":
-            return None
-        at = m.end()
-        mark, string, plain = m.groups()
-        if mark and mark in "{[" and want in ("value", "value or end"):
-            closers.append("}" if mark == "{" else "]")
-            want = "name or end" if mark == "{" else "value or end"
-        elif mark and closers and mark == closers[-1] and want in ("name or end", "value or end", "comma"):
-            closers.pop()
-            want = "comma" if closers else "nothing"
-        elif mark == "," and want == "comma":
-            want = "name" if closers[-1] == "}" else "value"
-        elif mark == ":" and want == "colon":
-            want = "value"
-        elif string and want in ("name", "name or end"):
-            want = "colon"
-        elif (string or plain) and closers and want in ("value", "value or end"):
-            want = "comma"
-        else:
-            return None
-        if string and "\\" in string:
-            string = json.dumps(json.loads(string), ensure_ascii=False)
-        out.append(mark or string or plain)
-    return "".join(out).encode("utf-8", "replace").decode() if want == "nothing" else None
-
-
-@F.pandas_udf(T.StringType())
-def _strict(payload: pd.Series) -> pd.Series:
-    return payload.map(strict_json, na_action="ignore")
-
-
-def readable(payload: Column) -> Column:
-    """The payload as canonical JSON text, unwrapped if it is JSON text inside a JSON string.
-
-    Null if it is null, no object or array, or not JSON within the limits of VARIANT.
-    """
-    for _ in range(2):
-        inner = F.try_variant_get(F.try_parse_json(payload), "$", "string")
-        payload = F.when(F.ltrim(payload).startswith('"'), inner).otherwise(payload)
-    text = F.to_json(F.try_parse_json(payload))
-    return F.when(F.substring(text, 1, 1).isin("{", "["), text)
+
+_FOLLOWS = _grammar()
 
 
 def _spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -85,100 +55,216 @@ def _spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(to.astype(np.int64).tobytes()), pa.py_buffer(bytes_.tobytes()))
 
 
-class Shredded:
-    """Containers of a batch of JSON texts as flat arrays: list offsets, parents, names.
+class Tokens:
+    """The tokens of a batch of JSON texts as flat arrays, each with the container it stands in.
 
-    Only whole-buffer kernels run: quotes and brackets are found in the concatenated bytes,
-    depth is a running sum, and a container's parent is the last one opened a level above.
+    Only whole-buffer kernels run: quotes, brackets and scalars are found in the concatenated
+    bytes, depth is a running sum, and a token's container is the last one opened at its depth.
+    ``good`` tells which texts are JSON objects or arrays by the whole grammar, whatever their
+    depth and whether or not members repeat; tokens of other texts are dropped. ``wrapped``
+    tells which are one JSON string.
     """
 
     def __init__(self, text: pa.Array) -> None:
         text = text.cast(pa.large_string())
+        n = len(text)
         _, off, buf = text.buffers()
-        off = np.frombuffer(off, np.int64)[text.offset : text.offset + len(text) + 1]
-        d = np.frombuffer(buf, np.uint8)[off[0] : off[-1]] if buf is not None else np.zeros(0, np.uint8)
-        self.data, self.off = d, off - off[0]
+        off = np.frombuffer(off, np.int64)[text.offset : text.offset + n + 1]
+        self.data = d = np.frombuffer(buf, np.uint8)[off[0] : off[-1]] if buf is not None else np.zeros(0, np.uint8)
+        self.off = off = off - off[0]
+        row_of = lambda at: np.searchsorted(off, at, side="right") - 1
+        bad = np.zeros(n, bool)
+        begins = np.zeros(len(d) + 1, bool)
+        begins[off] = True
         quote = d == 0x22
         slash = np.flatnonzero(d == 0x5C)
         if len(slash):
-            # a run of backslashes escapes the quote after it if its length is odd
-            head = np.append(True, np.diff(slash) > 1)
-            start = slash[head]
-            stop = np.append(slash[np.flatnonzero(head)[1:] - 1], slash[-1]) + 1
+            # a run of backslashes escapes what follows if its length is odd
+            head = np.append(True, np.diff(slash) > 1) | begins[slash]
+            first = np.flatnonzero(head)
+            start, stop = slash[first], slash[np.append(first[1:], len(slash)) - 1] + 1
             odd = stop[(stop - start) % 2 == 1]
-            quote[odd[odd < len(d)]] = False
-        self.quotes = np.flatnonzero(quote)
-        mark = np.zeros(256, bool)
-        mark[[0x7B, 0x7D, 0x5B, 0x5D, 0x2C, 0x3A]] = True
-        at = np.flatnonzero(mark[d])
-        at = at[np.searchsorted(self.quotes, at) % 2 == 0]
-        self.at, self.kind = at, d[at]
-        opens = (self.kind == 0x7B) | (self.kind == 0x5B)
-        closes = (self.kind == 0x7D) | (self.kind == 0x5D)
-        depth = np.cumsum(opens.astype(np.int32) - closes)
-        self.level = depth + closes  # of the container a token opens, closes or stands in
-        self.tok = np.flatnonzero(opens)
-        self.open, self.depth, self.is_object = at[self.tok], depth[self.tok], self.kind[self.tok] == 0x7B
-        self.row = np.searchsorted(self.off, self.open, side="right") - 1
-        n = len(self.open)
-        self.parent = np.full(n, -1)
-        self.by_level = [np.flatnonzero(self.depth == k) for k in range(int(self.depth.max(initial=0)) + 1)]
-        self.commas = {}
-        for k in range(2, len(self.by_level)):
-            mine, above = self.by_level[k], self.by_level[k - 1]
-            self.parent[mine] = above[np.searchsorted(self.open[above], self.open[mine]) - 1]
-        self.in_object = (self.parent >= 0) & self.is_object[self.parent]
-        self.in_array = (self.parent >= 0) & ~self.is_object[self.parent]
-
-    def position(self, at: np.ndarray, owner: np.ndarray) -> np.ndarray:
-        """0-based place of what stands at ``at`` among the elements of its array ``owner``."""
-        out = np.zeros(len(at), np.int64)
-        level = self.depth[owner]
-        for k in np.unique(level):
-            c = self.at[(self.kind == 0x2C) & (self.level == k)]
-            m = level == k
-            out[m] = np.searchsorted(c, at[m]) - np.searchsorted(c, self.open[owner[m]])
-        return out
+            cut = begins[odd]
+            bad[row_of(odd[cut] - 1)] = True
+            odd = odd[~cut]
+            quote[odd] = False
+            wrong = ~_ESCAPED[d[odd]]
+            four = odd[d[odd] == 0x75]
+            for k in range(1, 5):
+                at = np.minimum(four + k, len(d) - 1)
+                bad[row_of(four[~_HEX[d[at]] | (row_of(at) != row_of(four)) | (four + k >= len(d))])] = True
+            bad[row_of(odd[wrong])] = True
+        q = np.flatnonzero(quote)
+        uneven = np.diff(np.searchsorted(q, off)) % 2 == 1
+        if uneven.any():
+            bad |= uneven
+            lost = uneven[row_of(q)]
+            quote[q[lost]] = False
+            q = q[~lost]
+        inside = np.bitwise_xor.accumulate(quote.view(np.uint8)).view(bool) if len(d) else quote
+        control = np.flatnonzero((d < 0x20) & inside)
+        bad[row_of(control)] = True
+        plain = ~inside & ~quote & ~_BLANK[d]
+        mark = _MARK[d] & plain
+        scalar = plain & ~mark
+        before, after = np.append(False, scalar[:-1]) & ~begins[:-1], np.append(scalar[1:], False) & ~begins[1:]
+        head = scalar & ~before if len(d) else scalar
+        at_start = mark | head
+        at_start[q[::2]] = True
+        pos = np.flatnonzero(at_start)
+        kind = _KIND[d[pos]]
+        end = pos + 1
+        is_string = quote[pos]
+        end[is_string] = q[1::2] + 1
+        is_scalar = head[pos]
+        end[is_scalar] = np.flatnonzero(scalar & ~after) + 1
+        row = row_of(pos)
+        if is_scalar.any():
+            words = _spans(d, pos[is_scalar], end[is_scalar])
+            fine = pc.match_substring_regex(words, _SCALAR).to_numpy(zero_copy_only=False)
+            bad[row[is_scalar][~fine]] = True
+        opens, closes = kind <= OPEN_ARRAY, (kind == CLOSE_OBJECT) | (kind == CLOSE_ARRAY)
+        total = np.cumsum(opens.astype(np.int64) - closes)
+        count = np.bincount(row, minlength=n)
+        to = np.concatenate([[0], np.cumsum(count)])
+        base = np.append(0, total)[to[:-1]]
+        depth = total - base[row]
+        last = to[1:][count > 0] - 1
+        bad[row[depth < 0]] = True
+        final = np.zeros(len(pos), bool)
+        final[last] = True
+        bad[row[(depth == 0) != final]] = True
+        bad[count == 0] = True
+        self.wrapped = (count == 1) & ~bad
+        lone = to[:-1][count == 1]
+        self.wrapped[count == 1] &= is_string[lone]
+        self.string_at, self.string_end = pos[to[:-1][self.wrapped]] + 1, end[to[:-1][self.wrapped]] - 1
+        self._keep(~bad[row], pos, end, kind, row, depth, closes, opens, is_string)
+        self._judge(bad)
+        self.good = ~bad
+
+    def _keep(self, keep, pos, end, kind, row, depth, closes, opens, is_string) -> None:
+        self.pos, self.end, self.kind, self.row, self.opens, self.closes, self.is_string = (x[keep] for x in (pos, end, kind, row, opens, closes, is_string))
+        self.level = (depth + closes)[keep] - self.opens  # of the container a token stands in; 0 is none
+        o = np.flatnonzero(self.opens)
+        n = len(self.pos) + 1
+        key = (self.level[o] + 1) * n + o
+        order = np.argsort(key)
+        inner = self.level > 0
+        self.owner = np.full(len(self.pos), -1)
+        t = np.flatnonzero(inner)
+        at = np.searchsorted(key[order], self.level[t] * n + t) - 1
+        self.owner[t] = o[order][np.maximum(at, 0)] if len(o) else -1
+
+    def _judge(self, bad: np.ndarray) -> None:
+        """Check the grammar of what is left, and tell names from values."""
+        if not len(self.pos):
+            return
+        before = np.append(BEGIN, self.kind[:-1])
+        before[np.append(True, self.row[1:] != self.row[:-1])] = BEGIN
+        inside = np.where(self.owner < 0, TOP, np.where(self.kind[self.owner] == OPEN_OBJECT, OBJECT, ARRAY))
+        name = self.is_string & (inside == OBJECT) & ((before == OPEN_OBJECT) | (before == COMMA))
+        self.kind = np.where(name, NAME, self.kind).astype(np.int8)
+        before = np.where(before == BEGIN, BEGIN, np.append(BEGIN, self.kind[:-1]))
+        bad[self.row[~_FOLLOWS[inside, before, self.kind]]] = True
+        keep = ~bad[self.row]
+        if not keep.all():
+            number = np.cumsum(keep) - 1
+            owner = np.where(self.owner < 0, -1, number[self.owner])
+            for c in ("pos", "end", "kind", "row", "opens", "closes", "is_string", "level"):
+                setattr(self, c, getattr(self, c)[keep])
+            self.owner = owner[keep]
 
     def names(self, at: np.ndarray) -> pa.Array:
-        """The member names whose values begin at ``at``."""
-        q = np.searchsorted(self.quotes, at)
-        names = _spans(self.data, self.quotes[q - 2] + 1, self.quotes[q - 1])
-        if pc.any(pc.match_substring(names, "\\")).as_py():
-            d = names.dictionary_encode()
-            plain = pa.array([json.loads(f'"{x}"') if "\\" in x else x for x in d.dictionary.to_pylist()], pa.large_string())
-            names = plain.take(d.indices)
-        return names
-
-    def paths(self) -> tuple[list[str] | pa.Array, pa.Array, pa.Array]:
-        """For each container its path, its path without indices, and its place in its array."""
-        n = len(self.open)
-        path, table = np.full(n, "", object), np.full(n, "", object)
-        place = np.zeros(n, np.int64)
+        """The member names of the values that are the tokens ``at``."""
+        t = at - 2  # the name, a colon, the value
+        names = _spans(self.data, self.pos[t] + 1, self.end[t] - 1)
+        return unescaped(names)
+
+    def place(self, at: np.ndarray) -> np.ndarray:
+        """0-based place of the tokens ``at`` among the elements of their arrays."""
+        n = len(self.pos) + 1
+        comma = np.flatnonzero(self.kind == COMMA)
+        key = np.sort(self.owner[comma].astype(np.int64) * n + comma)
+        return np.searchsorted(key, self.owner[at] * n + at) - np.searchsorted(key, self.owner[at] * n)
+
+
+def unescaped(text: pa.Array) -> pa.Array:
+    """JSON string contents without escapes: kernels over the whole array, single texts only for ``\\u``."""
+    if not pc.any(pc.match_substring(text, "\\")).as_py():
+        return text
+    escaped = text
+    text = pc.replace_substring(text, "\\\\", "\x01")  # raw control characters cannot occur
+    for mark, plain in (('\\"', '"'), ("\\/", "/"), ("\\b", "\b"), ("\\f", "\f"), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t")):
+        text = pc.replace_substring(text, mark, plain)
+    coded = np.flatnonzero(pc.match_substring(text, "\\u").to_numpy(zero_copy_only=False))
+    text = pc.replace_substring(text, "\x01", "\\")
+    if len(coded):
+        mask = np.zeros(len(text), bool)
+        mask[coded] = True
+        d = escaped.take(pa.array(coded)).dictionary_encode()
+        plain = pa.array([json.loads(f'"{x}"').encode("utf-8", "replace").decode() for x in d.dictionary.to_pylist()], text.type)
+        text = pc.replace_with_mask(text, pa.array(mask), plain.take(d.indices))
+    return text
+
+
+def readable(text: pa.Array) -> pa.Array:
+    """JSON objects and arrays as they stand, unwrapped if they are JSON text inside a JSON string; else null."""
+    out = np.full(len(text), None, object)
+    at = np.arange(len(text))
+    for _ in range(3):
+        t = Tokens(pc.fill_null(text, ""))
+        good = np.flatnonzero(t.good)
+        out[at[good]] = text.take(pa.array(good)).to_numpy(zero_copy_only=False)
+        if not t.wrapped.any():
+            break
+        at = at[t.wrapped]
+        text = unescaped(_spans(t.data, t.string_at, t.string_end))
+    return pa.array(out, pa.string())
+
+
+class Shredded(Tokens):
+    """Containers of a batch of readable JSON texts: parents, paths and nodes, level by level."""
+
+    def __init__(self, text: pa.Array) -> None:
+        super().__init__(text)
+        self.tok = np.flatnonzero(self.opens)
+        number = np.full(len(self.pos) + 1, -1)
+        number[self.tok] = np.arange(len(self.tok))
+        self.container = number[self.owner]  # of every token, as a container number; -1: none
+        self.parent = self.container[self.tok]
+        self.is_object = self.kind[self.tok] == OPEN_OBJECT
+        self.in_array = (self.parent >= 0) & ~self.is_object[self.parent]
+        self.is_node = self.is_object & self.in_array
+        level = self.level[self.tok]
+        order = np.argsort(level, kind="stable")
+        self.by_level = np.split(order, np.flatnonzero(np.diff(level[order])) + 1) if len(order) else []
+
+    def paths(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each container its path, its path below its node, its path without indices, its place and its node.
+
+        A container's node is the nearest object that is an array element, itself included; -1: none.
+        """
+        n = len(self.tok)
+        path, below, table = (np.full(n, "", object) for _ in range(3))
+        place, node = np.zeros(n, np.int64), np.where(self.is_node, np.arange(n), -1)
         arr = np.flatnonzero(self.in_array)
-        place[arr] = self.position(self.open[arr], self.parent[arr])
-        for mine in self.by_level[2:]:
-            for in_object in (True, False):
-                m = mine[self.in_object[mine] == in_object]
+        place[arr] = self.place(self.tok[arr])
+        for mine in self.by_level[1:]:
+            up = self.parent[mine]
+            node[mine] = np.where(node[mine] < 0, node[up], node[mine])
+            for in_array in (False, True):
+                m = mine[self.in_array[mine] == in_array]
                 if not len(m):
                     continue
-                up, flat = pa.array(path[self.parent[m]], pa.large_string()), pa.array(table[self.parent[m]], pa.large_string())
-                if in_object:
-                    name = self.names(self.open[m])
-                    path[m] = _joined(up, name)
-                    table[m] = _joined(flat, name)
+                if in_array:
+                    number = pa.array(place[m])
+                    path[m], below[m], table[m] = (_cat(pa.array(x[self.parent[m]], pa.large_string()), *rest) for x, rest in ((path, ("[", number, "]")), (below, ("[", number, "]")), (table, ("[]",))))
                 else:
-                    path[m] = _cat(up, "[", pa.array(place[m]), "]")
-                    table[m] = _cat(flat, "[]")
-        return path, table, place
-
-    def node_of(self) -> np.ndarray:
-        """For each container the nearest object that is an array element, itself included; -1: none."""
-        node = np.where(self.is_object & self.in_array, np.arange(len(self.open)), -1)
-        for mine in self.by_level[2:]:
-            m = mine[node[mine] < 0]
-            node[m] = node[self.parent[m]]
-        return node
+                    name = self.names(self.tok[m])
+                    path[m], below[m], table[m] = (_joined(pa.array(x[self.parent[m]], pa.large_string()), name) for x in (path, below, table))
+            below[mine[self.is_node[mine]]] = ""
+        return path, below, table, place, node
 
 
 def _cat(*parts: pa.Array | str) -> np.ndarray:
@@ -197,10 +283,10 @@ def _joined(up: pa.Array, name: pa.Array) -> np.ndarray:
 CHUNK_BYTES = 1 << 20
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
     """Stretches of about CHUNK_BYTES of text, one row at least."""
     for b in batches:
-        end = np.cumsum(pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        end = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < b.num_rows:
             done = end[at - 1] if at else 0
@@ -209,20 +295,27 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = stop
 
 
+def _readable_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in _chunks(batches, 3):
+        text = readable(b.column(3))
+        keep = pc.is_valid(text)
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], text], b.schema.names).filter(keep)
+
+
 def _node_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in _chunks(batches):
+    for b in _chunks(batches, 2):
         s = Shredded(b.column(2))
-        if not len(s.open):
+        mine = np.flatnonzero(s.is_node)
+        if not len(mine):
             continue
-        path, table, place = s.paths()
-        node = s.node_of()
-        mine = np.flatnonzero(s.is_object & s.in_array)
+        path, _, table, place, node = s.paths()
         up = node[s.parent[mine]]
         above = np.where(up < 0, "$", path[up])
+        row = s.row[s.tok[mine]]
         # paths repeat within a message where member names do
-        once = ~pd.DataFrame({"row": s.row[mine], "path": path[mine], "above": above}).duplicated().to_numpy()
+        once = ~pd.DataFrame({"row": row, "path": path[mine], "above": above}).duplicated().to_numpy()
         mine, above = mine[once], above[once]
-        take = pa.array(s.row[mine])
+        take = pa.array(row[once])
         yield pa.RecordBatch.from_arrays(
             [
                 b.column(0).take(take), b.column(1).take(take), pa.array(path[mine], pa.string()),
@@ -233,59 +326,35 @@ def _node_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _value_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in _chunks(batches):
+    for b in _chunks(batches, 2):
         s = Shredded(b.column(2))
-        if not len(s.open):
-            continue
-        path, _, _ = s.paths()
-        node = s.node_of()
-        # a scalar follows a colon, or stands in an array after "[" or ","
-        nxt = np.append(s.at[1:], len(s.data))
-        after = np.append(s.kind[1:], 0)
-        opens_next = (after == 0x7B) | (after == 0x5B)
-        owner = np.full(len(s.at), -1)
-        for k in range(1, len(s.by_level)):
-            m = np.flatnonzero(s.level == k)
-            above = s.by_level[k]
-            owner[m] = above[np.searchsorted(s.open[above], s.at[m], side="right") - 1]
-        in_obj = s.is_object[owner]
-        start = ((s.kind == 0x3A) & in_obj) | (((s.kind == 0x5B) | (s.kind == 0x2C)) & ~in_obj)
-        start &= ~(opens_next & (nxt == s.at + 1)) & (nxt > s.at + 1)
-        t = np.flatnonzero(start)
+        t = np.flatnonzero(s.kind == VALUE)
         if not len(t):
             continue
-        value = _spans(s.data, s.at[t] + 1, nxt[t])
-        own = owner[t]
-        home = node[own]
-        base = np.where(home < 0, "", path[home])
+        path, below, _, _, node = s.paths()
+        own = s.container[t]
         member = np.full(len(t), "", object)
-        for flag in (True, False):
-            m = np.flatnonzero(in_obj[t] == flag)
-            if not len(m):
-                continue
-            rel = pa.array([p[len(h) :].lstrip(".") for p, h in zip(path[own[m]], base[m])], pa.large_string())
-            if flag:
-                member[m] = _joined(rel, s.names(s.at[t[m]] + 1))
-            else:
-                place = s.position(s.at[t[m]] + 1, own[m])
-                member[m] = [f"{r}[{i}]" for r, i in zip(rel.to_pylist(), place)]
-        take = pa.array(s.row[own])
+        for in_object in (True, False):
+            m = np.flatnonzero(s.is_object[own] == in_object)
+            if len(m):
+                up = pa.array(below[own[m]], pa.large_string())
+                member[m] = _joined(up, s.names(t[m])) if in_object else _cat(up, "[", pa.array(s.place(t[m])), "]")
+        home, take = node[own], pa.array(s.row[t])
         yield pa.RecordBatch.from_arrays(
-            [b.column(0).take(take), b.column(1).take(take), pa.array(np.where(home < 0, "$", base), pa.string()), pa.array(member, pa.string()), value.cast(pa.string())],
+            [b.column(0).take(take), b.column(1).take(take), pa.array(np.where(home < 0, "$", path[home]), pa.string()), pa.array(member, pa.string()), _spans(s.data, s.pos[t], s.end[t]).cast(pa.string())],
             ["stream_name", "dedupe_key", "node_path", "member", "value"],
         )
 
 
-def _latest(events: DataFrame) -> DataFrame:
-    """The latest readable copy of each message, as canonical JSON text.
+def latest_readable(events: DataFrame) -> DataFrame:
+    """(stream_name, dedupe_key, json): the latest readable copy of each message, unwrapped.
 
-    Only what VARIANT cannot hold (repeated member names, depth, size) goes through Python.
+    The kernels check the whole grammar on the bytes as they stand; nothing is printed anew, so
+    numbers keep their digits. Of copies of equal age the greatest text counts.
     """
-    text = events.select("stream_name", "dedupe_key", "updated_at", "payload", readable(F.col("payload")).alias("json"))
-    text = text.withColumn("json", F.coalesce("json", _strict(F.when(F.col("json").isNull(), F.col("payload")))))
-    # unreadable copies are left out by the order: a filter here would be pushed down and parse all twice
-    order = F.when(F.col("json").isNotNull(), F.struct("updated_at", "json"))
-    return text.groupBy("stream_name", "dedupe_key").agg(F.max_by("json", order).alias("json")).where("json is not null")
+    rows = events.select("stream_name", "dedupe_key", "updated_at", F.col("payload").alias("json"))
+    text = rows.where("json is not null").mapInArrow(_readable_batches, rows.schema)
+    return text.groupBy("stream_name", "dedupe_key").agg(F.max_by("json", F.struct("updated_at", "json")).alias("json"))
 
 
 def nested_nodes(events: DataFrame) -> DataFrame:
@@ -297,13 +366,14 @@ def nested_nodes(events: DataFrame) -> DataFrame:
     arrays and elements that are no objects. Where a member name is repeated in an object, all
     its values count, and a path they share gives one row. Empty input gives no rows.
     """
-    return _latest(events).mapInArrow(_node_batches, NODES)
+    return latest_readable(events).mapInArrow(_node_batches, NODES)
 
 
 def nested_values(events: DataFrame) -> DataFrame:
     """The scalar members below each node (``$``: outside all nodes), as JSON text.
 
     member is the path below the node: ``a``, ``b.c``, ``tags[0]``. Together with
-    :func:`nested_nodes` this keeps everything a payload holds but empty containers.
+    :func:`nested_nodes` this keeps everything a payload holds but empty containers: numbers
+    and strings are the bytes of the payload.
     """
-    return _latest(events).mapInArrow(_value_batches, VALUES)
+    return latest_readable(events).mapInArrow(_value_batches, VALUES)

@@ -91,20 +91,31 @@ WITH r AS (SELECT *, row_number() OVER (PARTITION BY stream_name, dedupe_key ORD
 SELECT {} FROM r WHERE k {} 1"""
 
 _TREE = r"""
-WITH m AS (SELECT DISTINCT stream_name, dedupe_key, CASE WHEN ltrim(payload) LIKE '"%' THEN json_extract_string(payload, '$') ELSE payload END AS p
-           FROM sync_events WHERE json_valid(payload)),
-e AS (SELECT m.stream_name, m.dedupe_key, regexp_replace(substr(replace(j.fullkey, '"', ''), 2), '^\.', '') AS node_path
-      FROM m, json_tree(CASE WHEN json_valid(m.p) THEN m.p ELSE '{}' END) AS j WHERE j.type = 'OBJECT' AND j.fullkey LIKE '%]')
-SELECT a.stream_name, a.dedupe_key, a.node_path, coalesce(arg_max(b.node_path, length(b.node_path)), '$') AS parent_path
-FROM e AS a LEFT JOIN e AS b ON a.stream_name = b.stream_name AND a.dedupe_key = b.dedupe_key
+WITH c AS (SELECT stream_name, dedupe_key, updated_at, CASE WHEN ltrim(payload) LIKE '"%' THEN json_extract_string(payload, '$') ELSE payload END AS p FROM sync_events WHERE json_valid(payload)),
+m AS (SELECT stream_name, dedupe_key, arg_max(p, (updated_at, p)) AS p FROM c WHERE json_valid(p) AND left(ltrim(p), 1) IN ('{', '[') GROUP BY 1, 2),
+t AS (SELECT m.stream_name, m.dedupe_key, j.type, j.value, regexp_replace(substr(replace(j.fullkey, '"', ''), 2), '^\.', '') AS path FROM m, json_tree(m.p) AS j),
+e AS (SELECT stream_name, dedupe_key, path AS node_path FROM t WHERE type = 'OBJECT' AND path LIKE '%]'),
+n AS (SELECT a.stream_name, a.dedupe_key, a.node_path, coalesce(arg_max(b.node_path, length(b.node_path)), '$') AS parent_path
+ FROM e AS a LEFT JOIN e AS b ON a.stream_name = b.stream_name AND a.dedupe_key = b.dedupe_key
   AND length(b.node_path) < length(a.node_path) AND starts_with(a.node_path, b.node_path) AND substr(a.node_path, length(b.node_path) + 1, 1) IN ('.', '[')
-GROUP BY ALL"""
+ GROUP BY ALL)"""
+
+_NODES = _TREE + r"""
+SELECT *, regexp_replace(node_path, '\[[0-9]+\]', '[]', 'g') AS table_path, CAST(regexp_extract(node_path, '([0-9]+)\]$', 1) AS BIGINT) AS ordinal FROM n"""
+
+_LEAVES = _TREE + r""",
+s AS (SELECT stream_name, dedupe_key, path, CAST(value AS VARCHAR) AS value FROM t WHERE type NOT IN ('OBJECT', 'ARRAY')),
+h AS (SELECT s.stream_name, s.dedupe_key, s.path, any_value(s.value) AS value, coalesce(arg_max(b.node_path, length(b.node_path)), '$') AS node_path
+ FROM s LEFT JOIN e AS b ON s.stream_name = b.stream_name AND s.dedupe_key = b.dedupe_key AND starts_with(s.path, b.node_path || '.') GROUP BY ALL)
+SELECT stream_name, dedupe_key, node_path, CASE WHEN node_path = '$' THEN path ELSE substr(path, length(node_path) + 2) END AS member, value FROM h"""
 
 ORACLES = {
     "p3_found": _FIRST.format("delivery_id", ">"),
     "p3_kept": _FIRST.format("stream_name, dedupe_key, delivery_id", "="),
     "p3_ledger_kept": "SELECT stream_name, dedupe_key, min(epoch_us(updated_at)) AS updated_us FROM sync_events GROUP BY 1, 2",
-    "p4_found": _TREE,
+    "p4_found": _TREE + " SELECT * FROM n",
+    "p4_nodes": _NODES,
+    "p4_values": _LEAVES,
     "p5_found": _SESSIONS.format("source_mac, start_us, end_us"),
     "p5_sessions": _SESSIONS.format("source_mac, start_us, end_us, duration_us, frame_count"),
 }

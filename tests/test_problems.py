@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from skysift.operators import nested
 from skysift.operators.deliveries import WORDS, QuotientTable, mark_surplus, pack, permute
-from skysift.operators.nested import Shredded, nested_nodes, nested_values, strict_json
+from skysift.operators.nested import Shredded, nested_nodes, nested_values, readable
 from skysift.operators.sessions import sessionize
 from skysift.operators.signal import esd_outliers, resolution, run_limit, signal_anomalies
 
@@ -223,27 +223,38 @@ def test_nested_reads_what_variant_rejects(spark):
     nodes = [("a[0]", "$"), ("a[0].c[0]", "a[0]"), ("a[1]", "$")]
     assert got == sorted([("deep", f"{top}[0]", "$"), ("deep", f"{top}[1]", "$"), ("deep", f"{top}[1].c[0]", f"{top}[1]")] + [(k, *n) for k in ("twice", "wrapped") for n in nodes])
     values = {(r.node_path, r.member, r.value) for r in nested_values(df.where("dedupe_key = 'twice'")).collect()}
-    assert values == {("a[0]", "b", "1"), ("a[1]", "b", "2"), ("$", "x", '"]{"'), ("a[0].c[0]", "d", '"é"')}
-
-
-def test_strict_json_equals_parser():
-    rng = random.Random(8)
-    for _ in range(400):
-        x = [random_json(rng)]
-        text = json.dumps(x, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 2]))
-        assert json.loads(strict_json(text)) == x
-        at = rng.randrange(len(text))
-        broken = text[:at] + rng.choice(['"', "]", "}", ",", ":", "\\", "x", ""]) + text[at + 1 :]
+    assert values == {("a[0]", "b", "1"), ("a[1]", "b", "2"), ("$", "x", '"]{"'), ("a[0].c[0]", "d", '"\\u00e9"')}
+
+
+def test_readable_equals_parser():
+    """Broken texts stand between good ones, so that none may disturb its neighbours."""
+    rng = random.Random(12)
+    texts, want = [], []
+    for k in range(4000):
+        x = random_json(rng)
+        text = json.dumps(x, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1]))
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            at = rng.randrange(len(text))
+            text = text[:at] + rng.choice(['"', "]", "}", "[", "{", ",", ":", "\\", "\\u12", "x", "\t", "\x02", "", "0", "-", ".5", "e", " "]) + text[at + rng.randrange(2) :]
+        if rng.random() < 0.2:
+            text = json.dumps(text)
+        texts.append(None if k % 97 == 0 else text)
+        y = None
         try:
-            good = json.loads(broken)
+            y = json.loads(texts[-1] or "", parse_constant=int)
+            for _ in range(2):
+                y = json.loads(y, parse_constant=int) if isinstance(y, str) else y
         except ValueError:
-            assert strict_json(broken) is None
-        else:
-            assert json.loads(strict_json(broken)) == good
+            y = None
+        want.append(y if isinstance(y, dict | list) else None)
+    for size in (1, 7, 4000):
+        got = [t for a in range(0, 4000, size) for t in readable(pa.array(texts[a : a + size], pa.string())).to_pylist()] if size > 1 else [readable(pa.array([t], pa.string()))[0].as_py() for t in texts[:300]]
+        assert [t is None for t in got] == [y is None for y in want[: len(got)]]
+        assert all(t is None or json.loads(t) == y for t, y in zip(got, want))
 
 
 def test_shredding_nothing():
-    assert len(Shredded(pa.array([], pa.string())).open) == 0
+    assert len(Shredded(pa.array([], pa.string())).pos) == 0
 
 
 def test_neighbour_counts(spark):
