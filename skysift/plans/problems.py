@@ -10,6 +10,7 @@ from skysift.operators.deliveries import mark_surplus
 from skysift.operators.nested import nested_nodes, nested_values
 from skysift.operators.sessions import frame_sessions
 from skysift.operators.signal import signal_anomalies
+from skysift.session import materialize
 from skysift.sources.tables import table
 
 
@@ -21,8 +22,9 @@ def p1_flags(spark: SparkSession, d: str) -> DataFrame:
     return signal_anomalies(table(spark, d, "projection_frames"))
 
 
-def _deliveries(spark: SparkSession, d: str) -> DataFrame:
-    return mark_surplus(table(spark, d, "broker_records").select("stream_name", "dedupe_key", epoch_us(F.col("received_at")).alias("at_us"), F.col("delivery_id").alias("row_id")))
+def _deliveries(spark: SparkSession, d: str, *carried: str) -> DataFrame:
+    rows = table(spark, d, "broker_records").select("stream_name", "dedupe_key", epoch_us(F.col("received_at")).alias("at_us"), F.col("delivery_id").alias("row_id"), *carried)
+    return mark_surplus(rows, *carried)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -30,7 +32,18 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_kept(spark: SparkSession, d: str) -> DataFrame:
-    return _deliveries(spark, d).where("not surplus").select("stream_name", "dedupe_key", F.col("row_id").alias("delivery_id"))
+    kept = _deliveries(spark, d, "record_offset", "payload_sha256").where("not surplus")
+    return kept.select("stream_name", "dedupe_key", F.col("row_id").alias("delivery_id"), "record_offset", "payload_sha256")
+
+
+def p3_copies(spark: SparkSession, d: str) -> DataFrame:
+    """Each surplus delivery with the one kept, and whether position and payload are the same."""
+    marked = materialize(_deliveries(spark, d, "topic", "partition_id", "record_offset", "payload_sha256"), "marked")
+    keys = ["stream_name", "dedupe_key"]
+    first = marked.where("not surplus").select(*keys, F.col("row_id").alias("kept_id"), F.struct("topic", "partition_id", "record_offset").alias("at"), F.col("payload_sha256").alias("payload"))
+    return marked.where("surplus").join(first, keys).select(
+        F.col("row_id").alias("delivery_id"), "kept_id", (F.struct("topic", "partition_id", "record_offset") == F.col("at")).alias("same_position"), F.col("payload_sha256").eqNullSafe(F.col("payload")).alias("same_payload")
+    )
 
 
 def p3_ledger_kept(spark: SparkSession, d: str) -> DataFrame:
@@ -64,6 +77,7 @@ QUERIES = {
     "p1_flags": p1_flags,
     "p3_found": p3_found,
     "p3_kept": p3_kept,
+    "p3_copies": p3_copies,
     "p3_ledger_kept": p3_ledger_kept,
     "p4_found": p4_found,
     "p4_nodes": p4_nodes,
@@ -111,7 +125,10 @@ SELECT stream_name, dedupe_key, node_path, CASE WHEN node_path = '$' THEN path E
 
 ORACLES = {
     "p3_found": _FIRST.format("delivery_id", ">"),
-    "p3_kept": _FIRST.format("stream_name, dedupe_key, delivery_id", "="),
+    "p3_kept": _FIRST.format("stream_name, dedupe_key, delivery_id, record_offset, payload_sha256", "="),
+    "p3_copies": """
+SELECT r.delivery_id, f.delivery_id AS kept_id, r.topic = f.topic AND r.partition_id = f.partition_id AND r.record_offset = f.record_offset AS same_position, r.payload_sha256 IS NOT DISTINCT FROM f.payload_sha256 AS same_payload
+FROM broker_records r JOIN (SELECT * FROM broker_records QUALIFY row_number() OVER (PARTITION BY stream_name, dedupe_key ORDER BY received_at, delivery_id) = 1) f ON f.stream_name = r.stream_name AND f.dedupe_key = r.dedupe_key WHERE r.delivery_id <> f.delivery_id""",
     "p3_ledger_kept": "SELECT stream_name, dedupe_key, min(epoch_us(updated_at)) AS updated_us FROM sync_events GROUP BY 1, 2",
     "p4_found": _TREE + " SELECT * FROM n",
     "p4_nodes": _NODES,

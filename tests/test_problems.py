@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skysift.operators import nested
-from skysift.operators.deliveries import WORDS, QuotientTable, mark_surplus, pack, permute
+from skysift.operators import deliveries
+from skysift.operators.deliveries import PIECE, Identifiers, QuotientTable, mark_surplus, permute
 from skysift.operators.nested import Shredded, nested_nodes, nested_values, readable
 from skysift.operators.sessions import sessionize
 from skysift.operators.signal import esd_outliers, resolution, run_limit, signal_anomalies
@@ -130,23 +131,32 @@ def test_sessions_of_nothing(spark):
 
 def test_quotient_table_is_exact():
     rng = random.Random(3)
-    keys = [f"k{rng.randrange(4000)}" for _ in range(9000)]
-    words, fits = pack(pa.array(["s"] * len(keys)), pa.array(keys))
-    assert fits.all() and len(np.unique(permute(words), axis=0)) == len(set(keys))
+    tail = "t" * 900
+    keys = [f"k{rng.randrange(4000)}" for _ in range(9000)] + [f"{rng.randrange(300)}{tail}{rng.randrange(3)}" for _ in range(2000)] + ["y" * n for n in range(3 * PIECE)] * 2
+    rng.shuffle(keys)
     table, first = QuotientTable(bits=4), {}
-    new = np.concatenate([table.insert(permute(words[i : i + 500])) for i in range(0, len(words), 500)])
+    ids = [Identifiers(pa.array(["s"] * len(keys[i : i + 500])), pa.array(keys[i : i + 500])) for i in range(0, len(keys), 500)]
+    new = np.concatenate([table.first_seen(x) for x in ids])
     for i, k in enumerate(keys):
         first.setdefault(k, i)
     assert set(np.flatnonzero(new)) == set(first.values())
+    homes = np.concatenate([x.homes() for x in ids])
+    by = {}
+    for k, h in zip(keys, homes.tolist()):
+        assert by.setdefault(k, h) == h
+    long = {h % 16 for k, h in by.items() if k.endswith((tail + "0", tail + "1"))}
+    assert len(long) == 16 and len(set(by.values())) > 0.999 * len(by)
+    entries = Identifiers(pa.array(["s"] * len(keys)), pa.array(keys)).entries(0, np.arange(len(keys)), np.zeros(len(keys), np.uint64))
+    assert len(np.unique(permute(entries), axis=0)) == len(np.unique(entries, axis=0))
     # the same bytes split differently are different identifiers
-    a, _ = pack(pa.array(["ab", "a"]), pa.array(["c", "bc"]))
-    assert (a[0] != a[1]).any()
+    assert QuotientTable().first_seen(Identifiers(pa.array(["ab", "a", "ab"]), pa.array(["c", "bc", "c"]))).tolist() == [True, True, False]
 
 
-def test_surplus_rows(spark):
+def test_surplus_rows(spark, monkeypatch):
+    monkeypatch.setattr(deliveries, "PER_TASK", 100)
     rng = random.Random(4)
-    long = "x" * (WORDS * 8)
-    keys = [("s1", "hot")] * 300 + [(f"s{rng.randrange(3)}", f"k{rng.randrange(200)}") for _ in range(900)] + [("s", long), ("s", long), ("s", long + "y"), (None, None), ("", ""), ("s", None)]
+    long = "x" * 70
+    keys = [("s1", "hot")] * 300 + [(f"s{rng.randrange(3)}", f"k{rng.randrange(200)}") for _ in range(900)] + [("s", long), ("s", long), ("s", long + "y"), *[("s", long * 40)] * 90, (None, None), ("", ""), ("s", None)]
     rows = [(s, k, rng.randrange(50), i, "clash") for i, (s, k) in enumerate(keys)]
     df = spark.createDataFrame(rows, "stream_name string, dedupe_key string, at_us long, row_id long, shard string").repartition(5)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
