@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import skysift.llm.groups as groups
+import skysift.llm.patterns as patterns
 from skysift.llm.digests import frame_percentiles, merge, of_values, quantile
 from skysift.llm.groups import connected_groups
 from skysift.llm.patterns import frequent_patterns
@@ -75,15 +76,19 @@ def brute_patterns(rows, share, lo, hi):
     return out, len(by)
 
 
-def test_patterns(spark):
+@pytest.mark.parametrize(("tokens", "hot", "lo"), [(2_000_000, 10_000, 2), (300, 10_000, 1), (120, 2, 2)])
+def test_patterns(spark, monkeypatch, tokens, hot, lo):
+    monkeypatch.setattr(patterns, "BUCKET_TOKENS", tokens)
+    monkeypatch.setattr(patterns, "HOT_SEQUENCES", hot)
     rng = random.Random(8)
     rows = [(f"e{i}", [rng.choice(["a", "b", "c", "dd", "", None]) for _ in range(rng.randrange(9))]) for i in range(200)]
+    rows += [(f"e{i % 7}", [rng.choice("abcz") for _ in range(5)]) for i in range(60)]
     rows += rows[::5] + [("e1", ["c", "c", "a"]), ("e1", ["b", "dd"]), (None, ["a"]), ("null", None), ("empty", []), ("long", ["a", "b"] * 2000)]
     df = spark.createDataFrame(rows, "entity string, tokens array<string>").withColumn("pattern", F.lit("clash"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
-    got = {r.pattern: r.support for r in frequent_patterns(df, 0.06, 2, 4).collect()}
-    want, n = brute_patterns([r if r[0] != "long" else ("long", ["a", "b"] * 5) for r in rows], 0.06, 2, 4)
-    assert got == want and frequent_patterns(df, 0.06, 2, 4).first().entities == n
+    got = {r.pattern: r.support for r in frequent_patterns(df, 0.06, lo, 4).collect()}
+    want, n = brute_patterns([r if r[0] != "long" else ("long", ["a", "b"] * 5) for r in rows], 0.06, lo, 4)
+    assert got == want and frequent_patterns(df, 0.06, lo, 4).first().entities == n
 
 
 def test_no_patterns(spark):
