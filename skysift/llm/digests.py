@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skysift.functions.mac import epoch_us
@@ -122,17 +122,28 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from close()
 
 
+def bracket(mean: np.ndarray, weight: np.ndarray, pure: np.ndarray, p: float) -> tuple[float, float]:
+    """Values that the p-quantile should lie between: those of its ranks if all centroids are exact, else the next centroids."""
+    rank = p * (weight.sum() - 1)
+    end = np.cumsum(weight)
+    a, b = (min(int(np.searchsorted(end, r, side="right")), len(mean) - 1) for r in (math.floor(rank + 1e-9), math.ceil(rank - 1e-9)))
+    if pure.all():
+        return float(mean[a]), float(mean[b])
+    return float(mean[max(a - 1, 0)]), float(mean[min(b + 1, len(mean) - 1)])
+
+
 def _combine(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Percentiles of each day and of all days of one source and metric."""
+    """Percentiles, with brackets, of each day and of all days of one source and metric."""
     rows, everything = [], []
     for day, part in pdf.groupby("day"):
         d = merge(list(zip(part["mean"], part["weight"], part["pure"])))
         everything.append(d)
-        rows.append((day, d[1].sum(), *(quantile(*d, p / 100) for p in PCTS)))
+        rows.append((day, d[1].sum(), *(x for p in PCTS for x in (quantile(*d, p / 100), *bracket(*d, p / 100)))))
     whole = merge(everything)
-    out = pd.DataFrame(rows, columns=["day", "n", *(f"day{p}" for p in PCTS)])
+    out = pd.DataFrame(rows, columns=["day", "n", *(f"{c}_day{p}" for p in PCTS for c in ("at", "lo", "hi"))])
     for p in PCTS:
-        out[f"all{p}"] = quantile(*whole, p / 100)
+        out[f"at_all{p}"] = quantile(*whole, p / 100)
+        out[f"lo_all{p}"], out[f"hi_all{p}"] = bracket(*whole, p / 100)
     out.insert(0, "metric", pdf["metric"].iloc[0])
     out.insert(0, "source", pdf["source"].iloc[0])
     return out.astype({"n": "int64"})
@@ -148,52 +159,139 @@ def clean_values(frames: DataFrame) -> DataFrame:
     return materialize(ordered_ranges(rows, "source", "ts_us", "key").mapInArrow(_clean, schema), "values")
 
 
+RANKS = [f"{scope}{p}" for scope in ("day", "all") for p in PCTS]
+
+
 def day_percentiles(values: DataFrame) -> DataFrame:
     """Percentiles by source, day and metric, and over all of a source's days.
 
-    Columns: source, day, metric, n, day50, day95, all50, all95. Digests of stretches are
-    merged to days and days to the whole, so results of other partitions or days can be
-    added. Groups are contiguous stretches of range partitions: a hot source is spread over
-    many tasks, and what is merged is one digest per stretch. Null values do not count.
+    Columns: source, metric, day, n and, for day and all days and each percentage, the estimate
+    (``at_``) and a bracket (``lo_``, ``hi_``). Digests of stretches are merged to days and days
+    to the whole, so results of other partitions or days can be added. Groups are contiguous
+    stretches of range partitions: a hot source is spread over many tasks, and what is merged
+    is one digest per stretch. Null values do not count.
     """
     schema = "source string, day string, metric string, mean array<double>, weight array<double>, pure array<boolean>"
-    out = "source string, metric string, day string, n long, " + ", ".join(f"{w}{p} double" for w in ("day", "all") for p in PCTS)
-    cols = ["source", "day", "metric", "n", *(f"{w}{p}" for w in ("day", "all") for p in PCTS)]
-    return values.mapInArrow(_digests, schema).repartition(width(values), "source", "metric").groupBy("source", "metric").applyInPandas(_combine, out).select(cols)
+    out = "source string, metric string, day string, n long, " + ", ".join(f"{c}_{r} double" for r in RANKS for c in ("at", "lo", "hi"))
+    return values.mapInArrow(_digests, schema).repartition(width(values), "source", "metric").groupBy("source", "metric").applyInPandas(_combine, out)
 
 
-def certified(values: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Long form (source, day, metric, pct, n, value, whole, rank_error, whole_rank_error).
+def _long(values: DataFrame) -> DataFrame:
+    """(source, day, metric, x): one row for each value that is not null."""
+    each = F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("x")) for m in METRICS))
+    return values.select("source", "day", F.explode(each).alias("v")).select("source", "day", "v.metric", "v.x").where("x is not null")
 
-    A second pass counts how many values lie below and at each estimate; the error is the
-    distance of the wanted rank from those counts, as a share of n. It is 0 for an exact
-    percentile. Errors are certificates: they hold whatever the distribution.
-    """
-    ranks = ("day50", "day95", "all50", "all95")
-    long_ = values.select("source", "day", F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("x")) for m in METRICS))).alias("v")).select("source", "day", "v.metric", "v.x").where("x is not null")
-    sums = [F.sum((F.col("x") < F.col(r)).cast("long")).alias(f"lt_{r}") for r in ranks] + [F.sum((F.col("x") <= F.col(r)).cast("long")).alias(f"le_{r}") for r in ranks]
-    counts = long_.join(estimates.drop("n"), ["source", "day", "metric"]).groupBy("source", "day", "metric").agg(F.count("*").alias("n"), *sums)
-    whole = counts.groupBy("source", "metric").agg(F.sum("n").alias("whole_n"), *(F.sum(f"{k}_{r}").alias(f"w{k}_{r}") for k in ("lt", "le") for r in ("all50", "all95")))
 
-    def error(n: str, lt: str, le: str, p: int):
-        rank = F.floor((F.col(n) - 1) * p / 100) + 1
-        return F.greatest(F.lit(0.0), F.col(lt) - rank, rank - F.col(le)) / F.col(n)
+def certified(values: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Long form (source, day, metric, pct, n, value, whole, ...) with certificates.
+
+    One second pass counts how many values lie below and up to each estimate and each end of
+    its bracket; the counts of a source's days add up to those of the whole. rank_error and
+    whole_rank_error are the distances of the wanted rank from the estimate's counts, as
+    shares of n. least and most bound the exact (interpolated) percentile, whole_least and
+    whole_most that of all days: they are equal where the counts prove the ends of the bracket
+    to be the wanted ranks, the bracket where they prove these to lie in it, else the least
+    and greatest value. Certificates hold whatever the distribution.
+    """
+    keys = ["source", "metric", "day"]
+    x = F.col("x")
+    sums = [F.sum(test(x, F.col(f"{end}_{r}")).cast("long")).alias(f"{name}_{end}_{r}") for r in RANKS for end in ("at", "lo", "hi") for name, test in (("lt", lambda a, b: a < b), ("le", lambda a, b: a <= b))]
+    counts = _long(values).join(estimates.drop("n"), keys).groupBy(*keys).agg(F.count("*").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"), *sums)
+    counts = materialize(counts, "counts")
+    whole = counts.groupBy("source", "metric").agg(F.sum("n").alias("whole_n"), F.min("min").alias("whole_min"), F.max("max").alias("whole_max"), *(F.sum(c).alias(f"whole_{c}") for c in counts.columns if c.endswith(tuple(f"all{p}" for p in PCTS))))
+    joined = estimates.drop("n").join(counts, keys).join(whole, ["source", "metric"])
+
+    def one(scope: str, p: int) -> dict[str, Column]:
+        r, w = f"{scope}{p}", "whole_" if scope == "all" else ""
+        c = lambda name: F.col(f"{w}{name}_{r}")
+        n, at, lo, hi = F.col(f"{w}n"), F.col(f"at_{r}"), F.col(f"lo_{r}"), F.col(f"hi_{r}")
+        position = (n - 1) * p
+        first, rest = F.floor(position / 100), (position % 100) / 100
+        second = first + (rest > 0).cast("int")
+        exact = (c("lt_lo") <= first) & (first < c("le_lo")) & (c("lt_hi") <= second) & (second < c("le_hi"))
+        inside = (c("lt_lo") <= first) & (second < c("le_hi"))
+        value = lo + rest * (hi - lo)
+        return {
+            "value": F.when(exact, value).otherwise(at), "rank_error": F.when(exact, 0.0).otherwise(F.greatest(F.lit(0.0), c("lt_at") - first - 1, first + 1 - c("le_at")) / n),
+            "least": F.when(exact, value).when(inside, lo).otherwise(F.col(f"{w}min")), "most": F.when(exact, value).when(inside, hi).otherwise(F.col(f"{w}max")),
+        }
 
-    joined = estimates.drop("n").join(counts, ["source", "day", "metric"]).join(whole, ["source", "metric"])
     each = F.explode(F.array(*(
-        F.struct(
-            F.lit(p).alias("pct"), F.col(f"day{p}").alias("value"), F.col(f"all{p}").alias("whole"),
-            error("n", f"lt_day{p}", f"le_day{p}", p).alias("rank_error"), error("whole_n", f"wlt_all{p}", f"wle_all{p}", p).alias("whole_rank_error"),
-        ) for p in PCTS
+        F.struct(F.lit(p).alias("pct"), *(c.alias(k) for k, c in one("day", p).items()), *(c.alias({"value": "whole"}.get(k, f"whole_{k}")) for k, c in one("all", p).items())) for p in PCTS
     )))
-    return joined.select("source", "day", "metric", "n", each.alias("e")).select("source", "day", "metric", "e.pct", "n", "e.value", "e.whole", "e.rank_error", "e.whole_rank_error")
+    return joined.select("source", "day", "metric", "n", "whole_n", each.alias("e")).select("source", "day", "metric", "n", "whole_n", "e.*")
+
+
+#: Cells that a bracket is cut into in one round of exact search.
+CELLS = 1024
+
+
+def exact_ranks(values: DataFrame, wanted: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """The exact interpolated percentiles of ``wanted(source, metric, day, pct, n, least, most)``; null day: all days.
+
+    Each round counts the values inside each bracket by CELLS cells, in one aggregate that
+    combines before the shuffle, and goes on with the cell that holds the wanted rank, until
+    that has one value or the two ranks to interpolate fall into different cells.
+    """
+    key = ["source", "metric", "day", "pct"]
+    position = (F.col("n") - 1) * F.col("pct")
+    first = F.floor(position / 100).cast("long")
+    open_ = wanted.select(*key, first.alias("first"), (first + (position % 100 > 0).cast("long")).alias("second"), ((position % 100) / 100).alias("rest"), F.col("least").alias("lo"), F.col("most").alias("hi"))
+    open_ = materialize(open_, "ranks")
+    whole, done = _long(values), None
+    for _ in range(max_rounds):
+        if not open_.limit(1).count():
+            break
+        at = open_.withColumnRenamed("day", "scope")
+        inside = whole.join(at, ["source", "metric"]).where("(scope is null or scope = day) and x <= hi")
+        share = F.when(F.col("hi") > F.col("lo"), (F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.0)
+        cell = F.when(F.col("x") < F.col("lo"), -1).otherwise(F.least(F.floor(share * CELLS).cast("int"), F.lit(CELLS - 1)))
+        cells = inside.groupBy("source", "metric", "scope", "pct", "first", "second", "rest", cell.alias("cell")).agg(F.count("*").alias("c"), F.min("x").alias("min"), F.max("x").alias("max"))
+        along = Window.partitionBy("source", "metric", "scope", "pct").orderBy("cell")
+        cells = cells.withColumn("end", F.sum("c").over(along)).withColumn("start", F.col("end") - F.col("c"))
+        holds = lambda rank: (F.col("start") <= F.col(rank)) & (F.col(rank) < F.col("end"))
+        pick = cells.groupBy("source", "metric", F.col("scope").alias("day"), "pct", "first", "second", "rest").agg(
+            *(F.max(F.when(holds(rank), F.col(c))).alias(f"{rank}_{c}") for rank in ("first", "second") for c in ("cell", "min", "max"))
+        )
+        pick = materialize(pick, "ranks")
+        split = F.col("first_cell") != F.col("second_cell")
+        a, b = F.when(split, F.col("first_max")).otherwise(F.col("first_min")), F.when(split, F.col("second_min")).otherwise(F.col("second_max"))
+        finished = split | (F.col("first_min") == F.col("first_max"))
+        found = pick.where(finished).select(*key, (a + F.col("rest") * (b - a)).alias("value"))
+        done = found if done is None else done.unionByName(found)
+        open_ = pick.where(~finished).select(*key, "first", "second", "rest", F.col("first_min").alias("lo"), F.col("first_max").alias("hi"))
+    return done if done is not None else open_.select(*key, F.col("lo").alias("value"))
+
+
+def _far(value_least: Column, value_most: Column, whole_least: Column, whole_most: Column, factor: float) -> Column:
+    """Whether a value is more than ``factor`` times or less than 1/factor of another; null where the bounds leave it open."""
+    yes = (value_least > factor * whole_most) | (value_most < whole_least / factor)
+    no = (value_most <= factor * whole_least) & (value_least >= whole_most / factor)
+    return F.when(yes, True).when(no, False)
+
+
+def far_percentiles(values: DataFrame, percentiles: DataFrame, least_n: int, factor: float) -> DataFrame:
+    """Day percentiles (source, day, metric, pct) far from the same percentile of all days.
+
+    Where the certified bounds decide, they do; the rest is searched exactly.
+    """
+    judged = percentiles.where(F.col("n") >= least_n).withColumn("far", _far(F.col("least"), F.col("most"), F.col("whole_least"), F.col("whole_most"), factor))
+    judged = materialize(judged, "judged")
+    unclear, cols = judged.where("far is null"), ["source", "day", "metric", "pct"]
+    days = unclear.select("source", "metric", "day", "pct", "n", "least", "most")
+    wholes = unclear.select("source", "metric", F.lit(None).cast("string").alias("day"), "pct", F.col("whole_n").alias("n"), F.col("whole_least").alias("least"), F.col("whole_most").alias("most")).distinct()
+    exact = exact_ranks(values, days.unionByName(wholes))
+    whole = exact.where("day is null").select("source", "metric", "pct", F.col("value").alias("whole"))
+    value = F.col("value")
+    found = exact.where("day is not null").join(whole, ["source", "metric", "pct"]).where(_far(value, value, F.col("whole"), F.col("whole"), factor))
+    return judged.where("far").select(cols).unionByName(found.select(cols))
 
 
-def frame_percentiles(frames: DataFrame) -> DataFrame:
-    """Certified percentiles of the frames' clock deltas by sensor and UTC day.
+def frame_percentiles(frames: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(values, certified percentiles) of the frames' clock deltas by sensor and UTC day.
 
     Frames equal in sensor, time and dedupe_key count once (a null key is never a repeat).
     Null sensors or times are left out. Empty input gives no rows.
     """
     values = clean_values(frames)
-    return certified(values, materialize(day_percentiles(values), "percentiles"))
+    return values, certified(values, materialize(day_percentiles(values), "percentiles"))

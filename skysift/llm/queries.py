@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skysift.functions.mac import canonical_mac
-from skysift.llm.digests import frame_percentiles
+from skysift.llm.digests import far_percentiles, frame_percentiles
 from skysift.llm.groups import connected_groups
 from skysift.llm.language import corrected_languages, document_languages, segment_languages
 from skysift.llm.leakage import leaked_items
@@ -29,13 +29,12 @@ def p2_supports(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    p = frame_percentiles(table(spark, d, "projection_frames"))
-    far = (F.col("value") > 2 * F.col("whole")) | (F.col("value") < F.col("whole") / 2)
-    return p.where((F.col("n") >= 60) & far).select(F.col("source").alias("sensor_id"), F.col("day").alias("obs_day"), "metric", "pct")
+    values, p = frame_percentiles(table(spark, d, "projection_frames"))
+    return far_percentiles(values, p, 60, 2.0).select(F.col("source").alias("sensor_id"), F.col("day").alias("obs_day"), "metric", "pct")
 
 
 def p6_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    return frame_percentiles(table(spark, d, "projection_frames")).withColumnsRenamed({"source": "sensor_id", "day": "obs_day"})
+    return frame_percentiles(table(spark, d, "projection_frames"))[1].withColumnsRenamed({"source": "sensor_id", "day": "obs_day"})
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 import skysift.llm.groups as groups
 import skysift.llm.patterns as patterns
-from skysift.llm.digests import frame_percentiles, merge, of_values, quantile
+from skysift.llm import digests
+from skysift.llm.digests import exact_ranks, far_percentiles, frame_percentiles, merge, of_values, quantile
 from skysift.llm.groups import connected_groups
 from skysift.llm.patterns import frequent_patterns
 
@@ -115,12 +116,17 @@ def test_large_digest_has_small_rank_error():
             assert max(lo - p, p - hi, 0) < 0.004
 
 
-def test_frame_percentiles(spark):
+@pytest.mark.parametrize(("delta", "cells"), [(1000, 1024), (24, 4)])
+def test_frame_percentiles(spark, monkeypatch, delta, cells):
+    """With few centroids brackets are wide, and what they leave open is searched exactly."""
+    monkeypatch.setattr(digests.cluster, "__defaults__", (delta,))
+    monkeypatch.setattr(digests, "CELLS", cells)
     rng = np.random.default_rng(4)
     t0 = datetime(2021, 1, 4, 20)
-    rows = [(f"k{i}", "hot" if i % 3 else "cold", t0 + timedelta(seconds=40 * i), int(v), int(v) % 7 if i % 5 else None, "clash") for i, v in enumerate(rng.lognormal(5, 1, 4000))]
+    rows = [(f"k{i}", "hot" if i % 3 else "cold", t0 + timedelta(seconds=40 * i), int(v) * (1 + i // 1500), int(v) % 7 if i % 5 else None, "clash") for i, v in enumerate(rng.lognormal(5, 1, 4000))]
     df = spark.createDataFrame(rows + rows[::11] + [("x", None, t0, 1, 1, ""), ("y", "hot", None, 1, 1, "")], "dedupe_key string, sensor_id string, observed_at timestamp_ntz, tsft_delta_us long, wall_clock_delta_ms long, day string")
-    got = frame_percentiles(df).collect()
+    values, percentiles = frame_percentiles(df)
+    got = percentiles.collect()
     by, whole = {}, {}
     for _, s, t, a, b, _ in rows:
         for m, v in (("tsft_delta_us", a), ("wall_clock_delta_ms", b)):
@@ -128,9 +134,23 @@ def test_frame_percentiles(spark):
                 by.setdefault((s, f"{t:%Y-%m-%d}", m), []).append(v)
                 whole.setdefault((s, m), []).append(v)
     assert len(got) == 2 * len(by)
+    far, unclear = set(), 0
     for r in got:
-        v = by[r.source, r.day, r.metric]
-        assert r.n == len(v) and r.rank_error <= 0.004 and r.whole_rank_error <= 0.004
-        if len(v) <= 500:
-            assert r.value == pytest.approx(np.quantile(v, r.pct / 100)) and r.rank_error == 0
-    assert frame_percentiles(df.where("false")).count() == 0
+        v, w = by[r.source, r.day, r.metric], whole[r.source, r.metric]
+        exact, exact_whole = np.quantile(v, r.pct / 100), np.quantile(w, r.pct / 100)
+        assert r.n == len(v) and r.whole_n == len(w) and r.rank_error <= 4 / delta and r.whole_rank_error <= 4 / delta
+        assert r.least - 1e-9 <= exact <= r.most + 1e-9 and r.whole_least - 1e-9 <= exact_whole <= r.whole_most + 1e-9
+        if len(v) <= delta / 2:
+            assert r.value == pytest.approx(exact) and r.rank_error == 0
+        if len(v) >= 60 and (exact > 1.5 * exact_whole or exact < exact_whole / 1.5):
+            far.add((r.source, r.day, r.metric, r.pct))
+        unclear += (r.least <= 1.5 * r.whole_most and r.most > 1.5 * r.whole_least) or (r.most >= r.whole_least / 1.5 and r.least < r.whole_most / 1.5)
+    assert {tuple(r) for r in far_percentiles(values, percentiles, 60, 1.5).collect()} == far and far
+    assert (unclear > 0) == (delta == 24)
+    wanted = [(s, m, d, p, len(x), float(min(x)), float(max(x))) for (s, d, m), x in [*by.items(), *(((s, None, m), x) for (s, m), x in whole.items())] for p in (50, 95)]
+    exact = exact_ranks(values, spark.createDataFrame(wanted, "source string, metric string, day string, pct int, n long, least double, most double")).collect()
+    assert len(exact) == len(wanted)
+    for r in exact:
+        assert r.value == pytest.approx(np.quantile(by[r.source, r.day, r.metric] if r.day else whole[r.source, r.metric], r.pct / 100))
+    values, percentiles = frame_percentiles(df.where("false"))
+    assert percentiles.count() == 0 and far_percentiles(values, percentiles, 60, 2.0).count() == 0
