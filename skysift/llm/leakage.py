@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from skysift.operators.spread import spread
 
-#: Words of a seed, which also is the least length of a tile.
+#: Words of a seed of a run.
 SEED = 3
 #: Consecutive words that are a leak by themselves.
 RUN = 12
@@ -23,8 +23,14 @@ RUN = 12
 SHARE = 0.8
 #: A passage is at most this many times as long as the item.
 PASSAGE = 2.0
-#: Bytes of item text of one block; the items of a block are sent to every task.
+#: Bytes of item text of one block; a task holds the index of one block at a time.
 BLOCK_BYTES = 16_000_000
+#: Bytes of documents that a task splits into words once and runs against all blocks.
+CHUNK_BYTES = 16_000_000
+
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 _WORD = re.compile(r"[^\W_]+")
 _UNSEEN = {ord(c): None for c in "­​‌‍⁠﻿"}
@@ -52,35 +58,79 @@ def lcs(masks: dict[int, int], n: int, passage: list[int]) -> int:
     return n - s.bit_count()
 
 
-def tiles(matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Greedy tiling: longest matches (length, doc place, item place) first, none overlapping.
+def _hashes(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums from which the Karp-Rabin hash of any stretch follows by one subtraction."""
+    n = len(code)
+    while len(_POWERS[0]) < n + 1:
+        for k, b in enumerate((_BASE, _INVERSE)):
+            with np.errstate(over="ignore"):
+                _POWERS[k] = np.concatenate([_POWERS[k], _POWERS[k] * np.uint64(pow(b, len(_POWERS[k]), 1 << 64))])
+    with np.errstate(over="ignore"):
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(code.astype(np.uint64) * _POWERS[0][:n])]), _POWERS[1][:n]
+
+
+class Tiling:
+    """Greedy string tiling of a text with an item, by running Karp-Rabin of falling length.
 
-    What earlier tiles leave of a match is used if it is still SEED words long.
+    The longest match of words neither side has marked becomes a tile, again and again, down
+    to single words. The first tile is the longest run the text has of the item, and all of
+    them together cover as many of the item's words as the text holds, in any order.
     """
-    used_doc, used_item, out = set(), set(), []
-    pending = sorted(matches, reverse=True)
-    while pending:
-        size, d, i = pending.pop(0)
-        free = [k for k in range(size) if d + k not in used_doc and i + k not in used_item]
-        if len(free) == size:
-            out.append((d, i, size))
-            used_doc.update(range(d, d + size))
-            used_item.update(range(i, i + size))
-            continue
-        run: list[int] = []
-        for k in [*free, None]:
-            if run and (k is None or k != run[-1] + 1):
-                if len(run) >= SEED:
-                    pending.append((len(run), d + run[0], i + run[0]))
-                run = []
-            if k is not None:
-                run.append(k)
-        pending.sort(reverse=True)
-    return out
+
+    def __init__(self, text: np.ndarray, item: np.ndarray) -> None:
+        self.text, self.item = text, item
+        self.free = [text > 0, np.ones(len(item), bool)]
+        self.sums = [_hashes(text), _hashes(item)]
+
+    def _windows(self, side: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the stretches of free words."""
+        free, (sums, inverse) = self.free[side], self.sums[side]
+        if len(free) < size:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        taken = np.concatenate([[0], np.cumsum(~free)])
+        at = np.flatnonzero(taken[size:] == taken[:-size])
+        with np.errstate(over="ignore"):
+            return at, (sums[at + size] - sums[at]) * inverse[at]
+
+    def _common(self, size: int) -> bool:
+        return bool(np.isin(self._windows(0, size)[1], self._windows(1, size)[1]).any())
+
+    def longest(self, most: int) -> int:
+        """Length of the longest free match, at most ``most``: matches of a length have matches of all shorter ones."""
+        low, high = 0, min(most, len(self.text), len(self.item))
+        while low < high:
+            middle = (low + high + 1) // 2
+            if self._common(middle):
+                low = middle
+            else:
+                high = middle - 1
+        return low
+
+    def tiles(self) -> list[tuple[int, int, int]]:
+        """(place in the text, place in the item, words) of all tiles, longest first."""
+        out, size = [], len(self.item)
+        while size := self.longest(size):
+            at, hash_ = self._windows(0, size)
+            places, of_item = self._windows(1, size)
+            by: dict[int, list[int]] = defaultdict(list)
+            for h, i in zip(of_item.tolist(), places.tolist()):
+                by[h].append(i)
+            hits, before = np.isin(hash_, of_item), len(out)
+            for d, h in zip(at[hits].tolist(), hash_[hits].tolist()):
+                if not self.free[0][d : d + size].all():
+                    continue
+                for i in by[h]:
+                    if self.free[1][i : i + size].all() and (self.text[d : d + size] == self.item[i : i + size]).all():
+                        self.free[0][d : d + size] = self.free[1][i : i + size] = False
+                        out.append((d, i, size))
+                        break
+            if len(out) == before:  # hashes alike, words not
+                size -= 1
+        return out
 
 
 class ItemIndex:
-    """Seeds of a block of items, as sorted exact codes with their places."""
+    """Seeds of a block of items, as sorted arrays: three-word seeds for runs, rare words for shares."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         self.vocabulary: dict[str, int] = {}
@@ -91,22 +141,37 @@ class ItemIndex:
                 self.ids.append(number)
                 self.codes.append(code)
         self.base = len(self.vocabulary) + 1
-        if self.base**SEED >= 1 << 63:
-            raise ValueError("too many different words in a block of items: lower BLOCK_BYTES")
-        seeds = [self.seeds(c) for c in self.codes]
-        seed = np.concatenate(seeds) if seeds else np.zeros(0, np.int64)
-        owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
-        place = np.concatenate([np.arange(len(s)) for s in seeds]) if seeds else seed
-        order = np.argsort(seed, kind="stable")
-        self.seed, self.owner, self.place = seed[order], owner[order], place[order]
-        self.masks = []
-        for c in self.codes:
-            m: dict[int, int] = defaultdict(int)
-            for k, w in enumerate(c.tolist()):
-                m[w] |= 1 << k
-            self.masks.append(dict(m))
+        self._masks: dict[int, dict[int, int]] = {}
+        self._seeds()
         self._rarest()
 
+    @staticmethod
+    def seeds(code: np.ndarray) -> np.ndarray:
+        """Karp-Rabin hashes of all SEED words in a row."""
+        n = max(len(code) - SEED + 1, 0)
+        out = np.zeros(n, np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(SEED):
+                out = out * np.uint64(_BASE) + code[k : k + n].astype(np.uint64)
+        return out
+
+    def _seeds(self) -> None:
+        """Of every RUN words in a row of an item at least one seed, the rarest within reach."""
+        each = [self.seeds(c) for c in self.codes]
+        all_, inverse, count = np.unique(np.concatenate(each) if each else np.zeros(0, np.uint64), return_inverse=True, return_counts=True)
+        often = np.split(count[inverse], np.cumsum([len(e) for e in each])[:-1]) if each else []
+        seed, owner = [], []
+        reach = RUN - SEED + 1
+        for k, (e, n) in enumerate(zip(each, often)):
+            at = -1
+            while at + reach < len(e):
+                ahead = n[at + 1 : at + 1 + reach]
+                at += 1 + len(ahead) - 1 - int(ahead[::-1].argmin())
+                seed.append(e[at])
+                owner.append(k)
+        order = np.argsort(np.array(seed, np.uint64), kind="stable")
+        self.seed, self.owner = np.array(seed, np.uint64)[order], np.array(owner, np.int64)[order]
+
     def _rarest(self) -> None:
         """Each item's rarest words, of which a leak by share of words cannot miss ``least``.
 
@@ -131,56 +196,53 @@ class ItemIndex:
         self.rare_item = np.repeat(np.arange(len(self.rare)), [len(x) for x in self.rare])[order]
         self.rare_many = (np.concatenate(many) if many else code)[order]
 
-    def seeds(self, code: np.ndarray) -> np.ndarray:
-        """Codes of all SEED-grams; -1 where a word is in no item."""
-        n = len(code) - SEED + 1
-        if n <= 0:
-            return np.zeros(0, np.int64)
-        out, known = np.zeros(n, np.int64), np.ones(n, bool)
-        for k in range(SEED):
-            out = out * self.base + code[k : k + n]
-            known &= code[k : k + n] > 0
-        return np.where(known, out, -1)
-
-    def found(self, texts: list[str | None]) -> list[tuple[int, int, int, float]]:
-        """(text number, item id, longest run, share in order) of the leaks in some texts."""
+    def masks(self, item: int) -> dict[int, int]:
+        """For each word of an item a bit at each of its places."""
+        if item not in self._masks:
+            if len(self._masks) > 5000:
+                self._masks.clear()
+            m: dict[int, int] = defaultdict(int)
+            for k, w in enumerate(self.codes[item].tolist()):
+                m[w] |= 1 << k
+            self._masks[item] = dict(m)
+        return self._masks[item]
+
+    def found(self, tokens: list[list[str]]) -> list[tuple[int, int, int, float]]:
+        """(text number, item id, longest run, share in order) of the leaks in some texts, given as words."""
         get = self.vocabulary.get
-        coded = [np.array([get(w, 0) for w in words(t)], np.int64) for t in texts]
+        coded = [np.fromiter((get(w, 0) for w in t), np.int64, len(t)) for t in tokens]
         pause = np.zeros(1, np.int64)
         flat = np.concatenate([x for c in coded for x in (c, pause)]) if coded else pause
         first = np.concatenate([[0], np.cumsum([len(c) + 1 for c in coded])])
-        seed = self.seeds(flat)
-        lo, hi = np.searchsorted(self.seed, seed), np.searchsorted(self.seed, seed, side="right")
-        hit = np.flatnonzero((seed >= 0) & (hi > lo))
-        many = (hi - lo)[hit]
-        at = np.repeat(hit, many)
-        entry = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo[hit], many)
-        text, item, place = np.searchsorted(first, at, side="right") - 1, self.owner[entry], self.place[entry]
-        # seeds that follow each other on one diagonal are one match
-        diagonal = at - place
-        order = np.lexsort((at, diagonal, item, text))
-        text, item, at, place, diagonal = (x[order] for x in (text, item, at, place, diagonal))
-        new = np.ones(len(at), bool)
-        new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (at[1:] != at[:-1] + 1)
-        start = np.flatnonzero(new)
-        size = np.diff(np.append(start, len(at))) + SEED - 1
-        text, item, at, place = text[start], item[start], at[start] - first[text[start]], place[start]
-        pair = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]))) if len(text) else start
-        seen = {}
-        for a, b in zip(pair.tolist(), np.append(pair[1:], len(text)).tolist()):
-            t, i, n = int(text[a]), int(item[a]), len(self.codes[int(item[a])])
-            share = 0.0
-            # a leak by share of words leaves tiles that cover a good part of the item, unless it is cut finely
-            if min(int(size[a:b].sum()), n) >= 0.25 * n:
-                share = self._in_order(coded[t], i, list(zip(size[a:b].tolist(), at[a:b].tolist(), place[a:b].tolist())))
-            seen[t, i] = (int(size[a:b].max()), share)
-        for t, i in self._covered(flat, first):
-            longest, share = seen.get((t, i), (0, 0.0))
-            if share < SHARE:
-                share = max(share, self._in_windows(coded[t], i))
-                if share >= SHARE:
-                    seen[t, i] = (longest or self._short_run(coded[t], i), share)
-        return [(t, self.ids[i], longest, share) for (t, i), (longest, share) in sorted(seen.items()) if longest >= RUN or share >= SHARE]
+        out = []
+        with_seed = self._with_seed(flat, first)
+        for t, i in sorted(with_seed | set(self._covered(flat, first))):
+            known = np.zeros(self.base, bool)
+            known[self.codes[i]] = True
+            text = np.where(known[coded[t]], coded[t], 0)
+            longest = Tiling(text, self.codes[i]).longest(len(text)) if (t, i) in with_seed else 0
+            run, share = self._tiled(text, i)
+            if max(longest, run) >= RUN or share >= SHARE:
+                out.append((t, self.ids[i], max(longest, run), share))
+        return out
+
+    def _with_seed(self, flat: np.ndarray, first: np.ndarray) -> set[tuple[int, int]]:
+        """(text, item) pairs that share a seed; each seed of a text counts once, however often it occurs."""
+        known = flat > 0
+        n = max(len(flat) - SEED + 1, 0)
+        whole = np.logical_and.reduce([known[k : k + n] for k in range(SEED)])
+        at = np.flatnonzero(whole)
+        seed = self.seeds(flat)[at]
+        place = np.searchsorted(self.seed, seed)
+        hit = place < len(self.seed)
+        hit[hit] = self.seed[place[hit]] == seed[hit]
+        if not hit.any():
+            return set()
+        text = np.searchsorted(first, at[hit], side="right") - 1
+        text, place = np.divmod(np.unique(text * (len(self.seed) + 1) + place[hit]), len(self.seed) + 1)
+        many = np.searchsorted(self.seed, self.seed[place], side="right") - place
+        entry = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(place, many)
+        return set(zip(np.repeat(text, many).tolist(), self.owner[entry].tolist()))
 
     def _covered(self, flat: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int]]:
         """(text, item) pairs with enough of the item's rarest words in the text, in any order."""
@@ -199,50 +261,34 @@ class ItemIndex:
             enough = np.bincount(inverse, self.rare_many[entry], len(key)) >= least[key % items] if len(key) else np.zeros(0, bool)
             yield from ((int(k) // items, int(k) % items) for k in key[enough])
 
-    def _in_windows(self, code: np.ndarray, item: int) -> float:
-        """Share of the item's words in order in a passage, exact where it reaches SHARE; 0 if it cannot."""
-        n, need = len(self.codes[item]), self.need[item]
+    def _tiled(self, text: np.ndarray, item: int) -> tuple[int, float]:
+        """(longest tile, share of the item's words in order within a passage, exact where it reaches SHARE).
+
+        Only stretches whose tiles cover enough of the item are looked at for the order of its
+        words: no passage in a stretch has more of them in order than tiles cover.
+        """
+        code, n, need = self.codes[item], len(self.codes[item]), self.need[item]
         width = int(PASSAGE * n)
-        known, rare = np.zeros(self.base, bool), np.zeros(self.base, bool)
-        known[self.codes[item]] = True
+        rare = np.zeros(self.base, bool)
         rare[self.rare[item]] = True
-        start = np.flatnonzero(known[code])
-        end = np.minimum(start + width, len(code))
-        all_, few = (np.concatenate([[0], np.cumsum(x[code])]) for x in (known, rare))
+        start = np.flatnonzero(text)
+        end = np.minimum(start + width, len(text))
+        all_, few = (np.concatenate([[0], np.cumsum(x)]) for x in (text > 0, rare[text]))
         start = start[(all_[end] - all_[start] >= need) & (few[end] - few[start] >= self.least[item])]
-        best, k = 0, 0
+        longest, best, k = 0, 0, 0
         while k < len(start) and best < need:
-            # no passage that begins in this stretch has more in order than the stretch and one passage after it
+            # the passages that begin in this stretch end at most one passage after it
             stop = int(np.searchsorted(start, start[k] + width))
-            if lcs(self.masks[item], n, code[start[k] : start[stop - 1] + width].tolist()) >= need:
+            stretch = text[start[k] : start[stop - 1] + width]
+            tiles = Tiling(stretch, code).tiles()
+            longest = max(longest, tiles[0][2] if tiles else 0)
+            if sum(size for _, _, size in tiles) >= need and lcs(self.masks(item), n, stretch.tolist()) >= need:
                 for s in start[k:stop].tolist():
-                    best = max(best, lcs(self.masks[item], n, code[s : s + width].tolist()))
+                    best = max(best, lcs(self.masks(item), n, text[s : s + width].tolist()))
                     if best >= need:
                         break
             k = stop
-        return best / n
-
-    def _short_run(self, code: np.ndarray, item: int) -> int:
-        """Longest run of a pair without a seed."""
-        mine = self.codes[item]
-        return 2 if np.isin(code[:-1] * self.base + code[1:], mine[:-1] * self.base + mine[1:]).any() else 1
-
-    def _in_order(self, code: np.ndarray, item: int, matches: list[tuple[int, int, int]]) -> float:
-        n = len(self.codes[item])
-        width = int(PASSAGE * n)
-        tiled = tiles(matches) if len(matches) <= 4 * n else [(d, i, s) for s, d, i in matches]
-        best, done = 0, -1
-        for d, i, _ in sorted(tiled):
-            begin = max(0, d - 2 * i)
-            if begin <= done:
-                continue
-            inside = sum(s for x, _, s in tiled if begin <= x < begin + width)
-            if inside >= 0.25 * n:
-                best = max(best, lcs(self.masks[item], n, code[begin : begin + width].tolist()))
-                done = begin
-            if best >= SHARE * n:
-                break
-        return best / n
+        return longest, best / n
 
 
 def item_bodies(items: DataFrame) -> DataFrame:
@@ -255,6 +301,20 @@ def item_bodies(items: DataFrame) -> DataFrame:
     return joined.select("item_id", body.alias("body"))
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[list[str]]]]:
+    ids, tokens, size = [], [], 0
+    for b in batches:
+        for number, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            ids.append(number)
+            tokens.append(words(text))
+            size += len(text)
+            if size > CHUNK_BYTES:
+                yield ids, tokens
+                ids, tokens, size = [], [], 0
+    if ids:
+        yield ids, tokens
+
+
 def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Documents that hold an item: doc_id, item_id, longest_run, share_in_order.
 
@@ -262,36 +322,37 @@ def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
     if RUN consecutive words of it occur, or if SHARE of its words occur in order within a
     passage at most PASSAGE times as long as the item.
 
-    Items are cut into blocks of bounded size; each block's seed index is sent to all tasks,
-    and all documents run against each block, whole and without any shuffle. Shared seeds are
-    extended to matches on their diagonals (codes of words in running Karp-Rabin fashion,
-    exact by construction), matches are tiled greedily, and what the tiles cover decides
-    whether the order is counted exactly. An item cut more finely is found by its rarest words,
-    of which no leak can miss more than a fifth of the item, in any order; every passage that
-    has enough of them and of all words is counted exactly.
+    Items are cut into blocks of bounded size, whose seed indexes are sent to the workers. The
+    documents are read and split into words once, whole and without any shuffle, and run
+    against one block after the other. Texts and items are joined on seeds they share: three
+    words in a row, one of every RUN of an item, for runs; for shares an item's rarest words,
+    of which no leak can miss more than a fifth of the item. Joined pairs are tiled greedily by
+    running Karp-Rabin of falling length: the longest tile decides on a run; where the tiles of
+    a passage, in any order, cover SHARE of the item, the words in order are counted exactly.
 
     Null texts or ids, items of fewer than SEED words: no rows. Repeated rows: one result row
     each pair. Empty input gives no rows.
     """
     spark = documents.sparkSession
+    schema = "doc_id long, item_id long, longest_run int, share_in_order double"
     bodies = item_bodies(items)
     total = bodies.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES)
-    texts = spread(documents.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null"), "doc_id")
-    result = None
-    for b in range(blocks):
-        mine = bodies.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
-        index = spark.sparkContext.broadcast(ItemIndex([(r["item_id"], r["body"]) for r in mine.collect()]))
-
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows = index.value.found(batch.column(1).to_pylist())
+    if not blocks:
+        return spark.createDataFrame([], schema)
+    block = lambda b: bodies.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).toLocalIterator()
+    indexes = [spark.sparkContext.broadcast(ItemIndex([(r["item_id"], r["body"]) for r in block(b)])) for b in range(blocks)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, tokens in _chunks(batches):
+            for index in indexes:
+                rows = index.value.found(tokens)
+                if len(indexes) > 1:
+                    index.__dict__.pop("_value", None)  # the next block takes its place in memory
                 if rows:
                     t, i, longest, share = zip(*rows)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(t)), pa.array(i, pa.int64()), pa.array(longest, pa.int32()), pa.array(share, pa.float64())], ["doc_id", "item_id", "longest_run", "share_in_order"])
+                    yield pa.RecordBatch.from_arrays([pa.array([ids[x] for x in t], pa.int64()), pa.array(i, pa.int64()), pa.array(longest, pa.int32()), pa.array(share, pa.float64())], ["doc_id", "item_id", "longest_run", "share_in_order"])
 
-        part = texts.mapInArrow(run, "doc_id long, item_id long, longest_run int, share_in_order double")
-        result = part if result is None else result.unionByName(part)
-    if result is None:
-        return spark.createDataFrame([], "doc_id long, item_id long, longest_run int, share_in_order double")
-    return result.groupBy("doc_id", "item_id").agg(F.max("longest_run").alias("longest_run"), F.max("share_in_order").alias("share_in_order"))
+    texts = spread(documents.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null"), "doc_id")
+    found = texts.mapInArrow(run, schema)
+    return found.groupBy("doc_id", "item_id").agg(F.max("longest_run").alias("longest_run"), F.max("share_in_order").alias("share_in_order"))

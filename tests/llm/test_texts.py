@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 import skysift.llm.leakage as leakage
 from skysift.llm.language import TextModel, canonical_label, corrected_languages, document_languages, fold, segment_languages, sentences
-from skysift.llm.leakage import ItemIndex, lcs, leaked_items, tiles, words
+from skysift.llm.leakage import ItemIndex, Tiling, lcs, leaked_items, words
 from skysift.llm.packing import BestFit, pack, token_counts, tokenizer_files
 
 
@@ -72,17 +73,41 @@ def test_lcs(item, passage):
     assert lcs(masks, len(item), passage) == plain_lcs(item, passage)
 
 
-def test_tiles_do_not_overlap():
-    t = tiles([(10, 0, 0), (8, 5, 40), (3, 100, 3), (4, 101, 20)])
-    assert t[0] == (0, 0, 10) and (10, 45, 3) in t and (101, 20, 4) in t
-    assert len({d + k for d, _, s in t for k in range(s)}) == sum(s for _, _, s in t)
+def plain_tiles(a, b):
+    """Greedy string tiling by trying everything."""
+    a, b, out = list(a), list(b), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                k = 0
+                while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and a[i + k] > 0:
+                    k += 1
+                best = max(best, (k, -i, -j))
+        k, i, j = best[0], -best[1], -best[2]
+        if not k:
+            return out
+        out.append(k)
+        a[i : i + k], b[j : j + k] = [0] * k, [-1] * k
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=40), st.lists(st.integers(1, 5), min_size=1, max_size=25))
+def test_tiles(text, item):
+    a, b = np.array(text, np.int64), np.array(item, np.int64)
+    got = Tiling(a, b).tiles()
+    sizes = [s for _, _, s in got]
+    assert sizes == sorted(sizes, reverse=True) and sizes[:1] == plain_tiles(text, item)[:1]
+    assert all((a[d : d + s] == b[i : i + s]).all() for d, i, s in got)
+    assert len({d + k for d, _, s in got for k in range(s)}) == len({i + k for _, i, s in got for k in range(s)}) == sum(sizes)
+    assert sum(sizes) == sum(min(text.count(w), item.count(w)) for w in set(item)) == sum(plain_tiles(text, item))
 
 
 ITEM = "the copper lantern hums at nine while seven gulls count lamps along a quiet pier and nobody asks why"
 
 
 def leaks(text, item=ITEM):
-    return [(i, s >= leakage.SHARE) for _, i, _, s in ItemIndex([(7, item)]).found([text])]
+    return [(i, s >= leakage.SHARE) for _, i, _, s in ItemIndex([(7, item)]).found([words(text)])]
 
 
 def test_leak_limits():
