@@ -35,20 +35,28 @@ ISO_THREE = {
     "ces": "cs", "cze": "cs", "dan": "da", "ell": "el", "gre": "el", "est": "et", "fin": "fi", "hun": "hu", "lav": "lv", "lit": "lt", "nor": "no",
     "ron": "ro", "rum": "ro", "rus": "ru", "slk": "sk", "slo": "sk", "slv": "sl", "swe": "sv", "tur": "tr", "ukr": "uk", "zho": "zh", "chi": "zh", "jpn": "ja", "kor": "ko", "ara": "ar",
 }
+# English names of languages.
+NAMES = {
+    "english": "en", "french": "fr", "german": "de", "spanish": "es", "italian": "it", "portuguese": "pt", "dutch": "nl", "polish": "pl",
+    "chinese": "zh", "japanese": "ja", "korean": "ko", "arabic": "ar", "russian": "ru", "ukrainian": "uk", "turkish": "tr", "swedish": "sv",
+}
 NO_LABEL = ("", "und", "unknown", "mul", "zxx", "none", "null")
 
 _LOG = re.compile(r"^[^\n]*$", re.M)
-_END = re.compile(r"[.!?…]+[\"'»”’)\]]*(?=\s|\x00|\Z)|\x00+|\Z")
+_END = re.compile(r"[.!?…]+[\"'»”’)\]]*(?=\s|\x00|\Z)|[。！？｡।؟]+[\"'»”’)\]」』]*|\x00+|\Z")
 _NATURAL = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
-_EDGE = ".,;:!?…\"'()[]«»“”„‘’–—-•>*"
+#: Scripts that put no blanks between words: Thai, Lao, Myanmar, Khmer, kana and Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_MARKUP = r"<[^<>]{1,300}?\blang\s*=\s*[\"']?([A-Za-z]{2,3})\b"
+_EDGE = ".,;:!?…。、，．！？｡।؟「」『』《》（）\"'()[]«»“”„‘’–—-•>*"
 _FOLD = str.maketrans({"ł": "l", "ß": "ss", "ø": "o", "æ": "ae", "œ": "oe", "đ": "d", "’": "'"})
 
 
 def canonical_label(label):
-    """Two-letter code of a label column in any spelling; null if it names no language."""
+    """Two-letter code of a label column in any spelling, other three-letter codes as they are; null if it names no language."""
     head = F.lower(F.regexp_extract(F.trim(label), r"^([A-Za-z]+)", 1))
-    three = F.create_map(*(F.lit(x) for p in ISO_THREE.items() for x in p))
-    return F.when(head.isin(*NO_LABEL), None).when(F.length(head) == 2, head).otherwise(three[head])
+    known = F.create_map(*(F.lit(x) for p in (ISO_THREE | NAMES).items() for x in p))
+    return F.when(head.isin(*NO_LABEL), None).when(F.length(head) == 2, head).otherwise(F.coalesce(known[head], F.when(F.length(head) == 3, head)))
 
 
 def fold(word: str) -> str:
@@ -58,22 +66,38 @@ def fold(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
 
 
-_WORDS: dict[str, str | None] = {}
+_WORDS: dict[str, str | tuple[str, ...] | None] = {}
+
+
+def _word_of(token: str) -> str | tuple[str, ...] | None:
+    bare = token.strip(_EDGE)
+    if bare and not bare.isascii():
+        bare = "".join(c for c in bare if unicodedata.category(c)[0] != "M") if _UNSPACED.search(bare) else unicodedata.normalize("NFC", bare)
+        if not _NATURAL.fullmatch(bare):
+            bare = "".join(c for c in bare if unicodedata.category(c)[0] != "M")
+    if not bare or not _NATURAL.fullmatch(bare):
+        return None
+    if len(bare) > 2 and _UNSPACED.search(bare):
+        return tuple(fold(bare[k : k + 2]) for k in range(len(bare) - 1))
+    return fold(bare)
 
 
-def natural_words(tokens: list[str]) -> list[str]:
-    """Folded words; tokens with digits, underscores or signs inside have no language."""
-    out = []
+def natural_words(tokens: list[str]) -> tuple[list[str], int]:
+    """Folded words, and how many tokens they come from; tokens with digits, underscores or signs inside have no language.
+
+    Tokens of scripts without blanks between words give their pairs of neighbouring characters.
+    """
+    out, n = [], 0
     for t in tokens:
         w = _WORDS.get(t, "")
         if w == "":
-            bare = t.strip(_EDGE)
-            w = fold(bare) if bare and _NATURAL.fullmatch(bare) else None
+            w = _word_of(t)
             if len(_WORDS) < 200_000:
                 _WORDS[t] = w
         if w:
-            out.append(w)
-    return out
+            n += 1
+            out.append(w) if w.__class__ is str else out.extend(w)
+    return out, n
 
 
 def _is_log(line: str) -> bool:
@@ -98,10 +122,17 @@ def sentences(text: str | None) -> list[tuple[int, int, list[str]]]:
         end = m.start() if log else m.end()
         piece = text[begin:end]
         tokens = piece.split()
-        w = natural_words(tokens)
-        if len(w) >= 2 and 2 * len(w) >= len(tokens):
+        w, n = natural_words(tokens)
+        if len(w) >= 2 and 2 * n >= len(tokens):
             out.append((end - len(piece.lstrip()), end - len(piece) + len(piece.rstrip()), w))
         begin = m.end()
+    if not out:
+        # no sentence of two words: what words there are make one
+        tokens = text.replace("\x00", " ").split()
+        w, n = natural_words(tokens)
+        if w and 2 * n >= len(tokens):
+            bare = text.replace("\x00", " ")
+            out.append((len(bare) - len(bare.lstrip()), len(bare.rstrip()), w))
     return out
 
 
@@ -242,19 +273,19 @@ def fit(documents: DataFrame, most: int = FIT_DOCUMENTS) -> TextModel:
 
 
 def _segments(model):
-    names = ["doc_id", "source", "label", "segment", "begin", "end", "words", "score"]
+    names = ["doc_id", "source", "label", "declared", "segment", "begin", "end", "words", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in batches:
             row, number, begin, end, size = [], [], [], [], []
-            found = [sentences(t) for t in b.column(3).to_pylist()]
+            found = [sentences(t) for t in b.column(4).to_pylist()]
             score = [x for s in _by_text(found, m.scores([w for f in found for _, _, w in f])) for x in s]
             for r, f in enumerate(found):
                 for k, (a, z, w) in enumerate(f):
                     row.append(r), number.append(k), begin.append(a), end.append(z), size.append(len(w))
             take = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(3)), *(pa.array(x, pa.int32()) for x in (number, begin, end, size)), pa.array(score, pa.list_(pa.float32()))], names)
+            yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(4)), *(pa.array(x, pa.int32()) for x in (number, begin, end, size)), pa.array(score, pa.list_(pa.float32()))], names)
 
     return run
 
@@ -266,11 +297,11 @@ def _log_prior(counts: list, coarser, languages: int):
 
 
 def segment_languages(documents: DataFrame, model: TextModel | None = None) -> DataFrame:
-    """Language and confidence of every sentence with at least two natural words.
+    """Language and confidence of every sentence with at least two natural words, or of a text that has no such sentence.
 
     Columns: doc_id, label (canonical), segment, begin, end (characters), words, lang,
-    confidence. Text likelihoods are combined with the document's declared label (by how often
-    that label goes with each language) and with priors of its source: shares of languages by
+    confidence. Text likelihoods are combined with the document's declared language, its label or
+    else the ``lang`` of its markup (by how often that goes with each language), and with priors of its source: shares of languages by
     source, smoothed towards those by the source's address suffix, smoothed towards those of
     all documents. All counts come from grouped aggregation over all documents.
     """
@@ -278,19 +309,21 @@ def segment_languages(documents: DataFrame, model: TextModel | None = None) -> D
     model = model or fit(documents)
     langs = model.languages
     k = len(langs)
-    plain = documents.select(F.col("doc_id").cast("long"), "source", canonical_label(F.col("lang")).alias("label"), "text").where("doc_id is not null and text is not null")
+    label = canonical_label(F.col("lang"))
+    declared = F.coalesce(label, canonical_label(F.regexp_extract("text", _MARKUP, 1)))
+    plain = documents.select(F.col("doc_id").cast("long"), "source", label.alias("label"), declared.alias("declared"), "text").where("doc_id is not null and text is not null")
     empty = "doc_id long, label string, segment int, begin int, end int, words int, lang string, confidence double"
     if not k:
         return spark.createDataFrame([], empty)
-    schema = "doc_id long, source string, label string, segment int, begin int, end int, words int, score array<float>"
+    schema = "doc_id long, source string, label string, declared string, segment int, begin int, end int, words int, score array<float>"
     rows = materialize(spread(plain, "doc_id").mapInArrow(_segments(spark.sparkContext.broadcast(model)), schema), "segments")
-    rows = rows.withColumn("source", F.coalesce("source", F.lit(""))).withColumn("suffix", F.regexp_replace("source", r"^[^-./@]*[-./@]", "")).withColumn("label", F.coalesce("label", F.lit("")))
+    rows = rows.withColumn("source", F.coalesce("source", F.lit(""))).withColumn("suffix", F.regexp_replace("source", r"^[^-./@]*[-./@]", "")).withColumn("declared", F.coalesce("declared", F.lit("")))
     best = F.array_position("score", F.array_max("score")).cast("int")
     ones = [F.sum((best == i + 1).cast("double")).alias(f"n{i}") for i in range(k)]
-    by = materialize(rows.groupBy("source", "suffix", "label").agg(*ones), "language-counts")
+    by = materialize(rows.groupBy("source", "suffix", "declared").agg(*ones), "language-counts")
     sums = [F.sum(f"n{i}").alias(f"n{i}") for i in range(k)]
-    # by language and label: at most (labels + 1) rows
-    table = {r["label"]: [r[f"n{i}"] for i in range(k)] for r in by.where(F.col("label").isin("", *langs)).groupBy("label").agg(*sums).collect()}
+    # by language and declared label: at most (languages + 1) rows
+    table = {r["declared"]: [r[f"n{i}"] for i in range(k)] for r in by.where(F.col("declared").isin("", *langs)).groupBy("declared").agg(*sums).collect()}
     whole = by.agg(*sums).first()
     whole = [(whole[f"n{i}"] or 0.0) + 1.0 for i in range(k)]
     shares = [x / sum(whole) for x in whole]
@@ -298,28 +331,33 @@ def segment_languages(documents: DataFrame, model: TextModel | None = None) -> D
     suffix = by.groupBy("suffix").agg(*sums).select("suffix", *(x.alias(f"s{i}") for i, x in enumerate(_log_prior([F.col(f"n{i}") for i in range(k)], [F.lit(x) for x in shares], k))))
     source = by.groupBy("source", "suffix").agg(*sums).join(suffix, "suffix")
     source = source.select("source", F.array(*(F.log(x) for x in _log_prior([F.col(f"n{i}") for i in range(k)], [F.col(f"s{i}") for i in range(k)], k))).alias("prior"))
-    mark = F.coalesce(F.create_map(*(y for x, v in marks.items() for y in (F.lit(x), F.array(*map(F.lit, v)))))[F.col("label")], F.array(*[F.lit(0.0)] * k)) if marks else F.array(*[F.lit(0.0)] * k)
+    mark = F.coalesce(F.create_map(*(y for x, v in marks.items() for y in (F.lit(x), F.array(*map(F.lit, v)))))[F.col("declared")], F.array(*[F.lit(0.0)] * k)) if marks else F.array(*[F.lit(0.0)] * k)
     fused = rows.join(source, "source").withColumn("mark", mark)
     fused = fused.withColumn("post", F.expr("transform(score, (x, i) -> x + prior[i] + mark[i])")).withColumn("top", F.array_max("post"))
     known = F.array(*map(F.lit, langs))
     return fused.select(
-        "doc_id", F.nullif("label", F.lit("")).alias("label"), "segment", "begin", "end", "words",
+        "doc_id", "label", "segment", "begin", "end", "words",
         F.element_at(known, F.array_position("post", F.col("top")).cast("int")).alias("lang"),
         (1 / F.expr("aggregate(post, 0D, (s, x) -> s + exp(x - top))")).alias("confidence"),
     )
 
 
 def document_languages(segments: DataFrame) -> DataFrame:
-    """Languages of each document, from its segments: doc_id, label, lang, sentences, of, confidence.
+    """Languages of each document, from its segments: doc_id, label, lang, sentences, of, confidence, counts.
 
-    A language counts if at least SENTENCES sentences, or all, are written in it.
+    A language counts if at least SENTENCES sentences, or all, are written in it. A document in
+    which none does has one row, of its foremost language, that does not count.
     """
     each = segments.groupBy("doc_id", "label", "lang").agg(F.count("*").alias("sentences"), F.sum("words").alias("words"), F.avg("confidence").alias("confidence"))
-    whole = each.groupBy("doc_id").agg(F.sum("sentences").alias("of"))
-    return each.join(whole, "doc_id").where((F.col("sentences") >= SENTENCES) | (F.col("sentences") == F.col("of")))
+    rank = F.struct("sentences", "words", "lang")
+    whole = each.groupBy("doc_id").agg(F.sum("sentences").alias("of"), F.max(F.when(F.col("sentences") >= SENTENCES, 1).otherwise(0)).alias("any"), F.max_by("lang", rank).alias("first"))
+    counts = (F.col("sentences") >= SENTENCES) | (F.col("sentences") == F.col("of"))
+    kept = each.join(whole, "doc_id").withColumn("counts", counts).where(F.col("counts") | ((F.col("any") == 0) & (F.col("lang") == F.col("first"))))
+    return kept.select("doc_id", "label", "lang", "sentences", "words", "of", "confidence", "counts")
 
 
 def corrected_languages(languages: DataFrame) -> DataFrame:
-    """Rows of documents whose label is missing or names another language, or that are mixed."""
+    """Rows that count, of documents whose label is missing or names another language, or that are mixed."""
+    languages = languages.where("counts")
     many = languages.groupBy("doc_id").agg(F.count("*").alias("many"), F.max((F.col("lang") == F.col("label")).cast("int")).alias("right"))
-    return languages.join(many, "doc_id").where((F.col("many") > 1) | (F.coalesce("right", F.lit(0)) == 0)).drop("many", "right")
+    return languages.join(many, "doc_id").where((F.col("many") > 1) | (F.coalesce("right", F.lit(0)) == 0)).drop("many", "right", "counts")

@@ -28,12 +28,11 @@ def tokenizer_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
-def _count(vocabulary: str, pattern: str):
+def _count(vocabulary, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.value.splitlines())}
         encoding = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         for b in batches:
             sizes = [len(encoding.encode_ordinary(t)) for t in b.column(1).to_pylist()]
@@ -43,8 +42,13 @@ def _count(vocabulary: str, pattern: str):
 
 
 def token_counts(texts: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """(item, size): tokens of the whole text of ``texts(item long, text string)``; null text: 0."""
-    return spread(texts.select("item", F.coalesce("text", F.lit("")).alias("text")), "item").mapInArrow(_count(vocabulary, pattern), "item long, size long")
+    """(item, size): tokens of the whole text of ``texts(item long, text string)``; null text: 0.
+
+    The driver reads the vocabulary file (a few megabytes) and sends it; executors need no copy.
+    """
+    with open(vocabulary, "rb") as f:
+        sent = texts.sparkSession.sparkContext.broadcast(f.read())
+    return spread(texts.select("item", F.coalesce("text", F.lit("")).alias("text")), "item").mapInArrow(_count(sent, pattern), "item long, size long")
 
 
 class BestFit:

@@ -12,6 +12,7 @@ from skysift.llm.language import corrected_languages, document_languages, segmen
 from skysift.llm.leakage import leaked_items
 from skysift.llm.packing import pack, token_counts, tokenizer_files
 from skysift.llm.patterns import frequent_patterns
+from skysift.session import materialize
 from skysift.sources.tables import table
 
 
@@ -51,9 +52,13 @@ def p8_packed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_room(spark: SparkSession, d: str) -> DataFrame:
-    """Containers, tokens in them and the share of room left."""
-    fill = p8_packed(spark, d).groupBy("container").agg(F.sum("tokens").alias("tokens"))
-    return fill.agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("fullest"), (1 - F.sum("tokens") / (F.count("*") * 2048)).alias("room_share"))
+    """Containers, tokens in them, the share of room left, and what must be 0: tokens missing, placed twice or beyond a container, needless splits."""
+    placed = materialize(p8_packed(spark, d), "placed")
+    fill = placed.groupBy("container").agg(F.sum("tokens").alias("tokens"))
+    room = fill.agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"), F.count_if(F.col("tokens") > 2048).alias("overfull"), (1 - F.sum("tokens") / (F.count("*") * 2048)).alias("room_share"))
+    pieces = placed.groupBy("doc_id").agg(F.count("*").alias("pieces"), F.sum("tokens").alias("tokens"), F.min("token_begin").alias("begin"), F.max("token_end").alias("end"), F.count_distinct("token_begin").alias("begins"))
+    wrong = pieces.agg(F.count_if((F.col("begin") != 0) | (F.col("end") != F.col("tokens")) | (F.col("begins") != F.col("pieces"))).alias("not_once"), F.count_if(F.col("pieces") != F.ceil(F.col("tokens") / 2048)).alias("needless_splits"))
+    return room.join(wrong)
 
 
 def _leaks(spark: SparkSession, d: str) -> DataFrame:

@@ -164,13 +164,18 @@ def test_sentences():
     found = sentences(text)
     assert [text[a:b] for a, b, _ in found] == ["Nothing else was found.", "At 17:06 it grew 2.5 times!", 'Wrapped over\ntwo lines "here."']
     assert sentences(None) == sentences("") == sentences("123 456.") == []
+    assert [w for _, _, w in sentences("Danke!")] == [["danke"]] and sentences("k=1 x=2") == []
+    for text in ("今日は天気がいいです。明日は雨が降ります。", "旧继电器没有响应。没有人认领设备！"):
+        parts = sentences(text)
+        assert len(parts) == 2 and all(len(w) > 4 for _, _, w in parts) and [text[a:b] for a, b, _ in parts] == [x for x in (text[: parts[0][1]], text[parts[0][1] :])]
+    assert len(sentences("อุปกรณ์เก่าไม่ตอบสนอง ไม่มีใครรับ")) == 1
     assert fold("Łódź") == "lodz" and fold("Straße") == "strasse"
 
 
 def test_labels(spark):
-    rows = [("eng",), ("en-GB",), (" DE ",), ("pl_PL",), ("und",), ("",), (None,), ("unknown",), ("xx1",), ("fre",)]
+    rows = [("eng",), ("en-GB",), (" DE ",), ("pl_PL",), ("und",), ("",), (None,), ("unknown",), ("xx1",), ("fre",), ("swa",), ("English",)]
     got = [r.x for r in spark.createDataFrame(rows, "l string").select(canonical_label(F.col("l")).alias("x")).collect()]
-    assert got == ["en", "en", "de", "pl", None, None, None, None, "xx", "fr"]
+    assert got == ["en", "en", "de", "pl", None, None, None, None, "xx", "fr", "swa", "en"]
 
 
 def test_languages(spark):
