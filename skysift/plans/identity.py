@@ -13,7 +13,7 @@ from skysift.operators.components import components
 from skysift.operators.knn import nearest
 from skysift.operators.match import null_tolerant_anti
 from skysift.plans.frames import FRAMES_SQL, frames, stable_sql
-from skysift.plans.payloads import _LONG, _M, _TEXT, messages, transform
+from skysift.plans.payloads import _LONG, _TEXT, messages, records_sql, transform
 from skysift.plans.problems import canon_sql
 from skysift.plans.registry import NOW, Registry
 from skysift.sources.tables import table
@@ -174,7 +174,7 @@ def shadow_alert_json(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("q21_dns_threat", f"""
-WITH {_M.format('proxy.events')}, b AS (SELECT {_TEXT.format('host')} AS host, TRY_CAST(json_extract_string(payload, '$.time') AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS t, coalesce({_LONG.format('bytes_up')}, 0) + coalesce({_LONG.format('bytes_down')}, 0) AS n
+WITH {records_sql('proxy.events')}, b AS (SELECT {_TEXT.format('host')} AS host, TRY_CAST(json_extract_string(payload, '$.time') AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS t, coalesce({_LONG.format('bytes_up')}, 0) + coalesce({_LONG.format('bytes_down')}, 0) AS n
  FROM r WHERE json_extract_string(payload, '$.blocked') IN ('true', '1') AND json_type(payload, '$.blocked') <> 'VARCHAR'),
 g AS (SELECT host, count(*) AS blocked, CAST(sum(n) AS BIGINT) AS traffic, count(*) FILTER (WHERE t >= TIMESTAMP '{NOW}' - INTERVAL 1 DAY) AS recent FROM b WHERE t >= TIMESTAMP '{NOW}' - INTERVAL 7 DAY AND host IS NOT NULL GROUP BY 1 HAVING count(*) > 1),
 s AS (SELECT *, blocked * (traffic / CAST(blocked AS DOUBLE) + 1) * (1 + 2.0 * recent / CAST(blocked AS DOUBLE)) AS score FROM g)

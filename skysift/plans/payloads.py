@@ -9,6 +9,7 @@ from skysift.functions import jsonx
 from skysift.functions.ids import name_uuid, sha256
 from skysift.functions.text import search_text
 from skysift.plans.registry import Registry
+from skysift.session import materialize
 from skysift.sources.tables import table
 
 query = Registry()
@@ -132,10 +133,22 @@ def wide(events: DataFrame, only: set[str] | None = None) -> DataFrame:
     return flat.withColumn("wireless_search_text", search_text(*(F.col(c) for c in SEARCHED)))
 
 
+def latest_payload(payload: str = "payload", updated: str = "updated_at") -> Column:
+    """Aggregate: the latest readable copy of a payload, unwrapped if it is JSON text inside a JSON string.
+
+    Objects and arrays are readable; of copies of equal age the greatest text counts. Plain
+    payloads are parsed once here, to see whether they can be.
+    """
+    inner = F.try_variant_get(F.try_parse_json(payload), "$", "string")
+    text = F.when(F.ltrim(payload).startswith('"'), inner).otherwise(F.col(payload))
+    fine = F.left(F.ltrim(text), F.lit(1)).isin("{", "[") & F.try_parse_json(text).isNotNull()
+    return F.max_by(text, F.when(fine, F.struct(F.col(updated), text)))
+
+
 def audit_events(spark: SparkSession, d: str) -> DataFrame:
-    """Audit messages with a payload, each once."""
+    """Audit messages with a payload, each once, in their latest readable copy (else null)."""
     rows = table(spark, d, "sync_events").where("stream_name = 'wireless.audit' and payload is not null")
-    return rows.groupBy("dedupe_key").agg(F.min("stream_name").alias("stream_name"), F.min("observed_at").alias("observed_at"), F.min("payload").alias("payload"))
+    return rows.groupBy("dedupe_key").agg(F.min("stream_name").alias("stream_name"), F.min("observed_at").alias("observed_at"), latest_payload().alias("payload"))
 
 
 def frame_tables(events: DataFrame) -> dict[str, DataFrame]:
@@ -180,7 +193,9 @@ def sql_guard(kind: str, limit: int | None, paths: list[str]) -> str:
     return c if limit is None else f"coalesce({c}, {limit})"
 
 
-_AUDIT = "e AS (SELECT dedupe_key, min(stream_name) AS stream_name, min(observed_at) AS observed_at, min(CASE WHEN json_valid(payload) THEN payload ELSE '{}' END) AS payload FROM sync_events WHERE stream_name = 'wireless.audit' AND payload IS NOT NULL GROUP BY 1)"
+_READABLE = "SELECT *, CASE WHEN json_valid(payload) THEN CASE WHEN ltrim(payload) LIKE '\"%' THEN json_extract_string(payload, '$') ELSE payload END END AS p FROM sync_events"
+_LATEST = "arg_max(p, (updated_at, p)) FILTER (WHERE json_valid(p) AND left(ltrim(p), 1) IN ('{', '['))"
+_AUDIT = f"e AS (SELECT dedupe_key, min(stream_name) AS stream_name, min(observed_at) AS observed_at, coalesce({_LATEST}, '{{}}') AS payload FROM ({_READABLE}) WHERE stream_name = 'wireless.audit' AND payload IS NOT NULL GROUP BY 1)"
 _GUARDED = {name: sql_guard(kind, limit, paths) for name, kind, limit, *paths in WIDE}
 _NUMBERS = [n for n, kind, *_ in WIDE if kind in ("int", "long", "flag", "double")]
 
@@ -189,12 +204,12 @@ def _casts(names) -> str:
     return ", ".join(f"CAST({_GUARDED[n]} AS DOUBLE) AS {n}" if n in _NUMBERS else f"{_GUARDED[n]} AS {n}" for n in names)
 
 
-@query("q28_json_guards", f"WITH {_AUDIT} SELECT dedupe_key, {_casts([n for n, kind, *_ in WIDE if kind != 'array' and n not in ('mdns_name',)][:45])} FROM e")
+@query("q28_json_guards", f"WITH {_AUDIT} SELECT dedupe_key, {_casts([n for n, kind, *_ in WIDE])} FROM e")
 def json_guards(spark: SparkSession, d: str) -> DataFrame:
-    """The first 45 columns of the wide projection; numbers as double, so that nulls compare."""
-    names = [n for n, kind, *_ in WIDE if kind != "array" and n != "mdns_name"][:45]
-    w = wide(audit_events(spark, d))
-    return w.select("dedupe_key", *((F.col(n).cast("double").alias(n) if n in _NUMBERS else F.col(n)) for n in names))
+    """All guarded columns of the wide projection; numbers as double, so that nulls compare, arrays as their size."""
+    w = wide(audit_events(spark, d), {n for n, *_ in WIDE})
+    size = F.expr("cast(json_array_length(tags) as varchar(20))")
+    return w.select("dedupe_key", *(size.alias(n) if kind == "array" else F.col(n).cast("double").alias(n) if n in _NUMBERS else F.col(n) for n, kind, *_ in WIDE))
 
 
 @query("q29_json_projection", f"""
@@ -226,11 +241,16 @@ for _name in FRAME_TABLES:
 @query("q08_projection_star", f"""
 WITH {_AUDIT} SELECT dedupe_key, {_casts(['source_mac', 'frame_type', 'frame_subtype', 'signal_dbm', 'retry', 'protected', 'bssid', 'app_protocol', 'adjacent_mac_hint', 'tsft_delta_us', 'wall_clock_delta_ms', 'session_key'])} FROM e""")
 def projection_star(spark: SparkSession, d: str) -> DataFrame:
-    """The projection frame rebuilt by five left joins on one key, which share one partitioning."""
-    t = frame_tables(audit_events(spark, d))
-    star = t["wireless_frames"].select("dedupe_key", "source_mac", "frame_type", "frame_subtype", "bssid")
-    for name, columns in (("radio", ("signal_dbm", "tsft_delta_us", "wall_clock_delta_ms")), ("qos", ("retry",)), ("network", ("app_protocol",)), ("security", ("protected",)), ("identity", ("adjacent_mac_hint", "session_key"))):
-        star = star.join(t[f"wireless_frame_{name}"].select("dedupe_key", *columns), "dedupe_key", "left")
+    """The projection frame rebuilt by five left joins on one key.
+
+    The payloads are parsed once, into one written table of the columns wanted; the joined
+    tables are narrow scans of it.
+    """
+    wanted = ("source_mac", "frame_type", "frame_subtype", "bssid", "signal_dbm", "tsft_delta_us", "wall_clock_delta_ms", "retry", "app_protocol", "protected", "adjacent_mac_hint", "session_key")
+    w = materialize(wide(audit_events(spark, d), set(wanted)), "wide")
+    star = w.select("dedupe_key", *wanted[:4])
+    for name in ("radio", "qos", "network", "security", "identity"):
+        star = star.join(w.select("dedupe_key", *(c for c in FRAME_TABLES[f"wireless_frame_{name}"] if c in wanted)), "dedupe_key", "left")
     return star.select("dedupe_key", *((F.col(c).cast("double").alias(c) if c in _NUMBERS else F.col(c)) for c in star.columns if c != "dedupe_key"))
 
 
@@ -266,88 +286,205 @@ def payload_rows(events: DataFrame, kind: str) -> DataFrame:
     return parsed.select("*", F.posexplode(rows).alias("row_sequence", "v"))
 
 
-def _time(v: Column, *paths: str) -> Column:
-    return F.coalesce(*(jsonx.lenient_time(v, p) for p in paths))
+class SparkReader:
+    """Members of a record as typed columns, read leniently; the first path that gives a value counts."""
+
+    def __init__(self, v: Column, parent: Column) -> None:
+        self.v, self.parent = v, parent
+
+    @staticmethod
+    def first(*cells: Column) -> Column:
+        return F.coalesce(*cells)
+
+    @staticmethod
+    def value(x: int | str) -> Column:
+        return F.lit(x)
+
+    def text(self, *paths: str) -> Column:
+        """A string that is not empty."""
+        return F.coalesce(*(jsonx.lenient_text(self.v, f"$.{p}") for p in paths))
+
+    def present(self, *paths: str) -> Column:
+        """A string, which may be empty."""
+        return F.coalesce(*(jsonx.present_text(self.v, f"$.{p}") for p in paths))
+
+    def long(self, *paths: str) -> Column:
+        return F.coalesce(*(jsonx.lenient_long(self.v, f"$.{p}") for p in paths))
+
+    def double(self, *paths: str) -> Column:
+        return F.coalesce(*(jsonx.lenient_double(self.v, f"$.{p}") for p in paths))
+
+    def flag(self, path: str) -> Column:
+        return jsonx.bool_flag(self.v, f"$.{path}")
+
+    def time(self, *paths: str) -> Column:
+        return F.coalesce(*(jsonx.lenient_time(self.v, f"$.{p}") for p in paths))
+
+    def day(self, path: str) -> Column:
+        """The date of an instant in its own offset, as text."""
+        return F.when(self.time(path).isNotNull(), F.left(jsonx.present_text(self.v, f"$.{path}"), F.lit(10)))
+
+    def array(self, path: str) -> Column:
+        return jsonx.array_text(self.v, f"$.{path}")
+
+    def inherited(self, *paths: str) -> Column:
+        """A string of the enclosing record, which may be empty."""
+        return F.coalesce(*(jsonx.present_text(self.parent, f"$.{p}") for p in paths))
+
+    def inherited_time(self, *paths: str) -> Column:
+        return jsonx.instant(self.inherited(*paths))
+
+    def holds(self, path: str, *words: str) -> Column:
+        """1 if an array of strings holds one of the words, else 0."""
+        return F.coalesce(F.arrays_overlap(F.try_variant_get(self.v, f"$.{path}", "array<string>"), F.array(*map(F.lit, words))), F.lit(False)).cast("int")
+
+    def either(self, a: Column, b: Column) -> Column:
+        return F.greatest(a, b)
+
+    def bounded(self, c: Column, most: float) -> Column:
+        return F.when(c.isNotNull(), F.greatest(F.lit(-most), F.least(F.lit(most), c)))
+
+    def upper(self, c: Column) -> Column:
+        return F.upper(c)
+
+    def magnitude(self, c: Column) -> Column:
+        return F.abs(c)
+
+    def digest(self, c: Column) -> Column:
+        return sha256(c)
+
+    def record_id(self) -> Column:
+        return name_uuid(F.to_json(self.v))
+
+
+class SqlReader:
+    """The same cells as SQL texts over ``payload`` and ``parent``, for the checks."""
+
+    @staticmethod
+    def first(*cells: str) -> str:
+        return f"coalesce({', '.join(cells)})" if len(cells) > 1 else cells[0]
+
+    @staticmethod
+    def value(x: int | str) -> str:
+        return f"'{x}'" if isinstance(x, str) else str(x)
+
+    def present(self, *paths: str, of: str = "payload") -> str:
+        return self.first(*(f"CASE WHEN json_type({of}, '$.{p}') = 'VARCHAR' THEN json_extract_string({of}, '$.{p}') END" for p in paths))
+
+    def text(self, *paths: str) -> str:
+        return self.first(*(f"nullif({self.present(p)}, '')" for p in paths))
+
+    def long(self, *paths: str) -> str:
+        return self.first(*(f"CASE WHEN json_type(payload, '$.{p}') IN ('BIGINT', 'UBIGINT', 'DOUBLE') OR (json_type(payload, '$.{p}') = 'VARCHAR' AND regexp_full_match(json_extract_string(payload, '$.{p}'), '[+-]?[0-9]+')) THEN CASE WHEN TRY_CAST(json_extract_string(payload, '$.{p}') AS DOUBLE) % 1 = 0 THEN TRY_CAST(json_extract_string(payload, '$.{p}') AS BIGINT) END END" for p in paths))
+
+    def double(self, *paths: str) -> str:
+        return self.first(*(f"CASE WHEN json_type(payload, '$.{p}') IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'VARCHAR') THEN TRY_CAST(json_extract_string(payload, '$.{p}') AS DOUBLE) END" for p in paths))
 
+    def flag(self, path: str) -> str:
+        v = f"json_extract_string(payload, '$.{path}')"
+        return f"CASE WHEN json_type(payload, '$.{path}') = 'BOOLEAN' AND {v} = 'true' THEN 1 WHEN json_type(payload, '$.{path}') IN ('BIGINT', 'UBIGINT') AND {v} <> '0' THEN 1 ELSE 0 END"
 
-def columns_of(kind: str, v: Column, parent: Column) -> dict[str, Column]:
-    """Column expressions of a sink's rows; see REQUIRED for those that must not be null."""
-    s = lambda *p: F.coalesce(*(jsonx.lenient_text(v, f"$.{x}") for x in p))
-    r = lambda *p: F.coalesce(*(jsonx.present_text(v, f"$.{x}") for x in p))  # noqa: E731  required text may be empty
-    n = lambda *p: F.coalesce(*(jsonx.lenient_long(v, f"$.{x}") for x in p))
-    x = lambda *p: F.coalesce(*(jsonx.lenient_double(v, f"$.{y}") for y in p))
-    f = lambda p: jsonx.bool_flag(v, f"$.{p}")
-    t = lambda *p: _time(v, *(f"$.{y}" for y in p))
-    a = lambda p: jsonx.array_text(v, f"$.{p}")
-    z = lambda c, d=0: F.coalesce(c, F.lit(d))
-    place = {"sensor_id": r("sensor_id"), "location_id": r("location_id")}
+    @staticmethod
+    def _instant(text: str) -> str:
+        return f"CASE WHEN regexp_full_match({text}, '.*T.*(Z|[+-][0-9]{{2}}(:?[0-9]{{2}})?)') THEN TRY_CAST({text} AS TIMESTAMPTZ) END"
+
+    def time(self, *paths: str) -> str:
+        return self.first(*(self._instant(self.present(p)) for p in paths))
+
+    def day(self, path: str) -> str:
+        return f"CASE WHEN {self.time(path)} IS NOT NULL THEN left({self.present(path)}, 10) END"
+
+    def array(self, path: str) -> str:
+        return f"CASE WHEN json_type(payload, '$.{path}') = 'ARRAY' THEN json_extract(payload, '$.{path}') END"
+
+    def inherited(self, *paths: str) -> str:
+        return self.present(*paths, of="parent")
+
+    def inherited_time(self, *paths: str) -> str:
+        return self._instant(self.inherited(*paths))
+
+    def holds(self, path: str, *words: str) -> str:
+        return f"CASE WHEN list_has_any(CAST(json_extract_string(payload, '$.{path}[*]') AS VARCHAR[]), {list(words)}) THEN 1 ELSE 0 END"
+
+    def either(self, a: str, b: str) -> str:
+        return f"greatest({a}, {b})"
+
+    def bounded(self, c: str, most: float) -> str:
+        return f"CASE WHEN {c} IS NOT NULL THEN greatest(-{most}, least({most}, {c})) END"
+
+    def upper(self, c: str) -> str:
+        return f"upper({c})"
+
+    def magnitude(self, c: str) -> str:
+        return f"abs({c})"
+
+    def digest(self, c: str) -> str:
+        return f"sha256({c})"
+
+    def record_id(self) -> str:
+        return "NULL"
+
+
+def columns_of(kind: str, r: SparkReader | SqlReader) -> dict[str, Column | str]:
+    """A sink's columns; see REQUIRED for those that must not be null."""
+    s, p, n, x, f, t, a = r.text, r.present, r.long, r.double, r.flag, r.time, r.array
+    z = lambda c, d=0: r.first(c, r.value(d))
+    same = lambda one, *names: {c: one(c) for c in names}
+    place = {"sensor_id": p("sensor_id"), "location_id": p("location_id")}
     if kind == "proxy_events":
-        up, down = z(n("bytes_up")), z(n("bytes_down"))
         return {
-            "type": r("type"), "host": r("host"), "event_time": t("time"), "peer_ip": s("peer_ip"), "wg_pubkey": s("wg_pubkey"), "device_id": s("device_id"), "identity_source": z(s("identity_source"), "unknown"),
-            "peer_hostname": s("peer_hostname"), "client_ua": s("client_ua"), "bytes_up": up, "bytes_down": down, "status_code": n("status_code"), "blocked": f("blocked"), "obfuscation_profile": s("obfuscation_profile"),
-            "correlation_id": s("correlation_id"), "parent_event_id": s("parent_event_id"), "event_sequence": n("event_sequence"), "duration_ms": n("duration_ms"), "reason": s("reason"),
+            "type": p("type"), "host": p("host"), "event_time": t("time"), **same(s, "peer_ip", "wg_pubkey", "device_id"), "identity_source": z(s("identity_source"), "unknown"),
+            **same(s, "peer_hostname", "client_ua"), "bytes_up": z(n("bytes_up")), "bytes_down": z(n("bytes_down")), "status_code": n("status_code"), "blocked": f("blocked"), **same(s, "obfuscation_profile", "correlation_id", "parent_event_id"),
+            **same(n, "event_sequence", "duration_ms"), "reason": s("reason"),
         }
     if kind == "blocked_events":
+        given = n("blocked_bytes", "metrics.blocked_bytes", "metrics.total_blocked_bytes_approx")
         return {
-            "host": r("host"), "event_time": t("time"), "blocked_bytes": F.coalesce(n("blocked_bytes", "metrics.blocked_bytes", "metrics.total_blocked_bytes_approx"), z(n("bytes_up")) + z(n("bytes_down"))),
-            "frequency_hz": x("frequency_hz", "metrics.frequency_hz"), "risk_score": F.when(x("risk_score", "metrics.risk_score").isNotNull(), F.greatest(F.lit(-999999.9999), F.least(F.lit(999999.9999), x("risk_score", "metrics.risk_score")))),
-            "category": s("category"), "verdict": z(s("verdict"), "BLOCKED"), "tarpit_held_ms": z(n("tarpit_held_ms")), "iat_ms": n("iat_ms", "metrics.iat_ms"),
+            "host": p("host"), "event_time": t("time"), "given_bytes": given, "bytes_up": z(n("bytes_up")), "bytes_down": z(n("bytes_down")), "frequency_hz": x("frequency_hz", "metrics.frequency_hz"),
+            "risk_score": r.bounded(x("risk_score", "metrics.risk_score"), 999999.9999), "category": s("category"), "verdict": z(s("verdict"), "BLOCKED"), "tarpit_held_ms": z(n("tarpit_held_ms")), "iat_ms": n("iat_ms", "metrics.iat_ms"),
             "consecutive_blocks": n("consecutive_blocks", "metrics.consecutive_blocks", "attempt_count", "metrics.attempt_count"), "last_verdict": s("last_verdict"), "tls_ver": s("fingerprint.tls_ver"), "alpn": s("fingerprint.alpn"),
             "ja3_lite": s("fingerprint.ja3_lite"), "resolved_ip": s("resolved_ip"), "asn_org": s("asn_org"), "blocked": f("blocked"),
         }
     if kind == "proxy_payload_audit":
         return {
-            "correlation_id": F.coalesce(s("correlation_id"), name_uuid(F.to_json(v))), "host": r("host"), "direction": F.upper(z(s("direction"), "UP")), "captured_at": t("observed_at"), "byte_offset": z(n("byte_offset")),
-            "payload_object_key": s("payload_object_key"), "content_type": s("content_type"), "http_method": s("method"), "http_status": n("http_status", "status_code"), "http_path": s("path"), "is_encrypted": f("is_encrypted"),
-            "truncated": f("truncated"), "peer_ip": s("peer_ip"), "notes": s("notes"),
+            "correlation_id": r.first(s("correlation_id"), r.record_id()), "host": p("host"), "direction": r.upper(z(s("direction"), "UP")), "captured_at": t("observed_at"), "byte_offset": z(n("byte_offset")),
+            **same(s, "payload_object_key", "content_type"), "http_method": s("method"), "http_status": n("http_status", "status_code"), "http_path": s("path"), **same(f, "is_encrypted", "truncated"), **same(s, "peer_ip", "notes"),
         }
     if kind == "wireless_audit_frames":
-        flags = {c: f(p) for c, p in (("is_retry", "retry"), ("is_more_data", "more_data"), ("is_power_save", "power_save"), ("is_protected", "protected"), ("is_to_ds", "to_ds"), ("is_from_ds", "from_ds"), ("is_handshake", "handshake_captured"))}
+        flags = {c: f(path) for c, path in (("is_retry", "retry"), ("is_more_data", "more_data"), ("is_power_save", "power_save"), ("is_protected", "protected"), ("is_to_ds", "to_ds"), ("is_from_ds", "from_ds"), ("is_handshake", "handshake_captured"))}
         return {
-            "event_type": r("event_type"), "observed_at": t("observed_at"), **place, "interface": r("interface"), "channel": n("channel"), "frame_type": s("frame_type"), "frame_subtype": r("frame_subtype"),
-            **{c: s(c) for c in ("bssid", "source_mac", "destination_mac", "transmitter_mac", "receiver_mac", "destination_bssid")}, "ssid": r("ssid"), "signal_dbm": n("signal_dbm"), "sequence_number": n("sequence_number"), "raw_len": n("raw_len"), **flags,
-            "security_flags": z(n("security_flags")), "device_id": s("device_id"), "username": s("username"), "identity_source": z(s("identity_source"), "unknown"), "tags": a("tags"), "anomaly_reasons": a("anomaly_reasons"), "reg_domain": s("reg_domain"),
+            "event_type": p("event_type"), "observed_at": t("observed_at"), **place, "interface": p("interface"), "channel": n("channel"), "frame_type": s("frame_type"), "frame_subtype": p("frame_subtype"),
+            **same(s, "bssid", "source_mac", "destination_mac", "transmitter_mac", "receiver_mac", "destination_bssid"), "ssid": p("ssid"), **same(n, "signal_dbm", "sequence_number", "raw_len"), **flags,
+            "security_flags": z(n("security_flags")), **same(s, "device_id", "username"), "identity_source": z(s("identity_source"), "unknown"), **same(a, "tags", "anomaly_reasons"), "reg_domain": s("reg_domain"),
         }
     if kind == "wireless_bandwidth":
         return {
-            "schema_version": z(n("schema_version"), 1), "window_start": t("window_start"), "window_end": t("window_end"), **place, "interface": r("interface"), "channel": n("channel"), "source_mac": r("source_mac"),
-            "destination_bssid": r("destination_bssid"), "ssid": s("ssid"), "bytes": n("bytes"), "frame_count": n("frame_count"), **{c: z(n(c)) for c in ("retry_count", "more_data_count", "power_save_count")}, "strongest_signal_dbm": n("strongest_signal_dbm"),
-            **{f"hist_{c}": z(n(f"frame_size_histogram.{p}")) for c, p in (("under_100", "under_100"), ("100_500", "range_100_500"), ("500_1000", "range_500_1000"), ("1000_1500", "range_1000_1500"))},
-            "inter_arrival_p50_ms": n("inter_arrival_p50_ms"), **{c: f(c) for c in ("external_bssid", "threshold_exceeded", "window_is_partial")}, "wall_clock_delta_ms": n("wall_clock_delta_ms"), "published_at": t("published_at"),
-        }
-    detected = {"detected_at": t("detected_at", "observed_at"), **place}
-    if kind == "rogue_ap":
-        reasons = F.coalesce(F.arrays_overlap(F.try_variant_get(v, "$.reasons", "array<string>"), F.array(F.lit("ssid_impersonation"), F.lit("bssid_spoofing"))), F.lit(False)).cast("int")
-        return {**detected, "interface": r("interface"), "channel": n("channel"), "rogue_bssid": r("rogue_bssid", "bssid"), "ssid": s("ssid"), "signal_dbm": n("signal_dbm"), "ssid_impersonation": F.greatest(f("ssid_impersonation"), reasons)}
-    if kind == "deauth_flood":
-        return {
-            **detected, "interface": r("interface"), "channel": z(n("channel")), "attacker_mac": s("attacker_mac", "source_mac"), "target_bssid": s("target_bssid", "bssid"), "target_ssid": s("target_ssid", "ssid"),
-            "deauth_count": n("deauth_count", "frame_count"), "window_secs": n("window_secs"), "threshold": z(n("threshold")), "signal_dbm": n("signal_dbm"),
+            "schema_version": z(n("schema_version"), 1), **same(t, "window_start", "window_end"), "window_day": r.day("window_start"), **place, "interface": p("interface"), "channel": n("channel"), **same(p, "source_mac", "destination_bssid"),
+            "ssid": s("ssid"), **same(n, "bytes", "frame_count"), **{c: z(n(c)) for c in ("retry_count", "more_data_count", "power_save_count")}, "strongest_signal_dbm": n("strongest_signal_dbm"),
+            **{f"hist_{c}": z(n(f"frame_size_histogram.{path}")) for c, path in (("under_100", "under_100"), ("100_500", "range_100_500"), ("500_1000", "range_500_1000"), ("1000_1500", "range_1000_1500"))},
+            "inter_arrival_p50_ms": n("inter_arrival_p50_ms"), **same(f, "external_bssid", "threshold_exceeded", "window_is_partial"), "wall_clock_delta_ms": n("wall_clock_delta_ms"), "published_at": t("published_at"),
         }
-    if kind == "signal_anomaly":
-        return {**detected, "source_mac": r("source_mac"), "bssid": s("bssid"), "ssid": s("ssid"), "channel": n("channel"), "baseline_dbm": n("baseline_dbm"), "observed_dbm": n("observed_dbm"), "dbm_delta": F.abs(n("dbm_delta")), "configured_delta": n("configured_delta")}
-    if kind == "pmf_attack":
-        return {**detected, "target_mac": r("target_mac", "source_mac"), "target_bssid": s("target_bssid", "bssid"), "ssid": s("ssid"), "channel": n("channel"), "attack_tag": r("attack_tag"), "reconnect_window_ms": n("reconnect_window_ms")}
     if kind == "client_inventory":
-        up = lambda *p: F.coalesce(*(jsonx.present_text(parent, f"$.{y}") for y in p))
         return {
-            "sensor_id": F.coalesce(up("sensor_id"), r("sensor_id")), "location_id": F.coalesce(up("location_id"), r("location_id")), "snapshot_at": F.coalesce(jsonx.instant(up("snapshot_at", "observed_at")), t("snapshot_at")),
-            "client_mac": r("client_mac", "source_mac"), "bssid": s("bssid"), "ssid": s("ssid"), "device_id": s("device_id"), "username": s("username"), "identity_source": s("identity_source"), "last_seen": t("last_seen"), "first_seen": t("first_seen"),
-            "signal_dbm": n("signal_dbm", "last_signal_dbm"), "is_authorized": f("is_authorized"),
+            "sensor_id": r.first(r.inherited("sensor_id"), p("sensor_id")), "location_id": r.first(r.inherited("location_id"), p("location_id")), "snapshot_at": r.first(r.inherited_time("snapshot_at", "observed_at"), t("snapshot_at")),
+            "client_mac": p("client_mac", "source_mac"), **same(s, "bssid", "ssid", "device_id", "username", "identity_source"), **same(t, "last_seen", "first_seen"), "signal_dbm": n("signal_dbm", "last_signal_dbm"), "is_authorized": f("is_authorized"),
         }
     if kind == "probe_requests":
-        return {"client_mac": r("client_mac"), "ssid": r("ssid"), "known_bssid": s("known_bssid"), "first_seen": t("first_seen"), "last_seen": t("last_seen"), "probe_count": n("probe_count")}
-    if kind == "attack_sequence":
-        return {**detected, "ssid": r("ssid"), "attack_chain": a("attack_chain"), "first_event_at": t("first_event_at"), "last_event_at": t("last_event_at"), "factor_breakdown": a("factor_breakdown"), "explanation": a("explanation")}
-    if kind == "sequence_alert":
-        return {
-            **detected, "session_key": r("session_key"), "source_mac": s("source_mac"), "bssid": s("bssid"), "ssid": r("ssid"), "attack_tag": r("attack_tag"), "sequence": a("sequence"), "first_event_at": t("first_event_at"), "last_event_at": t("last_event_at"),
-            "factor_breakdown": a("factor_breakdown"), "explanation": a("explanation"),
-        }
-    if kind == "handshake":
-        return {**detected, "interface": r("interface"), "bssid": r("bssid"), "client_mac": r("client_mac"), "signal_dbm": n("signal_dbm"), "pmkid_sha256": sha256(s("pmkid"))}
-    raise ValueError(f"unknown sink {kind}")
+        return {**same(p, "client_mac", "ssid"), "known_bssid": s("known_bssid"), **same(t, "first_seen", "last_seen"), "probe_count": n("probe_count")}
+    detected = {"detected_at": t("detected_at", "observed_at"), **place}
+    span, why = same(t, "first_event_at", "last_event_at"), same(a, "factor_breakdown", "explanation")
+    return {
+        "rogue_ap": lambda: {**detected, "interface": p("interface"), "channel": n("channel"), "rogue_bssid": p("rogue_bssid", "bssid"), "ssid": s("ssid"), "signal_dbm": n("signal_dbm"), "ssid_impersonation": r.either(f("ssid_impersonation"), r.holds("reasons", "ssid_impersonation", "bssid_spoofing"))},
+        "deauth_flood": lambda: {
+            **detected, "interface": p("interface"), "channel": z(n("channel")), "attacker_mac": s("attacker_mac", "source_mac"), "target_bssid": s("target_bssid", "bssid"), "ssid": s("target_ssid", "ssid"),
+            "deauth_count": n("deauth_count", "frame_count"), "window_secs": n("window_secs"), "threshold": z(n("threshold")), "signal_dbm": n("signal_dbm"),
+        },
+        "signal_anomaly": lambda: {**detected, "source_mac": p("source_mac"), **same(s, "bssid", "ssid"), **same(n, "channel", "baseline_dbm", "observed_dbm"), "dbm_delta": r.magnitude(n("dbm_delta")), "configured_delta": n("configured_delta")},
+        "pmf_attack": lambda: {**detected, "target_mac": p("target_mac", "source_mac"), "target_bssid": s("target_bssid", "bssid"), "ssid": s("ssid"), "channel": n("channel"), "attack_tag": p("attack_tag"), "reconnect_window_ms": n("reconnect_window_ms")},
+        "attack_sequence": lambda: {**detected, "ssid": p("ssid"), "attack_chain": a("attack_chain"), **span, **why},
+        "sequence_alert": lambda: {**detected, "session_key": p("session_key"), **same(s, "source_mac", "bssid"), **same(p, "ssid", "attack_tag"), "sequence": a("sequence"), **span, **why},
+        "handshake": lambda: {**detected, **same(p, "interface", "bssid", "client_mac"), "signal_dbm": n("signal_dbm"), "pmkid_sha256": r.digest(s("pmkid"))},
+    }[kind]()
 
 
 REQUIRED = {
@@ -370,42 +507,90 @@ def transform(events: DataFrame, kind: str) -> DataFrame:
     """
     source = "proxy_events" if kind == "blocked_events" else kind
     rows = payload_rows(events.where(target(F.col("stream_name")) == source), source)
-    cells = columns_of(kind, F.col("v"), F.col("parent"))
+    cells = columns_of(kind, SparkReader(F.col("v"), F.col("parent")))
     first = 1 if kind == "proxy_events" else 0
     typed = rows.select("dedupe_key", (F.col("row_sequence") + first).cast("long").alias("row_sequence"), *(c.alias(n) for n, c in cells.items()))
     missing = F.concat_ws(",", *(F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED[kind]))
     typed = typed.withColumn("error", F.nullif(missing, F.lit("")))
-    return typed.where("blocked = 1").drop("blocked") if kind == "blocked_events" else typed
+    if kind == "blocked_events":
+        typed = typed.where("blocked = 1").withColumn("blocked_bytes", F.coalesce("given_bytes", F.col("bytes_up") + F.col("bytes_down"))).drop("blocked", "given_bytes", "bytes_up", "bytes_down")
+    return typed
 
 
 def messages(spark: SparkSession, d: str, *streams: str) -> DataFrame:
-    """Messages of some streams with a payload, each once."""
+    """Messages of some streams, each once, in their latest readable copy; messages without one are left out."""
     rows = table(spark, d, "sync_events").where(F.col("stream_name").isin(*streams) & F.col("payload").isNotNull())
-    return rows.groupBy("stream_name", "dedupe_key").agg(F.min("payload").alias("payload"))
+    return rows.groupBy("stream_name", "dedupe_key").agg(latest_payload().alias("payload")).where("payload is not null")
+
+
+def records_sql(stream: str, inner: str | None = None) -> str:
+    """The records of a stream: dedupe_key, payload, parent, i (from 1)."""
+    whole = "CASE WHEN json_type(payload) = 'ARRAY' THEN CAST(payload AS JSON[]) ELSE [CAST(payload AS JSON)] END"
+    rows = f"CASE WHEN json_type(payload, '$.{inner}') = 'ARRAY' THEN CAST(json_extract(payload, '$.{inner}') AS JSON[]) ELSE {whole} END" if inner else whole
+    return (
+        f"m AS (SELECT dedupe_key, {_LATEST} AS payload FROM ({_READABLE}) WHERE stream_name = '{stream}' GROUP BY 1 HAVING payload IS NOT NULL), "
+        f"r AS (SELECT dedupe_key, payload AS parent, unnest({rows}) AS payload, generate_subscripts({rows}, 1) AS i FROM m)"
+    )
+
+
+def sink_sql(kind: str, records: str) -> str:
+    """All columns of a sink over ``records`` (a WITH list that ends in r), shown as the queries show them."""
+    cells = columns_of(kind, SqlReader())
+    inner = ", ".join(f"{c} AS {n}" for n, c in cells.items())
+    error = f"nullif(concat_ws(',', {', '.join(f'CASE WHEN {c} IS NULL THEN {chr(39)}{c}{chr(39)} END' for c in REQUIRED[kind])}), '') AS error"
+    first = "i" if kind == "proxy_events" else "i - 1"
+    rows = f"x AS (SELECT dedupe_key, CAST({first} AS BIGINT) AS row_sequence, {inner} FROM r), y AS (SELECT *, {error} FROM x)"
+    shown = [n for n in cells if not (kind == "blocked_events" and n in ("blocked", "given_bytes", "bytes_up", "bytes_down"))]
+    out = ", ".join(f"epoch_us({n}) AS {n}" if n in TIMES else f"CAST(json_array_length({n}) AS DOUBLE) AS {n}" if n in ARRAYS else f"CAST({n} AS DOUBLE) AS {n}" if n in MEASURES else n for n in shown)
+    more = ", coalesce(given_bytes, bytes_up + bytes_down) AS blocked_bytes FROM y WHERE blocked = 1" if kind == "blocked_events" else " FROM y"
+    return f"WITH {records}, {rows} SELECT dedupe_key, row_sequence, error, {out}{more}"
+
+
+TIMES = ("event_time", "captured_at", "observed_at", "window_start", "window_end", "published_at", "detected_at", "first_event_at", "last_event_at", "snapshot_at", "first_seen", "last_seen")
+ARRAYS = ("tags", "anomaly_reasons", "attack_chain", "factor_breakdown", "explanation", "sequence")
+MEASURES = ("frequency_hz", "risk_score")
+
+
+def shown(rows: DataFrame) -> DataFrame:
+    """A sink's rows for comparison: times in microseconds, arrays as their size, all numbers as double."""
+    cell = lambda f: (
+        F.unix_micros(f.name) if f.name in TIMES else F.expr(f"json_array_length({f.name})") if f.name in ARRAYS else F.col(f.name)
+    )
+    number = lambda f: f.name in TIMES or f.name in ARRAYS or f.dataType.typeName() in ("integer", "long", "double")
+    return rows.select(*((cell(f).cast("double") if number(f) else cell(f)).alias(f.name) for f in rows.schema.fields))
 
 
-_M = "m AS (SELECT dedupe_key, min(payload) AS payload FROM sync_events WHERE stream_name = '{0}' AND json_valid(payload) GROUP BY 1), r AS (SELECT dedupe_key, unnest(CASE WHEN json_type(payload) = 'ARRAY' THEN CAST(payload AS JSON[]) WHEN json_type(payload) = 'OBJECT' THEN [CAST(payload AS JSON)] END) AS payload, generate_subscripts(CASE WHEN json_type(payload) = 'ARRAY' THEN CAST(payload AS JSON[]) ELSE [CAST(payload AS JSON)] END, 1) AS i FROM m WHERE json_type(payload) IN ('ARRAY', 'OBJECT'))"
 _TEXT = "CASE WHEN json_type(payload, '$.{0}') = 'VARCHAR' THEN nullif(json_extract_string(payload, '$.{0}'), '') END"
 _LONG = "CASE WHEN json_type(payload, '$.{0}') IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'VARCHAR') THEN TRY_CAST(json_extract_string(payload, '$.{0}') AS BIGINT) END"
 
+#: Sinks with the stream that feeds them here, and the member that holds their records.
+STREAMS = {
+    "proxy_events": ("proxy.events", None), "blocked_events": ("proxy.events", None), "wireless_audit_frames": ("wireless.audit", None), "wireless_bandwidth": ("audit.wireless.bandwidth", None),
+    "client_inventory": ("wireless.client.inventory", "clients"), "probe_requests": ("wireless.probe.flush", "probes"), "attack_sequence": ("wireless.alert.attack_sequence", None), "sequence_alert": ("wireless.alert.sequence", None),
+}
+
+
+def doubles_sql(sql: str, texts: tuple[str, ...]) -> str:
+    """Every column of a sink's SQL but the texts as double, as :func:`shown` has them."""
+    return f"SELECT {', '.join(texts)}, CAST(COLUMNS(* EXCLUDE ({', '.join(texts)})) AS DOUBLE) FROM ({sql})"
+
 
-@query("q30_proxy_events", f"""
-WITH {_M.format('proxy.events')} SELECT dedupe_key, CAST(i AS BIGINT) AS row_sequence, {_TEXT.format('type')} AS type, {_TEXT.format('host')} AS host, epoch_us(TRY_CAST(json_extract_string(payload, '$.time') AS TIMESTAMPTZ)) AS event_us,
- coalesce({_LONG.format('bytes_up')}, 0) AS bytes_up, coalesce({_LONG.format('bytes_down')}, 0) AS bytes_down, CASE WHEN json_extract_string(payload, '$.blocked') IN ('true', '1') AND json_type(payload, '$.blocked') <> 'VARCHAR' THEN 1 ELSE 0 END AS blocked,
- coalesce({_TEXT.format('identity_source')}, 'unknown') AS identity_source FROM r""")
-def proxy_events(spark: SparkSession, d: str) -> DataFrame:
-    t = transform(messages(spark, d, "proxy.events"), "proxy_events")
-    return t.select("dedupe_key", "row_sequence", "type", "host", F.unix_micros("event_time").alias("event_us"), "bytes_up", "bytes_down", "blocked", "identity_source")
+def texts_of(kind: str) -> tuple[str, ...]:
+    reader = SqlReader()
+    text = []
+    for n, c in columns_of(kind, reader).items():
+        if n in TIMES or n in ARRAYS or n in MEASURES or n in ("blocked", "given_bytes", "bytes_up", "bytes_down") and kind == "blocked_events":
+            continue
+        if "BIGINT" not in c and "THEN 1" not in c:
+            text.append(n)
+    return ("dedupe_key", "error", *text)
 
 
-def _transform_query(kind: str, stream: str, key: str) -> None:
-    @query(f"q30_{kind}")
+def _transform_query(kind: str, stream: str, inner: str | None) -> None:
+    @query(f"q30_{kind}", doubles_sql(sink_sql(kind, records_sql(stream, inner)), texts_of(kind)))
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return transform(messages(spark, d, stream), kind)
+        return shown(transform(messages(spark, d, stream), kind))
 
 
-for _kind, _stream in (
-    ("blocked_events", "proxy.events"), ("wireless_audit_frames", "wireless.audit"), ("wireless_bandwidth", "audit.wireless.bandwidth"), ("client_inventory", "wireless.client.inventory"),
-    ("probe_requests", "wireless.probe.flush"), ("attack_sequence", "wireless.alert.attack_sequence"), ("sequence_alert", "wireless.alert.sequence"),
-):
-    _transform_query(_kind, _stream, "dedupe_key")
+for _kind, (_stream, _inner) in STREAMS.items():
+    _transform_query(_kind, _stream, _inner)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skysift.functions.mac import canonical_mac, epoch_us
 from skysift.operators.merge import add_unless, insert_only, merge_rows, newer_wins
 from skysift.plans.frames import FRAMES_SQL, frames
-from skysift.plans.payloads import _LONG, _M, _TEXT, messages, transform
+from skysift.plans.payloads import _LONG, _TEXT, messages, records_sql, transform
 from skysift.plans.problems import canon_sql
 from skysift.plans.registry import NOW, Registry
 from skysift.sources.tables import table
@@ -35,7 +35,7 @@ def rollup(blocked: DataFrame) -> DataFrame:
     return first.join(after, "host", "left").withColumn("consecutive_blocks", F.col("consecutive_blocks") + F.coalesce("after", F.lit(0))).drop("given", "after")
 
 
-_BLOCKED = f"""{_M.format('proxy.events')}, b AS (SELECT dedupe_key, i AS row_sequence, {_TEXT.format('host')} AS host, TRY_CAST(json_extract_string(payload, '$.time') AS TIMESTAMPTZ) AS event_time,
+_BLOCKED = f"""{records_sql('proxy.events')}, b AS (SELECT dedupe_key, i AS row_sequence, {_TEXT.format('host')} AS host, TRY_CAST(json_extract_string(payload, '$.time') AS TIMESTAMPTZ) AS event_time,
  coalesce({_LONG.format('blocked_bytes')}, {_LONG.format('metrics.blocked_bytes')}, {_LONG.format('metrics.total_blocked_bytes_approx')}, coalesce({_LONG.format('bytes_up')}, 0) + coalesce({_LONG.format('bytes_down')}, 0)) AS blocked_bytes,
  coalesce({_LONG.format('consecutive_blocks')}, {_LONG.format('metrics.consecutive_blocks')}, {_LONG.format('attempt_count')}, {_LONG.format('metrics.attempt_count')}) AS cb, {_TEXT.format('fingerprint.tls_ver')} AS tls_ver
  FROM r WHERE json_extract_string(payload, '$.blocked') IN ('true', '1') AND json_type(payload, '$.blocked') <> 'VARCHAR')"""
@@ -51,7 +51,7 @@ def rollup_fold(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("q24_daily_alert_merge", f"""
-WITH {_M.format('audit.wireless.bandwidth')}, b AS (SELECT dedupe_key, i - 1 AS row_sequence, {_TEXT.format('sensor_id')} AS sensor_id, {_TEXT.format('location_id')} AS location_id, {_TEXT.format('source_mac')} AS source_mac, {_TEXT.format('destination_bssid')} AS destination_bssid,
+WITH {records_sql('audit.wireless.bandwidth')}, b AS (SELECT dedupe_key, i - 1 AS row_sequence, {_TEXT.format('sensor_id')} AS sensor_id, {_TEXT.format('location_id')} AS location_id, {_TEXT.format('source_mac')} AS source_mac, {_TEXT.format('destination_bssid')} AS destination_bssid,
  TRY_CAST(json_extract_string(payload, '$.window_start') AS TIMESTAMPTZ) AS ws, {_LONG.format('bytes')} AS bytes FROM r)
 SELECT sensor_id, source_mac, destination_bssid, strftime(ws AT TIME ZONE 'UTC', '%Y-%m-%d') AS alert_date, min(row_sequence) AS row_sequence, epoch_us(min(ws)) AS detected_us, arg_max(location_id, (ws, dedupe_key, row_sequence)) AS location_id, CAST(sum(bytes) AS BIGINT) AS total_bytes, count(*) AS aggregated_rows
 FROM b WHERE sensor_id IS NOT NULL AND source_mac IS NOT NULL AND destination_bssid IS NOT NULL AND ws IS NOT NULL AND bytes IS NOT NULL AND location_id IS NOT NULL GROUP BY 1, 2, 3, 4""")
@@ -194,7 +194,7 @@ def alert_rows(rows: DataFrame, kind: str) -> DataFrame:
 
 
 @query("q43c_alert_table", f"""
-WITH {_M.format('wireless.alert.sequence')} SELECT 'sequence_alert' AS alert_type, dedupe_key AS batch_id, CAST(i - 1 AS BIGINT) AS row_sequence, {_TEXT.format('source_mac')} AS primary_mac, {_TEXT.format('session_key')} AS session_key, {_TEXT.format('attack_tag')} AS attack_tag
+WITH {records_sql('wireless.alert.sequence')} SELECT 'sequence_alert' AS alert_type, dedupe_key AS batch_id, CAST(i - 1 AS BIGINT) AS row_sequence, {_TEXT.format('source_mac')} AS primary_mac, {_TEXT.format('session_key')} AS session_key, {_TEXT.format('attack_tag')} AS attack_tag
 FROM r WHERE {_TEXT.format('session_key')} IS NOT NULL AND {_TEXT.format('attack_tag')} IS NOT NULL AND {_TEXT.format('sensor_id')} IS NOT NULL AND {_TEXT.format('location_id')} IS NOT NULL
  AND TRY_CAST(json_extract_string(payload, '$.detected_at') AS TIMESTAMPTZ) IS NOT NULL AND TRY_CAST(json_extract_string(payload, '$.first_event_at') AS TIMESTAMPTZ) IS NOT NULL AND TRY_CAST(json_extract_string(payload, '$.last_event_at') AS TIMESTAMPTZ) IS NOT NULL""")
 def alert_table(spark: SparkSession, d: str) -> DataFrame:
