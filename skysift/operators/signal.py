@@ -152,15 +152,10 @@ def _limit(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of runs of equal values that are long or touch the edge of a batch or partition."""
+    """Flagged rows, and all rows of runs of equal values that are long or touch the edge of a batch or partition."""
     part = TaskContext.get().partitionId()
-    names = ["sensor_id", "dedupe_key", "value", "part", "run"]
+    names = ["sensor_id", "dedupe_key", "value", "impossible", "spike", "part", "run", "whole"]
     last, run = None, -1
-
-    def emit(sensor, key, value, number):
-        n = len(value)
-        return pa.RecordBatch.from_arrays([sensor, key, pa.array(value, pa.int32()), pa.array(np.full(n, part, np.int32)), pa.array(number, pa.int64())], names)
-
     for b in batches:
         if not b.num_rows:
             continue
@@ -177,7 +172,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (sensor[n - 1].as_py(), int(ts[n - 1]), key[n - 1].as_py(), int(value[n - 1]))
         if not len(keep):
             continue
-        s, k, v = sensor.take(pa.array(keep)), key.take(pa.array(keep)), value[keep]
+        v = value[keep]
         # a sensor's first kept row never is a repeat, so the change of sensor survives
         start = new_sensor[keep].copy()
         start[1:] |= v[1:] != v[:-1]
@@ -191,21 +186,24 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads = np.searchsorted(begin, fresh)
         long_[heads] = True
         long_[np.maximum(heads - 1, 0)] = True
-        take = np.repeat(long_, size)
+        whole = np.repeat(long_, size)
         run = int(number[-1])
-        at = np.flatnonzero(take)
-        yield emit(s.take(pa.array(at)), k.take(pa.array(at)), v[at], number[at])
+        kept = b.take(pa.array(keep))
+        at = pa.array(whole | kept.column(4).to_numpy(zero_copy_only=False) | kept.column(5).to_numpy(zero_copy_only=False))
+        rows = [c.filter(at) for c in (kept.column(0), kept.column(2), *kept.columns[3:], pa.array(np.full(len(keep), part, np.int32)), pa.array(number, pa.int64()), pa.array(whole))]
+        yield pa.RecordBatch.from_arrays(rows, names)
 
 
-def stuck_rows(readings: DataFrame, limits: DataFrame) -> DataFrame:
-    """Rows (sensor_id, dedupe_key) of runs of one value at least ``limits.run_limit`` long.
+def flagged_rows(readings: DataFrame, limits: DataFrame) -> DataFrame:
+    """Rows of ``readings(sensor_id, ts_us, dedupe_key, value, impossible, spike)`` with a flag, stuck included.
 
-    Order comes from range partitions, so a sensor with most of the rows is spread over many
-    tasks. Runs cut by a partition edge are joined from one row per run and partition.
+    Stuck are runs of one value at least ``limits.run_limit`` long. Order comes from range
+    partitions, so a sensor with most of the rows is spread over many tasks. Runs cut by a
+    partition edge are joined from one row per run and partition.
     """
-    schema = "sensor_id string, dedupe_key string, value int, part int, run long"
-    rows = materialize(ordered_ranges(readings.select("sensor_id", "ts_us", "dedupe_key", "value"), "sensor_id", "ts_us", "dedupe_key").mapInArrow(_runs, schema), "runs")
-    pieces = rows.groupBy("sensor_id", "part", "run", "value").agg(F.count("*").alias("n"))
+    schema = "sensor_id string, dedupe_key string, value int, impossible boolean, spike boolean, part int, run long, whole boolean"
+    rows = materialize(ordered_ranges(readings, "sensor_id", "ts_us", "dedupe_key").mapInArrow(_runs, schema), "runs")
+    pieces = rows.where("whole").groupBy("sensor_id", "part", "run", "value").agg(F.count("*").alias("n"))
     by_part = Window.partitionBy("sensor_id", "part")
     pieces = pieces.withColumn("tail", F.col("run") == F.max("run").over(by_part)).withColumn("head", F.col("run") == F.min("run").over(by_part))
     edges = pieces.where("head or tail")
@@ -214,8 +212,9 @@ def stuck_rows(readings: DataFrame, limits: DataFrame) -> DataFrame:
     chained = edges.withColumn("chain", F.sum(F.when(joins, 0).otherwise(1)).over(along))
     chained = chained.withColumn("total", F.sum("n").over(Window.partitionBy("sensor_id", "chain"))).select("sensor_id", "part", "run", "total")
     inner = pieces.where("not (head or tail)").select("sensor_id", "part", "run", F.col("n").alias("total"))
-    long_ = inner.unionByName(chained).where(F.col("total") >= LEAST_RUN).join(limits, "sensor_id").where("total >= run_limit").select("sensor_id", "part", "run")
-    return rows.join(long_, ["sensor_id", "part", "run"], "left_semi").select("sensor_id", "dedupe_key")
+    long_ = inner.unionByName(chained).where(F.col("total") >= LEAST_RUN).join(limits, "sensor_id").where("total >= run_limit").select("sensor_id", "part", "run", F.lit(True).alias("stuck"))
+    marked = rows.join(long_, ["sensor_id", "part", "run"], "left").withColumn("stuck", F.coalesce("stuck", F.lit(False)))
+    return marked.where("stuck or impossible or spike")
 
 
 def signal_anomalies(frames: DataFrame) -> DataFrame:
@@ -245,13 +244,8 @@ def signal_anomalies(frames: DataFrame) -> DataFrame:
     model = materialize(cells.withColumn("block", F.explode(near)).repartition(width(frames), "sensor_id", "block").groupBy("sensor_id", "block").applyInPandas(_fit, MODEL), "signal-model")
     noise = model.where("bucket is null").groupBy("sensor_id", "residual").agg(F.sum("n").alias("n"))
     limits = noise.groupBy("sensor_id").applyInPandas(_limit, "sensor_id string, run_limit int")
-    spikes = model.where("bucket is not null").select("sensor_id", "bucket", "value")
-    flags = (
-        readings.where(~possible).select("sensor_id", "dedupe_key", F.lit(1).alias("impossible"), F.lit(0).alias("stuck"), F.lit(0).alias("spike"))
-        .unionByName(stuck_rows(readings, limits).select("sensor_id", "dedupe_key", F.lit(0).alias("impossible"), F.lit(1).alias("stuck"), F.lit(0).alias("spike")))
-        .unionByName(
-            readings.withColumn("bucket", bucket).join(spikes, ["sensor_id", "bucket", "value"], "left_semi")
-            .select("sensor_id", "dedupe_key", F.lit(0).alias("impossible"), F.lit(0).alias("stuck"), F.lit(1).alias("spike"))
-        )
-    )
-    return flags.groupBy("dedupe_key").agg(F.min("sensor_id").alias("sensor_id"), *(F.max(c).alias(c) for c in ("impossible", "stuck", "spike")))
+    spikes = model.where("bucket is not null").select("sensor_id", "bucket", "value", F.lit(True).alias("spike"))
+    marked = readings.withColumn("bucket", bucket).join(spikes, ["sensor_id", "bucket", "value"], "left")
+    marked = marked.select("sensor_id", "ts_us", "dedupe_key", "value", (~possible).alias("impossible"), F.coalesce("spike", F.lit(False)).alias("spike"))
+    flags = flagged_rows(marked, limits)
+    return flags.groupBy("dedupe_key").agg(F.min("sensor_id").alias("sensor_id"), *(F.max(F.col(c).cast("int")).alias(c) for c in ("impossible", "stuck", "spike")))
