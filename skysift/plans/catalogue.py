@@ -1,8 +1,8 @@
 """All queries of the reference's operators."""
 
-from skysift.plans import documents, frames, identity, ledger, payloads, sinks, streams
+from skysift.plans import alerts, documents, frames, identity, ledger, payloads, sinks, streams
 
 QUERIES, ORACLES = {}, {}
-for _module in (frames, payloads, ledger, sinks, identity, documents, streams):
+for _module in (frames, payloads, ledger, sinks, alerts, identity, documents, streams):
     QUERIES |= _module.query.queries
     ORACLES |= _module.query.oracles

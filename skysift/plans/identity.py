@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,7 @@ from skysift.plans.frames import FRAMES_SQL, frames, stable_sql
 from skysift.plans.payloads import _LONG, _TEXT, messages, records_sql, transform
 from skysift.plans.problems import canon_sql
 from skysift.plans.registry import NOW, Registry
+from skysift.session import materialize
 from skysift.sources.tables import table
 
 query = Registry()
@@ -99,13 +104,77 @@ x(a, b) AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(v, g) AS (SELECT a,
 m AS (SELECT v AS node, min(g) AS root FROM r GROUP BY v)"""
 
 
+def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The stable id of each root's members, which come in order: one running digest is kept, however many there are."""
+    root, digest, ids = None, None, []
+    mark = lambda h: f"{h[:8]}-{h[8:12]}-5{h[13:16]}-a{h[17:20]}-{h[20:32]}"
+    for b in batches:
+        for r, node in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if r != root:
+                if digest is not None:
+                    ids.append((root, mark(digest.hexdigest())))
+                root, digest = r, hashlib.sha256(b"identity-cluster")
+            digest.update(b"\x1f" + node.encode())
+    if digest is not None:
+        ids.append((root, mark(digest.hexdigest())))
+    if ids:
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*ids)], ["root", "cluster_id"])
+
+
+def cluster_ids(members: DataFrame) -> DataFrame:
+    """(root, cluster_id) by the sorted members of each cluster, without listing any cluster."""
+    return members.select("root", "node").repartition("root").sortWithinPartitions("root", "node").mapInArrow(_chained, "root string, cluster_id string")
+
+
 @query("q18_identity_clusters", f"""
 WITH RECURSIVE {_EDGES}, c AS (SELECT m.root, min(y.confidence) AS confidence FROM (SELECT a, b, max(confidence) AS confidence FROM e GROUP BY 1, 2) y JOIN m ON m.node = y.a GROUP BY 1)
 SELECT {stable_sql('identity-cluster', "string_agg(m.node, chr(31) ORDER BY m.node)")} AS cluster_id, m.root AS first_member, count(*) AS cluster_size, any_value(c.confidence) AS confidence FROM m JOIN c ON c.root = m.root GROUP BY m.root""")
 def clusters(spark: SparkSession, d: str) -> DataFrame:
     members, sums = identity_clusters(approved_edges(spark, d))
-    ids = members.groupBy("root").agg(F.array_join(F.array_sort(F.collect_list("node")), "\x1f").alias("members"))
-    return sums.join(ids, "root").select(stable_id("identity-cluster", F.col("members")).alias("cluster_id"), F.col("root").alias("first_member"), F.col("size").alias("cluster_size"), "confidence")
+    return sums.join(cluster_ids(members), "root").select("cluster_id", F.col("root").alias("first_member"), F.col("size").alias("cluster_size"), "confidence")
+
+
+def known_clusters(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(clusters: root, cluster_id, cluster_name, size, confidence, first, last) and (members: root, mac, first, last).
+
+    Members are devices, that is addresses seen in frames; clusters without any are left out.
+    """
+    members, sums = identity_clusters(approved_edges(spark, d))
+    devices = frames(spark, d).groupBy(F.col("source_mac").alias("node")).agg(F.min("observed_at").alias("first"), F.max("observed_at").alias("last"))
+    known = materialize(members.join(devices, "node").select("root", F.col("node").alias("mac"), "first", "last"), "members")
+    seen = known.groupBy("root").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    whole = sums.join(cluster_ids(members), "root").join(seen, "root").withColumn("cluster_name", F.concat(F.lit("identity-"), F.left("cluster_id", F.lit(8))))
+    return whole, known
+
+
+_CLUSTERS = f"""{_EDGES}, {FRAMES_SQL}, dv AS (SELECT source_mac AS node, min(observed_at) AS first, max(observed_at) AS last FROM f GROUP BY 1),
+cc AS (SELECT m.root, min(y.confidence) AS confidence FROM (SELECT a, b, max(confidence) AS confidence FROM e GROUP BY 1, 2) y JOIN m ON m.node = y.a GROUP BY 1),
+ci AS (SELECT root, {stable_sql('identity-cluster', "string_agg(node, chr(31) ORDER BY node)")} AS cluster_id, count(*) AS size, to_json(list(node ORDER BY node)) AS macs FROM m GROUP BY root),
+km AS (SELECT m.root, m.node AS mac, dv.first, dv.last FROM m JOIN dv ON dv.node = m.node),
+kc AS (SELECT ci.*, cc.confidence, 'identity-' || left(cluster_id, 8) AS cluster_name, min(km.first) AS first, max(km.last) AS last FROM ci JOIN cc ON cc.root = ci.root JOIN km ON km.root = ci.root GROUP BY ALL)"""
+
+
+@query("q18c_cluster_rows", f"WITH RECURSIVE {_CLUSTERS} SELECT cluster_id, cluster_name, size AS cluster_size, epoch_us(first) AS first_us, epoch_us(last) AS last_us, 'active' AS status FROM kc")
+def cluster_rows(spark: SparkSession, d: str) -> DataFrame:
+    whole, _ = known_clusters(spark, d)
+    return whole.select("cluster_id", "cluster_name", F.col("size").alias("cluster_size"), epoch_us(F.col("first")).alias("first_us"), epoch_us(F.col("last")).alias("last_us"), F.lit("active").alias("status"))
+
+
+@query("q18d_cluster_members", f"""WITH RECURSIVE {_CLUSTERS} SELECT kc.cluster_id, km.mac, kc.confidence, '{{"source":"approved_merge_decision"}}' AS evidence, epoch_us(km.first) AS first_us, epoch_us(km.last) AS last_us FROM km JOIN kc ON kc.root = km.root""")
+def cluster_members(spark: SparkSession, d: str) -> DataFrame:
+    whole, known = known_clusters(spark, d)
+    evidence = F.to_json(F.struct(F.lit("approved_merge_decision").alias("source")))
+    return known.join(whole.select("root", "cluster_id", "confidence"), "root").select("cluster_id", "mac", "confidence", evidence.alias("evidence"), epoch_us(F.col("first")).alias("first_us"), epoch_us(F.col("last")).alias("last_us"))
+
+
+@query("q18e_inventory_devices", f"""WITH RECURSIVE {_CLUSTERS} SELECT km.mac, kc.cluster_id AS similarity_cluster_id, kc.confidence AS dedup_confidence, kc.size AS known_macs, true AS active, false AS registered, '[]' AS tags, epoch_us(km.first) AS first_us, epoch_us(km.last) AS last_us FROM km JOIN kc ON kc.root = km.root""")
+def inventory_devices(spark: SparkSession, d: str) -> DataFrame:
+    """Inventory of the devices of clusters; known_macs is how many addresses the cluster has, which q18d lists as rows."""
+    whole, known = known_clusters(spark, d)
+    return known.join(whole.select("root", "cluster_id", "confidence", "size"), "root").select(
+        "mac", F.col("cluster_id").alias("similarity_cluster_id"), F.col("confidence").alias("dedup_confidence"), F.col("size").alias("known_macs"), F.lit(True).alias("active"), F.lit(False).alias("registered"), F.lit("[]").alias("tags"),
+        epoch_us(F.col("first")).alias("first_us"), epoch_us(F.col("last")).alias("last_us"),
+    )
 
 
 @query("q18b_cluster_seen", f"""
@@ -119,28 +188,36 @@ def cluster_seen(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("q19_graph_nodes", f"""
-WITH RECURSIVE {_EDGES}, {FRAMES_SQL} SELECT 'device:' || source_mac AS node_id, 'device' AS kind, CAST(NULL AS VARCHAR) AS sensor_id, CAST(epoch_us(max(observed_at)) AS DOUBLE) AS observed_us FROM f GROUP BY source_mac
-UNION ALL SELECT 'ap:' || bssid, 'access_point', max(sensor_id), epoch_us(max(observed_at)) FROM f WHERE bssid IS NOT NULL GROUP BY bssid
-UNION ALL SELECT 'identity:' || root, 'identity_cluster', NULL, NULL FROM m GROUP BY root""")
+WITH RECURSIVE {_CLUSTERS} SELECT 'device:' || source_mac AS node_id, 'device' AS kind, CAST(NULL AS VARCHAR) AS label, CAST(NULL AS VARCHAR) AS location_id, CAST(NULL AS VARCHAR) AS sensor_id, CAST(epoch_us(max(observed_at)) AS DOUBLE) AS observed_us FROM f GROUP BY source_mac
+UNION ALL SELECT 'ap:' || f.bssid, 'access_point', max(n.ssid), max(f.location_id), max(f.sensor_id), epoch_us(max(observed_at)) FROM f LEFT JOIN (SELECT bssid, max(ssid) AS ssid FROM wireless_authorized_networks WHERE bssid IS NOT NULL GROUP BY 1) n ON n.bssid = f.bssid WHERE f.bssid IS NOT NULL GROUP BY f.bssid
+UNION ALL SELECT 'identity:' || cluster_id, 'identity_cluster', cluster_name, NULL, NULL, epoch_us(last) FROM kc""")
 def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
-    f = frames(spark, d, "sensor_id", "bssid")
-    none, seen = F.lit(None).cast("string").alias("sensor_id"), epoch_us(F.max("observed_at")).cast("double").alias("observed_us")
-    device = f.groupBy("source_mac").agg(seen).select(F.concat(F.lit("device:"), "source_mac").alias("node_id"), F.lit("device").alias("kind"), none, "observed_us")
-    ap = f.where("bssid is not null").groupBy("bssid").agg(F.max("sensor_id").alias("sensor_id"), seen).select(F.concat(F.lit("ap:"), "bssid").alias("node_id"), F.lit("access_point").alias("kind"), "sensor_id", "observed_us")
-    members = components(approved_edges(spark, d).select("a", "b"))
-    cluster = members.select("root").distinct().select(F.concat(F.lit("identity:"), "root").alias("node_id"), F.lit("identity_cluster").alias("kind"), none, F.lit(None).cast("double").alias("observed_us"))
+    """Devices, access points (with the name of their authorised network, if any) and active identity clusters."""
+    f = frames(spark, d, "sensor_id", "location_id", "bssid")
+    none = lambda c: F.lit(None).cast("string").alias(c)
+    seen = epoch_us(F.max("observed_at")).cast("double").alias("observed_us")
+    device = f.groupBy("source_mac").agg(seen).select(F.concat(F.lit("device:"), "source_mac").alias("node_id"), F.lit("device").alias("kind"), none("label"), none("location_id"), none("sensor_id"), "observed_us")
+    names = table(spark, d, "wireless_authorized_networks").where("bssid is not null").groupBy("bssid").agg(F.max("ssid").alias("label"))
+    ap = f.where("bssid is not null").groupBy("bssid").agg(F.max("location_id").alias("location_id"), F.max("sensor_id").alias("sensor_id"), seen).join(names, "bssid", "left")
+    ap = ap.select(F.concat(F.lit("ap:"), "bssid").alias("node_id"), F.lit("access_point").alias("kind"), "label", "location_id", "sensor_id", "observed_us")
+    whole, _ = known_clusters(spark, d)
+    cluster = whole.select(F.concat(F.lit("identity:"), "cluster_id").alias("node_id"), F.lit("identity_cluster").alias("kind"), F.col("cluster_name").alias("label"), none("location_id"), none("sensor_id"), epoch_us(F.col("last")).cast("double").alias("observed_us"))
     return device.unionByName(ap).unionByName(cluster)
 
 
 @query("q20_graph_edges", f"""
-WITH RECURSIVE {_EDGES}, {FRAMES_SQL} SELECT 'observed:' || source_mac || ':' || bssid AS edge_id, 'device:' || source_mac AS from_id, 'ap:' || bssid AS to_id, CAST(count(*) AS DOUBLE) AS weight FROM f WHERE bssid IS NOT NULL GROUP BY source_mac, bssid
-UNION ALL SELECT 'identity-member:' || root || ':' || node, 'identity:' || root, 'device:' || node, 1.0 FROM m""")
+WITH RECURSIVE {_CLUSTERS} SELECT 'observed:' || source_mac || ':' || bssid AS edge_id, 'device:' || source_mac AS from_id, 'ap:' || bssid AS to_id, 'observed_at' AS kind, CAST(count(*) AS DOUBLE) AS weight, epoch_us(max(observed_at)) AS observed_us FROM f WHERE bssid IS NOT NULL GROUP BY source_mac, bssid
+UNION ALL SELECT 'identity-member:' || cluster_id || ':' || mac, 'device:' || mac, 'identity:' || cluster_id, 'identity_member', kc.confidence, epoch_us(km.last) FROM km JOIN kc ON kc.root = km.root""")
 def graph_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Observations of access points by devices, and devices' membership of identities with its confidence."""
     mac, ap = F.col("source_mac"), F.col("bssid")
-    seen = frames(spark, d, "bssid").where("bssid is not null").groupBy("source_mac", "bssid").agg(F.count("*").cast("double").alias("weight"))
-    observed = seen.select(F.concat_ws(":", F.lit("observed"), mac, ap).alias("edge_id"), F.concat(F.lit("device:"), mac).alias("from_id"), F.concat(F.lit("ap:"), ap).alias("to_id"), "weight")
-    members = components(approved_edges(spark, d).select("a", "b"))
-    inside = members.select(F.concat_ws(":", F.lit("identity-member"), "root", "node").alias("edge_id"), F.concat(F.lit("identity:"), "root").alias("from_id"), F.concat(F.lit("device:"), "node").alias("to_id"), F.lit(1.0).alias("weight"))
+    seen = frames(spark, d, "bssid").where("bssid is not null").groupBy("source_mac", "bssid").agg(F.count("*").cast("double").alias("weight"), epoch_us(F.max("observed_at")).alias("observed_us"))
+    observed = seen.select(F.concat_ws(":", F.lit("observed"), mac, ap).alias("edge_id"), F.concat(F.lit("device:"), mac).alias("from_id"), F.concat(F.lit("ap:"), ap).alias("to_id"), F.lit("observed_at").alias("kind"), "weight", "observed_us")
+    whole, known = known_clusters(spark, d)
+    inside = known.join(whole.select("root", "cluster_id", "confidence"), "root").select(
+        F.concat_ws(":", F.lit("identity-member"), "cluster_id", "mac").alias("edge_id"), F.concat(F.lit("device:"), "mac").alias("from_id"), F.concat(F.lit("identity:"), "cluster_id").alias("to_id"), F.lit("identity_member").alias("kind"),
+        F.col("confidence").alias("weight"), epoch_us(F.col("last")).alias("observed_us"),
+    )
     return observed.unionByName(inside)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skysift.functions.mac import canonical_mac, epoch_us
 from skysift.operators.merge import add_unless, insert_only, merge_rows, newer_wins
 from skysift.plans.frames import FRAMES_SQL, frames
-from skysift.plans.payloads import _LONG, _TEXT, messages, records_sql, transform
+from skysift.plans.payloads import _LONG, _TEXT, messages, records_sql, sink_sql, transform
 from skysift.plans.problems import canon_sql
 from skysift.plans.registry import NOW, Registry
 from skysift.sources.tables import table
@@ -50,15 +50,10 @@ def rollup_fold(spark: SparkSession, d: str) -> DataFrame:
     return rollup(b).select("host", "attempts", "blocked_bytes", F.col("consecutive_blocks").cast("double").alias("consecutive_blocks"), "tls_ver")
 
 
-@query("q24_daily_alert_merge", f"""
-WITH {records_sql('audit.wireless.bandwidth')}, b AS (SELECT dedupe_key, i - 1 AS row_sequence, {_TEXT.format('sensor_id')} AS sensor_id, {_TEXT.format('location_id')} AS location_id, {_TEXT.format('source_mac')} AS source_mac, {_TEXT.format('destination_bssid')} AS destination_bssid,
- TRY_CAST(json_extract_string(payload, '$.window_start') AS TIMESTAMPTZ) AS ws, {_LONG.format('bytes')} AS bytes FROM r)
-SELECT sensor_id, source_mac, destination_bssid, strftime(ws AT TIME ZONE 'UTC', '%Y-%m-%d') AS alert_date, min(row_sequence) AS row_sequence, epoch_us(min(ws)) AS detected_us, arg_max(location_id, (ws, dedupe_key, row_sequence)) AS location_id, CAST(sum(bytes) AS BIGINT) AS total_bytes, count(*) AS aggregated_rows
-FROM b WHERE sensor_id IS NOT NULL AND source_mac IS NOT NULL AND destination_bssid IS NOT NULL AND ws IS NOT NULL AND bytes IS NOT NULL AND location_id IS NOT NULL GROUP BY 1, 2, 3, 4""")
-def daily_alert_merge(spark: SparkSession, d: str) -> DataFrame:
-    """Bandwidth rows folded to one alert a day; every row counts as over its threshold here."""
-    b = transform(messages(spark, d, "audit.wireless.bandwidth"), "wireless_bandwidth").where("error is null")
-    return b.groupBy("sensor_id", "source_mac", "destination_bssid", F.date_format("window_start", "yyyy-MM-dd").alias("alert_date")).agg(
+def daily_alerts(rows: DataFrame) -> DataFrame:
+    """Bandwidth rows over their threshold as one alert by sensor, source, access point and day of the rows' own offset."""
+    over = rows.where("threshold_exceeded <> 0")
+    return over.groupBy("sensor_id", "source_mac", "destination_bssid", F.col("window_day").alias("alert_date")).agg(
         F.min("row_sequence").alias("row_sequence"), F.unix_micros(F.min("window_start")).alias("detected_us"), F.max_by("location_id", F.struct("window_start", "dedupe_key", "row_sequence")).alias("location_id"),
         F.sum("bytes").alias("total_bytes"), F.count("*").alias("aggregated_rows"),
     )
@@ -202,18 +197,31 @@ def alert_table(spark: SparkSession, d: str) -> DataFrame:
     return a.select("alert_type", "batch_id", "row_sequence", "primary_mac", F.get_json_object("details_json", "$.session_key").alias("session_key"), F.get_json_object("details_json", "$.attack_tag").alias("attack_tag"))
 
 
-@query("q43d_attack_alerts")
+@query("q43d_attack_alerts", f"""
+SELECT 'attack_sequence' AS alert_type, dedupe_key AS batch_id, row_sequence, detected_at AS detected_us, sensor_id, location_id, nullif(ssid, '') AS ssid, attack_chain AS chain, factor_breakdown AS factors, explanation AS reasons, first_event_at AS first_us, last_event_at AS last_us
+FROM ({sink_sql('attack_sequence', records_sql('wireless.alert.attack_sequence'))}) WHERE error IS NULL""")
 def attack_alerts(spark: SparkSession, d: str) -> DataFrame:
-    return alert_rows(transform(messages(spark, d, "wireless.alert.attack_sequence"), "attack_sequence"), "attack_sequence")
+    """Attack alerts; the details' arrays are shown by their size, their times in microseconds."""
+    a = alert_rows(transform(messages(spark, d, "wireless.alert.attack_sequence"), "attack_sequence"), "attack_sequence")
+    size = lambda c: F.json_array_length(F.get_json_object("details_json", f"$.{c}")).cast("double")
+    when = lambda c: F.unix_micros(F.get_json_object("details_json", f"$.{c}").cast("timestamp"))
+    return a.select(
+        "alert_type", "batch_id", "row_sequence", F.unix_micros("detected_at").alias("detected_us"), "sensor_id", "location_id", F.nullif("ssid", F.lit("")).alias("ssid"), size("attack_chain").alias("chain"), size("factor_breakdown").alias("factors"),
+        size("explanation").alias("reasons"), when("first_event_at").alias("first_us"), when("last_event_at").alias("last_us"),
+    )
 
 
-@query("q43e_client_inventory_merge", None)
+@query("q43e_client_inventory_merge", f"""
+SELECT sensor_id, snapshot_at AS snapshot_us, client_mac, min(first_seen) AS first_us, max(last_seen) AS last_us,
+ coalesce(arg_max(coalesce(ssid, '-'), (last_seen, dedupe_key, row_sequence)) FILTER (WHERE row_sequence % 2 = 1), arg_max(coalesce(ssid, '-'), (last_seen, dedupe_key, row_sequence))) AS ssid
+FROM ({sink_sql('client_inventory', records_sql('wireless.client.inventory', 'clients'))}) WHERE error IS NULL GROUP BY 1, 2, 3""")
 def client_inventory_merge(spark: SparkSession, d: str) -> DataFrame:
-    """Inventory snapshots merged in two batches: first seen least, last seen greatest."""
+    """Inventory snapshots merged in two batches: first seen least, last seen greatest, the rest overwritten."""
     rows = transform(messages(spark, d, "wireless.client.inventory"), "client_inventory").where("error is null")
     keys = ["sensor_id", "snapshot_at", "client_mac"]
-    fold = lambda x: x.groupBy(*keys).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.max_by("ssid", F.struct("last_seen", "dedupe_key", "row_sequence")).alias("ssid"))
-    return merge_rows(fold(rows.where("row_sequence % 2 = 0")), fold(rows.where("row_sequence % 2 = 1")), keys, {"first_seen": "least", "last_seen": "greatest", "ssid": "overwrite"})
+    fold = lambda x: x.groupBy(*keys).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.max_by(F.coalesce("ssid", F.lit("-")), F.struct("last_seen", "dedupe_key", "row_sequence")).alias("ssid"))
+    m = merge_rows(fold(rows.where("row_sequence % 2 = 0")), fold(rows.where("row_sequence % 2 = 1")), keys, {"first_seen": "least", "last_seen": "greatest", "ssid": "overwrite"})
+    return m.select("sensor_id", F.unix_micros("snapshot_at").alias("snapshot_us"), "client_mac", F.unix_micros("first_seen").alias("first_us"), F.unix_micros("last_seen").alias("last_us"), "ssid")
 
 
 @query("q43f_hydration_update", """
