@@ -43,9 +43,10 @@ def _members(kind: str) -> dict[str, Column]:
     place = {"sensor_id": c("sensor_id"), "location_id": c("location_id"), "interface": F.lit("wlan0mon")}
     return {
         "rogue_ap": lambda: {"observed_at": _at("06:30:00+02:00"), **place, "channel": (c("n") % 13 + 1).cast("string"), "bssid": c("bssid"), "ssid": F.when(c("n") % 3 == 0, "").otherwise(F.concat(F.lit("net-"), c("n") % 7)), "signal_dbm": c("hi"), "reasons": F.when(even, F.array(F.lit("drift"), F.lit("bssid_spoofing"))).otherwise(F.array(F.lit("drift")))},
-        "deauth_flood": lambda: {"detected_at": _at("00:00:00Z"), **place, "source_mac": c("mac"), "bssid": c("bssid"), "frame_count": c("n"), "window_secs": F.lit("86400"), "threshold": F.when(even, 5), "signal_dbm": c("lo")},
-        "signal_anomaly": lambda: {"detected_at": _at("00:00:00.250Z"), **place, "source_mac": c("mac"), "bssid": c("bssid"), "channel": F.lit(6), "baseline_dbm": c("lo"), "observed_dbm": c("hi"), "dbm_delta": c("lo") - c("hi"), "configured_delta": F.lit(10.0)},
+        "deauth_flood": lambda: {"detected_at": _at("00:00:00Z"), **place, "source_mac": F.when(~even, c("mac")), "bssid": c("bssid"), "frame_count": c("n"), "window_secs": F.lit("86400"), "threshold": F.when(even, 5), "signal_dbm": c("lo")},
+        "signal_anomaly": lambda: {"detected_at": _at("00:00:00.250Z"), **place, "source_mac": F.when(c("n") % 4 == 0, c("bssid")).otherwise(c("mac")), "bssid": c("bssid"), "channel": F.lit(6), "baseline_dbm": c("lo"), "observed_dbm": c("hi"), "dbm_delta": c("lo") - c("hi"), "configured_delta": F.lit(10.0)},
         "pmf_attack": lambda: {"observed_at": _at("12:00:00Z"), **place, "source_mac": c("mac"), "bssid": c("bssid"), "attack_tag": F.when(c("n") > 3, "sa_query_flood"), "reconnect_window_ms": c("n") * 10},
+        "proxy_events": lambda: {"type": F.lit("block"), "host": F.concat("bssid", F.lit(".example")), "time": _at("12:00:00Z"), "bytes_up": c("n"), "bytes_down": c("n").cast("string"), "blocked": even},
         "handshake": lambda: {"detected_at": _at("08:00:00Z"), **place, "bssid": c("bssid"), "client_mac": c("mac"), "signal_dbm": c("hi"), "pmkid": F.concat("bssid", "mac")},
         "proxy_payload_audit": lambda: {"observed_at": _at("10:00:00+00:00"), "host": c("bssid"), "correlation_id": F.concat("sensor_id", "location_id", "day"), "direction": F.when(even, "down"), "byte_offset": F.when(c("n") % 5 > 0, c("n").cast("string")), "method": F.lit("GET"), "status_code": F.lit(200), "path": F.concat(F.lit("/"), c("day")), "is_encrypted": even, "notes": F.lit("")},
         "wireless_bandwidth": lambda: {"window_start": _at("23:30:00-01:00"), "window_end": _at("23:45:00-01:00"), **place, "channel": c("n") % 250, "source_mac": c("mac"), "destination_bssid": c("bssid"), "bytes": c("n") * 100, "frame_count": c("n"), "retry_count": c("retries"), "threshold_exceeded": c("n") % 3 == 0},
@@ -56,7 +57,7 @@ def _members(kind: str) -> dict[str, Column]:
 #: Made messages go under these stream names, some of them second names.
 MADE = {
     "rogue_ap": "wireless.alert.rogue_ap", "deauth_flood": "wireless.deauth_flood", "signal_anomaly": "wireless.signal_anomaly", "pmf_attack": "wireless.alert.pmf_attack",
-    "handshake": "wifi.alert.handshake", "proxy_payload_audit": "proxy.payload_audit", "wireless_bandwidth": "audit.wireless.bandwidth", "wireless_audit_frames": "wireless.audit",
+    "handshake": "wifi.alert.handshake", "proxy_payload_audit": "proxy.payload_audit", "wireless_bandwidth": "audit.wireless.bandwidth", "wireless_audit_frames": "wireless.audit", "proxy_events": "proxy.events",
 }
 
 
@@ -71,8 +72,8 @@ def _noted(day: str, clock: str) -> str:
 
 _ALERT_SQL = {
     "rogue_ap": (_noted("day", "06:30:00+02:00"), "bssid", "NULL", "CASE WHEN n % 3 > 0 THEN 'net-' || (n % 7) END", "n % 13 + 1", "hi", "json_object('ssid_impersonation', CAST(n % 2 = 0 AS INTEGER))", "true"),
-    "deauth_flood": (_noted("day", "00:00:00Z"), "mac", "bssid", "NULL", "0", "lo", "json_object('deauth_count', n, 'window_secs', 86400, 'threshold', CASE WHEN n % 2 = 0 THEN 5 ELSE 0 END)", "true"),
-    "signal_anomaly": (_noted("day", "00:00:00.250Z"), "mac", "bssid", "NULL", "6", "hi", "json_object('baseline_dbm', lo, 'observed_dbm', hi, 'dbm_delta', hi - lo, 'configured_delta', 10)", "lo IS NOT NULL"),
+    "deauth_flood": (_noted("day", "00:00:00Z"), "CASE WHEN n % 2 = 1 THEN mac END", "bssid", "NULL", "0", "lo", "json_object('deauth_count', n, 'window_secs', 86400, 'threshold', CASE WHEN n % 2 = 0 THEN 5 ELSE 0 END)", "true"),
+    "signal_anomaly": (_noted("day", "00:00:00.250Z"), "CASE WHEN n % 4 = 0 THEN bssid ELSE mac END", "bssid", "NULL", "6", "hi", "json_object('baseline_dbm', lo, 'observed_dbm', hi, 'dbm_delta', hi - lo, 'configured_delta', 10)", "lo IS NOT NULL"),
     "pmf_attack": (_noted("day", "12:00:00Z"), "mac", "bssid", "NULL", "NULL", "NULL", "json_object('attack_tag', 'sa_query_flood', 'reconnect_window_ms', n * 10)", "n > 3"),
     "handshake": (_noted("day", "08:00:00Z"), "mac", "bssid", "NULL", "NULL", "hi", "json_object('pmkid_sha256', sha256(bssid || mac))", "true"),
 }

@@ -221,94 +221,6 @@ def graph_edges(spark: SparkSession, d: str) -> DataFrame:
     return observed.unionByName(inside)
 
 
-_STRONG = -50
-
-
-@query("q12_shadow_alerts", f"""
-WITH {FRAMES_SQL}, c AS (SELECT DISTINCT dedupe_key, source_mac, observed_at, bssid, sensor_id, location_id, signal_dbm FROM f WHERE observed_at >= TIMESTAMP '{NOW}' - INTERVAL 2 DAY AND signal_dbm >= {_STRONG} AND regexp_full_match(source_mac, '[0-9a-f]{{2}}(:[0-9a-f]{{2}}){{5}}')
- AND NOT EXISTS (SELECT 1 FROM sync_events e WHERE e.dedupe_key = f.dedupe_key AND e.status = 'done')
- AND NOT EXISTS (SELECT 1 FROM wireless_authorized_networks n WHERE n.enabled AND (n.location_id IS NULL OR n.location_id = f.location_id) AND (n.bssid IS NULL OR n.bssid = f.bssid))
- AND NOT EXISTS (SELECT 1 FROM f d WHERE d.source_mac = f.source_mac AND d.observed_at >= TIMESTAMP '{NOW}' - INTERVAL 6 DAY AND d.observed_at < TIMESTAMP '{NOW}' - INTERVAL 2 DAY AND d.signal_dbm < -70))
-SELECT source_mac, count(*) AS occurrences, epoch_us(min(observed_at)) AS first_us, epoch_us(max(observed_at)) AS last_us, arg_max(sensor_id, (observed_at, dedupe_key)) FILTER (WHERE sensor_id IS NOT NULL) AS sensor_id FROM c GROUP BY 1""")
-def shadow_alerts(spark: SparkSession, d: str) -> DataFrame:
-    """Strong, unauthorised, not yet handled and not recently known devices, one alert each."""
-    f = frames(spark, d, "bssid", "sensor_id", "location_id", "signal_dbm")
-    c = f.where(f"observed_at >= {TS} - INTERVAL 2 DAYS and signal_dbm >= {_STRONG}").where(F.col("source_mac").rlike(r"^[0-9a-f]{2}(:[0-9a-f]{2}){5}\z"))
-    c = c.join(table(spark, d, "sync_events").where("status = 'done'").select("dedupe_key"), "dedupe_key", "left_anti")
-    c = null_tolerant_anti(c, table(spark, d, "wireless_authorized_networks").where("enabled"), ["location_id", "bssid"])
-    known = f.where(f"observed_at >= {TS} - INTERVAL 6 DAYS and observed_at < {TS} - INTERVAL 2 DAYS and signal_dbm < -70").select("source_mac")
-    c = c.join(known, "source_mac", "left_anti")
-    order = F.when(F.col("sensor_id").isNotNull(), F.struct("observed_at", "dedupe_key"))
-    return c.groupBy("source_mac").agg(F.count("*").alias("occurrences"), epoch_us(F.min("observed_at")).alias("first_us"), epoch_us(F.max("observed_at")).alias("last_us"), F.max_by("sensor_id", order).alias("sensor_id"))
-
-
-@query("q12b_shadow_alert_json")
-def shadow_alert_json(spark: SparkSession, d: str) -> DataFrame:
-    """Shadow alerts as JSON messages; members without a value are kept as null."""
-    a = shadow_alerts(spark, d)
-    body = F.struct("source_mac", "first_us", "last_us", "occurrences", "sensor_id", F.lit(None).cast("string").alias("ssid"), F.lit("unauthorized_network").alias("reason"))
-    return a.select("source_mac", F.to_json(body, {"ignoreNullFields": "false"}).alias("alert_json"))
-
-
-@query("q21_dns_threat", f"""
-WITH {records_sql('proxy.events')}, b AS (SELECT {_TEXT.format('host')} AS host, TRY_CAST(json_extract_string(payload, '$.time') AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS t, coalesce({_LONG.format('bytes_up')}, 0) + coalesce({_LONG.format('bytes_down')}, 0) AS n
- FROM r WHERE json_extract_string(payload, '$.blocked') IN ('true', '1') AND json_type(payload, '$.blocked') <> 'VARCHAR'),
-g AS (SELECT host, count(*) AS blocked, CAST(sum(n) AS BIGINT) AS traffic, count(*) FILTER (WHERE t >= TIMESTAMP '{NOW}' - INTERVAL 1 DAY) AS recent FROM b WHERE t >= TIMESTAMP '{NOW}' - INTERVAL 7 DAY AND host IS NOT NULL GROUP BY 1 HAVING count(*) > 1),
-s AS (SELECT *, blocked * (traffic / CAST(blocked AS DOUBLE) + 1) * (1 + 2.0 * recent / CAST(blocked AS DOUBLE)) AS score FROM g)
-SELECT host, blocked, traffic, recent, round(score, 3) AS score, CASE WHEN score >= 1000 THEN 'critical' WHEN score >= 500 THEN 'high' WHEN score >= 100 THEN 'medium' ELSE 'low' END AS severity FROM s""")
-def dns_threat(spark: SparkSession, d: str) -> DataFrame:
-    """Blocked hosts of the last seven days with more than one event, scored."""
-    now = F.expr(f"timestamp'{NOW} UTC'")
-    b = transform(messages(spark, d, "proxy.events"), "proxy_events").where("error is null and blocked = 1").where(F.col("event_time") >= now - F.expr("INTERVAL 7 DAYS"))
-    recent = F.count_if(F.col("event_time") >= now - F.expr("INTERVAL 1 DAY")).alias("recent")
-    g = b.groupBy("host").agg(F.count("*").alias("blocked"), F.sum(F.col("bytes_up") + F.col("bytes_down")).alias("traffic"), recent).where("blocked > 1")
-    score = dns_score(F.col("blocked"), F.col("traffic"), F.col("recent"))
-    return g.select("host", "blocked", "traffic", "recent", F.round(score, 3).alias("score"), severity(score).alias("severity"))
-
-
-@query("q21b_host_threat", """
-WITH g AS (SELECT user_id, count(*) AS blocked, CAST(sum(floor(value)) AS BIGINT) AS traffic, count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 1 DAY) AS recent FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY GROUP BY 1 HAVING count(*) > 1),
-s AS (SELECT *, blocked * (traffic / CAST(blocked AS DOUBLE) + 1) * (1 + 2.0 * recent / CAST(blocked AS DOUBLE)) AS score FROM g)
-SELECT user_id, blocked, recent, round(score, 3) AS score, CASE WHEN score >= 1000 THEN 'critical' WHEN score >= 500 THEN 'high' WHEN score >= 100 THEN 'medium' ELSE 'low' END AS severity FROM s""")
-def host_threat(spark: SparkSession, d: str) -> DataFrame:
-    """The same score over the events table, where sources repeat."""
-    now = "timestamp_ntz'2024-01-31 00:00:00'"
-    e = table(spark, d, "events").where(f"event_type = 'error' and ts >= {now} - INTERVAL 7 DAYS")
-    g = e.groupBy("user_id").agg(F.count("*").alias("blocked"), F.sum(F.floor("value").cast("long")).alias("traffic"), F.count_if(F.expr(f"ts >= {now} - INTERVAL 1 DAY")).alias("recent")).where("blocked > 1")
-    score = dns_score(F.col("blocked"), F.col("traffic"), F.col("recent"))
-    return g.select("user_id", "blocked", "recent", F.round(score, 3).alias("score"), severity(score).alias("severity"))
-
-
-@query("q22_entity_risk", f"""
-WITH {FRAMES_SQL}, x AS (SELECT bssid FROM f WHERE bssid IS NOT NULL GROUP BY 1 ORDER BY max(observed_at) DESC, bssid LIMIT 1000),
-al AS (SELECT bssid, max(CASE WHEN frame_subtype IN ('deauthentication', 'deauth') THEN 1 ELSE 0 END) AS de, max(CASE WHEN signal_dbm > -30 THEN 1 ELSE 0 END) AS si FROM f WHERE observed_at >= TIMESTAMP '{NOW}' - INTERVAL 12 HOUR AND bssid IN (SELECT bssid FROM x) GROUP BY 1),
-vc AS (SELECT location_id, count(DISTINCT substr(bssid, 1, 8)) AS n FROM f WHERE location_id IS NOT NULL AND observed_at >= TIMESTAMP '{NOW}' - INTERVAL 12 HOUR GROUP BY 1),
-vs AS (SELECT f.bssid, greatest(max(n) - 1, 0) AS ve FROM f JOIN vc USING (location_id) WHERE f.bssid IN (SELECT bssid FROM x) AND f.observed_at >= TIMESTAMP '{NOW}' - INTERVAL 12 HOUR GROUP BY 1),
-home AS (SELECT source_mac, max(bssid) AS bssid FROM f WHERE bssid IS NOT NULL GROUP BY 1), {_PAIRS},
-ou AS (SELECT bssid, max(cosine_distance) AS d FROM (SELECT h.bssid, cosine_distance FROM p JOIN home h ON h.source_mac = p.mac_a WHERE cosine_distance > 0.15 UNION ALL SELECT h.bssid, cosine_distance FROM p JOIN home h ON h.source_mac = p.mac_b WHERE cosine_distance > 0.15) GROUP BY 1),
-s AS (SELECT x.bssid, 0.25 * least(coalesce(de, 0), 1) + 0.20 * least(coalesce(si, 0), 1) AS signal_risk, 0.15 * least(coalesce(ve, 0), 1) AS identity_risk, 0.20 * least(coalesce(d, 0), 1) AS behaviour_risk FROM x LEFT JOIN al USING (bssid) LEFT JOIN vs USING (bssid) LEFT JOIN ou USING (bssid))
-SELECT bssid, round(CAST(signal_risk AS DOUBLE), 6) AS signal_risk, round(CAST(identity_risk AS DOUBLE), 6) AS identity_risk, round(CAST(behaviour_risk AS DOUBLE), 6) AS behaviour_risk, round(CAST(least(signal_risk + identity_risk + behaviour_risk, 1) AS DOUBLE), 6) AS composite_risk FROM s""")
-def entity_risk(spark: SparkSession, d: str) -> DataFrame:
-    """Access point risk from recent frames, vendor mix by place and outlying pairs.
-
-    The most recent 1,000 access points (the limit is the feature) bound every other part by a
-    semi-join, before it is aggregated.
-    """
-    f = frames(spark, d, "bssid", "location_id", "frame_subtype", "signal_dbm")
-    aps = f.where("bssid is not null").groupBy("bssid").agg(F.max("observed_at").alias("last")).orderBy(F.desc("last"), "bssid").limit(1000).select("bssid")
-    recent = f.where(f"observed_at >= {TS} - INTERVAL 12 HOURS")
-    mine = recent.join(F.broadcast(aps), "bssid", "left_semi")
-    alerts = mine.groupBy("bssid").agg(F.max(F.col("frame_subtype").isin("deauthentication", "deauth").cast("int")).alias("de"), F.max((F.coalesce("signal_dbm", F.lit(-99)) > -30).cast("int")).alias("si"))
-    vendors = recent.where("location_id is not null").groupBy("location_id").agg(F.count_distinct(F.substring("bssid", 1, 8)).alias("n"))
-    vendor = mine.join(vendors, "location_id").groupBy("bssid").agg(F.greatest(F.max("n") - 1, F.lit(0)).alias("ve"))
-    home = f.where("bssid is not null").groupBy("source_mac").agg(F.max("bssid").alias("bssid"))
-    sides = stored_pairs(spark, d).where("cosine_distance > 0.15").select(F.explode(F.array("mac_a", "mac_b")).alias("source_mac"), "cosine_distance")
-    outlier = sides.join(home, "source_mac").groupBy("bssid").agg(F.max("cosine_distance").alias("d"))
-    joined = aps.join(alerts, "bssid", "left").join(vendor, "bssid", "left").join(outlier, "bssid", "left").na.fill(0)
-    risk = ap_risk(F.col("de"), F.col("si"), F.lit(0.0), F.col("ve"), F.col("d"))
-    return joined.select("bssid", *(F.round(c, 6).alias(n) for n, c in risk.items()))
-
-
 @query("q49_union_outliers", f"""
 WITH {_PAIRS} SELECT mac, max(cosine_distance) AS outlier_score, count(*) AS pairs FROM (SELECT mac_a AS mac, cosine_distance FROM p WHERE cosine_distance > 0.15 UNION ALL SELECT mac_b, cosine_distance FROM p WHERE cosine_distance > 0.15) GROUP BY 1""")
 def union_outliers(spark: SparkSession, d: str) -> DataFrame:
