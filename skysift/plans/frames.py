@@ -194,18 +194,6 @@ def baseline_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return p.select(stable_id("baseline", F.col("bssid"), F.lit("signal_dbm")).alias("baseline_id"), "bssid", F.col("p")[0].alias("p5"), F.col("p")[1].alias("p50"), F.col("p")[2].alias("p95"), "n")
 
 
-@query("q07_stale_windows", f"""
-WITH {FRAMES_SQL}, c AS (SELECT source_mac || ':' || CAST(epoch_us({HOUR}) // 1000000 AS VARCHAR) AS k, count(*) AS n FROM f GROUP BY 1),
-s AS (SELECT profile_key, min(source_event_count) AS m FROM timing_profiles GROUP BY 1)
-SELECT c.k AS profile_key, n AS source_count, m AS stored_count FROM c LEFT JOIN s ON s.profile_key = c.k WHERE m IS NULL OR m <> n""")
-def stale_windows(spark: SparkSession, d: str) -> DataFrame:
-    """Windows with no stored profile or one that counts another number of frames (its least copy)."""
-    key = F.concat_ws(":", "source_mac", F.unix_seconds("window_start")).alias("profile_key")
-    now = frames(spark, d).groupBy("source_mac", "window_start").agg(F.count("*").alias("source_count")).select(key, "source_count")
-    stored = table(spark, d, "timing_profiles").groupBy("profile_key").agg(F.min("source_event_count").alias("stored_count"))
-    return now.join(stored, "profile_key", "left").where("stored_count is null or stored_count <> source_count")
-
-
 @query("q07b_stale_sessions", f"""
 WITH {FRAMES_SQL}, c AS (SELECT session_key, count(*) AS n FROM f WHERE session_key IS NOT NULL GROUP BY 1), s AS (SELECT session_key, max(coalesce(len(tokens), 0)) AS m FROM frame_sequences GROUP BY 1)
 SELECT c.session_key, n AS source_count, m AS stored_count FROM c LEFT JOIN s USING (session_key) WHERE m IS NULL OR m <> n""")
@@ -227,6 +215,10 @@ def stale_baselines(spark: SparkSession, d: str) -> DataFrame:
     return now.join(stored.where("metric = 'signal_dbm'").drop("metric"), "bssid", "left").where("stored_count is null or stored_count <> source_count")
 
 
-@query("q46_case_band", "SELECT p_partkey, CASE WHEN p_size * 5 BETWEEN 1 AND 14 THEN '2.4GHz' WHEN p_size * 5 > 14 AND p_size * 5 <= 233 THEN '5GHz' ELSE 'unknown' END AS band FROM part")
+_CHANNEL = "1 + abs(signal_dbm) * 3"
+
+
+@query("q46_case_band", f"WITH {FRAMES_SQL} SELECT dedupe_key, CASE WHEN {_CHANNEL} BETWEEN 1 AND 14 THEN '2.4GHz' WHEN {_CHANNEL} > 14 AND {_CHANNEL} <= 233 THEN '5GHz' ELSE 'unknown' END AS band FROM f WHERE signal_dbm IS NOT NULL")
 def case_band(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "part").select("p_partkey", band(F.col("p_size") * 5).alias("band"))
+    """The band of a channel number made of the signal of each frame."""
+    return frames(spark, d, *COLUMNS).where("signal_dbm is not null").select("dedupe_key", band(1 + F.abs("signal_dbm") * 3).alias("band"))

@@ -237,6 +237,9 @@ def changed_tokens(spark: SparkSession, d: str) -> DataFrame:
     return part("window_start < timestamp_ntz'2021-01-10'").union(part("window_start >= timestamp_ntz'2021-01-20'")).distinct()
 
 
-@query("q50_weighted_risk", "SELECT l_suppkey, round(least(100, greatest(0, sum(least(100, greatest(0, l_quantity * 3)) * greatest(l_discount - 0.03, 0)))), 6) AS risk FROM lineitem GROUP BY 1")
+@query("q50_weighted_risk", f"""
+WITH {_PAIRS} SELECT mac_a, round(least(100, greatest(0, sum(least(100, greatest(0, cosine_distance * 150 - 5)) * greatest(0.6 - cosine_distance, 0)))), 6) AS risk FROM p GROUP BY 1""")
 def weighted(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.round(weighted_risk(F.col("l_quantity") * 3, F.col("l_discount") - 0.03), 6).alias("risk"))
+    """Scores of an address' pairs, bounded, weighted and summed."""
+    score, weight = F.col("cosine_distance") * 150 - 5, 0.6 - F.col("cosine_distance")
+    return stored_pairs(spark, d).groupBy("mac_a").agg(F.round(weighted_risk(score, weight), 6).alias("risk"))

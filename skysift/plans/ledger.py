@@ -112,16 +112,36 @@ def transition(status: Column, outcome: Column, error: Column, attempts: Column,
     return F.when(open_, after).when((status == "completed") & (outcome == "success"), status)
 
 
+def decoded_results(results: DataFrame) -> DataFrame:
+    """Batch results ``(.., value)`` as job_id, batch_id, status, error_class, retryable, and what is wrong with them.
+
+    retryable follows from error_class; one that says otherwise is refused.
+    """
+    v = F.try_parse_json("value")
+    s = lambda c: F.try_variant_get("v", f"$.{c}", "string")
+    r = results.withColumn("v", v).withColumn("error_class", F.coalesce(s("error_class"), F.lit("")))
+    said = F.try_variant_get("v", "$.retryable", "boolean")
+    wrong = F.when(F.col("v").isNull(), "not JSON").when(s("job_id").isNull() | s("batch_id").isNull() | s("status").isNull(), "a member is missing").when(said != (F.col("error_class") == "retryable"), "retryable conflicts with error_class")
+    return r.select(*results.columns, s("job_id").alias("job_id"), s("batch_id").alias("batch_id"), s("status").alias("outcome"), "error_class", wrong.alias("error"))
+
+
+def _results(spark: SparkSession, d: str) -> DataFrame:
+    """Results made of the ledger: two digits of the digest say how a batch ended and why."""
+    e = table(spark, d, "sync_events").select("stream_name", "dedupe_key", "status", "attempt_count", F.substring("payload_sha256", 1, 1).alias("x"), F.substring("payload_sha256", 2, 1).alias("y")).distinct()
+    kind = F.when(F.col("y") < "8", "retryable").otherwise("permanent")
+    body = F.struct(F.col("stream_name").alias("job_id"), F.col("dedupe_key").alias("batch_id"), F.when(F.col("x") < "8", "success").otherwise("failed").alias("status"), kind.alias("error_class"), F.when(F.col("x") != "3", kind == "retryable").otherwise(kind != "retryable").alias("retryable"))
+    return e.withColumn("value", F.to_json(body))
+
+
 @query("q48b_result_transition", """
-SELECT o_orderkey, CASE WHEN s IN ('pending', 'dispatched', 'running') THEN CASE WHEN r = 'success' THEN 'completed' WHEN e = 'retryable' AND a < 3 THEN 'pending' ELSE 'failed' END WHEN s = 'completed' AND r = 'success' THEN s END AS next_status
-FROM (SELECT o_orderkey, ['pending','dispatched','running','completed'][CAST(o_orderkey % 4 + 1 AS BIGINT)] AS s, CASE o_orderstatus WHEN 'F' THEN 'failed' ELSE 'success' END AS r, CASE WHEN o_orderkey % 3 = 0 THEN 'retryable' ELSE 'permanent' END AS e, o_custkey % 5 AS a FROM orders)""")
+SELECT stream_name AS job_id, dedupe_key AS batch_id, status, attempt_count, CASE WHEN x = '3' THEN 'retryable conflicts with error_class' END AS error, CASE WHEN x = '3' THEN NULL WHEN status IN ('pending', 'batched') THEN CASE WHEN x < '8' THEN 'completed' WHEN y < '8' AND attempt_count < 3 THEN 'pending' ELSE 'failed' END WHEN status = 'done' AND x < '8' THEN 'completed' END AS next_status
+FROM (SELECT DISTINCT stream_name, dedupe_key, status, attempt_count, substr(payload_sha256, 1, 1) AS x, substr(payload_sha256, 2, 1) AS y FROM sync_events)""")
 def result_transition(spark: SparkSession, d: str) -> DataFrame:
-    """Orders stand in for batch results: all states, outcomes, error classes and attempts."""
-    o = table(spark, d, "orders")
-    s = F.element_at(F.array(*map(F.lit, ("pending", "dispatched", "running", "completed"))), (F.col("o_orderkey") % 4 + 1).cast("int"))
-    r = F.when(F.col("o_orderstatus") == "F", "failed").otherwise("success")
-    e = F.when(F.col("o_orderkey") % 3 == 0, "retryable").otherwise("permanent")
-    return o.select("o_orderkey", transition(s, r, e, F.col("o_custkey") % 5, 3).alias("next_status"))
+    """The next state of each batch after its result; refused results change nothing."""
+    r = decoded_results(_results(spark, d))
+    state = F.when(F.col("status") == "done", "completed").otherwise(F.col("status"))
+    after = F.when(F.col("error").isNull(), transition(state, F.col("outcome"), F.col("error_class"), F.col("attempt_count"), 3))
+    return r.select("job_id", "batch_id", "status", "attempt_count", "error", after.alias("next_status"))
 
 
 @query("q48c_stale_cleanup", f"""
@@ -156,9 +176,11 @@ def keyset_page(spark: SparkSession, d: str) -> DataFrame:
     return later.orderBy("observed_at", "stream_name", "dedupe_key").limit(500).select("stream_name", "dedupe_key", epoch_us(F.col("observed_at")).alias("observed_us"))
 
 
-@query("q38_newest_n", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 250")
+@query("q38_newest_n", "SELECT dedupe_key, epoch_us(max(observed_at)) AS last_us FROM projection_frames GROUP BY 1 ORDER BY max(observed_at) DESC, dedupe_key LIMIT 250")
 def newest_n(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey")).limit(250).select("o_orderkey", "o_custkey")
+    """The 250 newest frames (the limit is the feature)."""
+    newest = table(spark, d, "projection_frames").groupBy("dedupe_key").agg(F.max("observed_at").alias("last"))
+    return newest.orderBy(F.desc("last"), "dedupe_key").limit(250).select("dedupe_key", epoch_us(F.col("last")).alias("last_us"))
 
 
 @query("q15_retention_eligible", f"""
@@ -195,25 +217,19 @@ _FLAGS = ", ".join(f"count(*) FILTER (WHERE {cond}) = 0 AS no_{name}" for name,
 @query("q13_missing_children", f"""
 WITH m AS (SELECT dedupe_key, {_FLAGS} FROM projection_frames GROUP BY 1) SELECT * FROM m WHERE {' OR '.join(f'no_{n}' for n in _CHILDREN)}""")
 def missing_children(spark: SparkSession, d: str) -> DataFrame:
-    """Frames that lack a row in one of six child tables (here: parts of the frame table).
+    """Frames that lack a row in one of six child tables (here: parts of the frame table), by one aggregate."""
+    return _child_flags(spark, d).where(" or ".join(f"no_{n}" for n in _CHILDREN))
 
-    Six left joins on one key: all sides keep the partitioning of the first.
-    """
-    rows = table(spark, d, "projection_frames")
-    out = rows.select("dedupe_key").distinct()
-    for name, cond in _CHILDREN.items():
-        out = out.join(rows.where(cond).select("dedupe_key").distinct().withColumn(f"has_{name}", F.lit(True)), "dedupe_key", "left")
-    out = out.select("dedupe_key", *(F.col(f"has_{n}").isNull().alias(f"no_{n}") for n in _CHILDREN))
-    return out.where(" or ".join(f"no_{n}" for n in _CHILDREN))
+
+def _child_flags(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "projection_frames").groupBy("dedupe_key")
+    return rows.agg(*(F.coalesce(~F.bool_or(F.expr(cond)), F.lit(True)).alias(f"no_{n}") for n, cond in _CHILDREN.items()))
 
 
 @query("q14_resolved_findings", "SELECT DISTINCT dedupe_key FROM projection_frames f WHERE " + " AND ".join(f"EXISTS (SELECT 1 FROM projection_frames c WHERE c.dedupe_key = f.dedupe_key AND {cond})" for cond in _CHILDREN.values()))
 def resolved_findings(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "projection_frames")
-    out = rows.select("dedupe_key").distinct()
-    for cond in _CHILDREN.values():
-        out = out.join(rows.where(cond).select("dedupe_key"), "dedupe_key", "left_semi")
-    return out
+    """Frames that have a row in all child tables: their findings are resolved."""
+    return _child_flags(spark, d).where(" and ".join(f"not no_{n}" for n in _CHILDREN)).select("dedupe_key")
 
 
 @query("q09b_unprojected_rows", """
@@ -223,13 +239,23 @@ def unprojected_rows(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "sync_events").where("stream_name = 'wireless.audit' and payload is not null").select("dedupe_key").distinct().join(done, "dedupe_key", "left_anti")
 
 
-@query("q11_absent_recently", "SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 300 DAY)")
+@query("q09c_unprojected_children", f"""
+WITH e AS (SELECT DISTINCT dedupe_key FROM sync_events WHERE stream_name = 'wireless.audit' AND payload IS NOT NULL), x AS (SELECT dedupe_key, {', '.join(f"count(*) FILTER (WHERE {cond}) > 0 AS has_{n}" for n, cond in _CHILDREN.items())} FROM projection_frames GROUP BY 1)
+SELECT child, count(*) AS missing FROM ({' UNION ALL '.join(f"SELECT '{n}' AS child FROM e LEFT JOIN x USING (dedupe_key) WHERE NOT coalesce(has_{n}, false)" for n in _CHILDREN)} UNION ALL SELECT 'frames' FROM e LEFT JOIN x USING (dedupe_key) WHERE x.has_radio IS NULL) GROUP BY 1""")
+def unprojected_children(spark: SparkSession, d: str) -> DataFrame:
+    """How many audit messages lack a row in each of the seven frame tables: one join, then the gaps as rows."""
+    e = table(spark, d, "sync_events").where("stream_name = 'wireless.audit' and payload is not null").select("dedupe_key").distinct()
+    joined = e.join(_child_flags(spark, d).withColumn("no_frames", F.lit(False)), "dedupe_key", "left")
+    gaps = F.filter(F.array(*(F.when(F.coalesce(F.col(f"no_{n}"), F.lit(True)), F.lit(n)) for n in (*_CHILDREN, "frames"))), lambda x: x.isNotNull())
+    return joined.select(F.explode(gaps).alias("child")).groupBy("child").agg(F.count("*").alias("missing"))
+
+
+@query("q11_absent_recently", f"""
+SELECT DISTINCT candidate_id FROM merge_candidates c WHERE NOT EXISTS (SELECT 1 FROM projection_frames f WHERE f.source_mac = c.mac_a AND f.observed_at >= TIMESTAMP '{NOW}' - INTERVAL 10 DAY)""")
 def absent_recently(spark: SparkSession, d: str) -> DataFrame:
-    """Customers without a recent order; the moment counted from is one aggregate row."""
-    o = table(spark, d, "orders")
-    last = o.agg(F.max("o_orderdate").alias("last"))
-    recent = o.crossJoin(F.broadcast(last)).where(F.col("o_orderdate") >= F.col("last") - F.expr("INTERVAL 300 DAYS")).select(F.col("o_custkey").alias("c_custkey"))
-    return table(spark, d, "customer").select("c_custkey").join(recent, "c_custkey", "left_anti")
+    """Candidates whose first address was not seen of late: the moment filters the right side before the join."""
+    recent = table(spark, d, "projection_frames").where(f"observed_at >= {TS} - INTERVAL 10 DAYS").select(F.col("source_mac").alias("mac_a"))
+    return table(spark, d, "merge_candidates").select("candidate_id", "mac_a").join(recent, "mac_a", "left_anti").select("candidate_id").distinct()
 
 
 @query("q10_null_tolerant_anti", """

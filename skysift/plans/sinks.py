@@ -102,11 +102,12 @@ def probe_merge(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("q42_monotone_merge", """
-SELECT o_custkey, min(o_orderdate) AS first_seen, max(o_orderdate) AS last_seen, coalesce(max(o_totalprice) FILTER (WHERE o_orderkey % 2 = 1), max(o_totalprice) FILTER (WHERE o_orderkey % 2 = 0)) AS last_price FROM orders GROUP BY 1""")
+SELECT topic, partition_id, min(received_at) AS first_seen, max(received_at) AS last_seen, coalesce(max(record_offset) FILTER (WHERE group_version = 3), max(record_offset)) AS last_offset FROM broker_records GROUP BY 1, 2""")
 def monotone_merge(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders")
-    fold = lambda x: x.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_seen"), F.max("o_orderdate").alias("last_seen"), F.max("o_totalprice").alias("last_price"))
-    return merge_rows(fold(o.where("o_orderkey % 2 = 0")), fold(o.where("o_orderkey % 2 = 1")), ["o_custkey"], {"first_seen": "least", "last_seen": "greatest"})
+    """Partitions as two consumer versions saw them: times merge monotonously, the offset is overwritten."""
+    b = table(spark, d, "broker_records")
+    fold = lambda x: x.groupBy("topic", "partition_id").agg(F.min("received_at").alias("first_seen"), F.max("received_at").alias("last_seen"), F.max("record_offset").alias("last_offset"))
+    return merge_rows(fold(b.where("group_version <> 3")), fold(b.where("group_version = 3")), ["topic", "partition_id"], {"first_seen": "least", "last_seen": "greatest"})
 
 
 @query("q42b_newer_wins", f"""
@@ -222,11 +223,3 @@ def client_inventory_merge(spark: SparkSession, d: str) -> DataFrame:
     fold = lambda x: x.groupBy(*keys).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.max_by(F.coalesce("ssid", F.lit("-")), F.struct("last_seen", "dedupe_key", "row_sequence")).alias("ssid"))
     m = merge_rows(fold(rows.where("row_sequence % 2 = 0")), fold(rows.where("row_sequence % 2 = 1")), keys, {"first_seen": "least", "last_seen": "greatest", "ssid": "overwrite"})
     return m.select("sensor_id", F.unix_micros("snapshot_at").alias("snapshot_us"), "client_mac", F.unix_micros("first_seen").alias("first_us"), F.unix_micros("last_seen").alias("last_us"), "ssid")
-
-
-@query("q43f_hydration_update", """
-SELECT b.delivery_id, e.payload IS NULL OR e.sha = b.payload_sha256 AS applies FROM broker_records b JOIN (SELECT stream_name, dedupe_key, min(payload) AS payload, min(payload_sha256) AS sha FROM sync_events GROUP BY 1, 2) e ON e.stream_name = b.stream_name AND e.dedupe_key = b.dedupe_key""")
-def hydration_update(spark: SparkSession, d: str) -> DataFrame:
-    """Whether a delivery may set a message's payload: none is stored, or the same one."""
-    e = table(spark, d, "sync_events").groupBy("stream_name", "dedupe_key").agg(F.min("payload").alias("payload"), F.min("payload_sha256").alias("sha"))
-    return table(spark, d, "broker_records").join(e, ["stream_name", "dedupe_key"]).select("delivery_id", (F.col("payload").isNull() | (F.col("sha") == F.col("payload_sha256"))).alias("applies"))
