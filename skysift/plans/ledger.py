@@ -125,9 +125,9 @@ def decoded_results(results: DataFrame) -> DataFrame:
     return r.select(*results.columns, s("job_id").alias("job_id"), s("batch_id").alias("batch_id"), s("status").alias("outcome"), "error_class", wrong.alias("error"))
 
 
-def _results(spark: SparkSession, d: str) -> DataFrame:
+def made_results(events: DataFrame) -> DataFrame:
     """Results made of the ledger: two digits of the digest say how a batch ended and why."""
-    e = table(spark, d, "sync_events").select("stream_name", "dedupe_key", "status", "attempt_count", F.substring("payload_sha256", 1, 1).alias("x"), F.substring("payload_sha256", 2, 1).alias("y")).distinct()
+    e = events.select("stream_name", "dedupe_key", "status", "attempt_count", F.substring("payload_sha256", 1, 1).alias("x"), F.substring("payload_sha256", 2, 1).alias("y")).distinct()
     kind = F.when(F.col("y") < "8", "retryable").otherwise("permanent")
     body = F.struct(F.col("stream_name").alias("job_id"), F.col("dedupe_key").alias("batch_id"), F.when(F.col("x") < "8", "success").otherwise("failed").alias("status"), kind.alias("error_class"), F.when(F.col("x") != "3", kind == "retryable").otherwise(kind != "retryable").alias("retryable"))
     return e.withColumn("value", F.to_json(body))
@@ -138,7 +138,12 @@ SELECT stream_name AS job_id, dedupe_key AS batch_id, status, attempt_count, CAS
 FROM (SELECT DISTINCT stream_name, dedupe_key, status, attempt_count, substr(payload_sha256, 1, 1) AS x, substr(payload_sha256, 2, 1) AS y FROM sync_events)""")
 def result_transition(spark: SparkSession, d: str) -> DataFrame:
     """The next state of each batch after its result; refused results change nothing."""
-    r = decoded_results(_results(spark, d))
+    return moved(made_results(table(spark, d, "sync_events")))
+
+
+def moved(results: DataFrame) -> DataFrame:
+    """Batches ``(status, attempt_count, value)`` after their results."""
+    r = decoded_results(results)
     state = F.when(F.col("status") == "done", "completed").otherwise(F.col("status"))
     after = F.when(F.col("error").isNull(), transition(state, F.col("outcome"), F.col("error_class"), F.col("attempt_count"), 3))
     return r.select("job_id", "batch_id", "status", "attempt_count", "error", after.alias("next_status"))

@@ -43,6 +43,19 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, asked of its file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def room(spark: SparkSession, label: str) -> str:
+    """A folder in the shared place for what a stream leaves; deleted at the end like written steps."""
+    path = f"{scratch_root(spark).rstrip('/')}/skysift-{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -6,9 +6,11 @@ import posixpath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skysift.functions.ids import sha256
 from skysift.functions.jsonx import instant, present_text
+from skysift.session import exists
 
 # Length limits of a scan request.
 LIMITS = {"stream_name": 255, "dedupe_key": 255}
@@ -16,7 +18,7 @@ PAYLOAD_REF_BYTES = 16_777_215
 
 
 def decode_requests(records: DataFrame, streams: tuple[str, ...]) -> DataFrame:
-    """Scan requests of ``records(topic, partition, offset, value)`` with an ``error`` column.
+    """Scan requests of ``records(topic, partition, offset, key, value)`` with an ``error`` column.
 
     A request needs four text members within their limits, an instant with an offset, a stream
     that is configured, and, for audit messages, a key equal to the payload digest in its
@@ -42,7 +44,7 @@ def dead_letters(decoded: DataFrame, group: str) -> DataFrame:
     """Envelopes of bad records; the key is the message key or partition:offset."""
     bad = decoded.where("error is not null")
     body = F.to_json(F.struct(F.lit(group).alias("consumer_group"), "error", F.lit("permanent").alias("error_class"), "offset", F.col("value").alias("original"), "partition", "topic"))
-    return bad.select(F.concat_ws(":", "partition", "offset").alias("key"), body.alias("value"))
+    return bad.select(F.coalesce(F.nullif("key", F.lit("")), F.concat_ws(":", "partition", "offset")).alias("key"), body.alias("value"))
 
 
 def inline_payload(ref: Column) -> Column:
@@ -70,12 +72,9 @@ def append_new(batch: DataFrame, epoch: int, ledger: str, keys: list[str], order
     """
     spark = batch.sparkSession
     first = batch.groupBy(*keys).agg(F.min_by(F.struct(*batch.columns), F.struct(*order)).alias("row")).select("row.*")
-    try:
-        seen = spark.read.parquet(ledger).where(F.col("epoch") != epoch).select(*keys)
+    if exists(spark, ledger):
+        seen = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("epoch", T.LongType())])).parquet(ledger).where(F.col("epoch") != epoch).select(*keys)
         first = first.join(seen, keys, "left_anti")
-    except Exception as e:  # the first epoch: there is no ledger
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
     if tombstones is not None:
         first = first.join(tombstones.select(*keys), keys, "left_anti")
     first.write.mode("overwrite").parquet(f"{ledger}/epoch={epoch}")
