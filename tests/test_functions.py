@@ -20,7 +20,7 @@ from skysift.plans.frames import behavior, sessions, timing, transitions
 from skysift.plans.identity import identity_clusters
 from skysift.plans.payloads import transform, wide
 from skysift.streaming.control import Backpressure, StreamConfig, error_class, retry_delay_ms
-from skysift.streaming.ingest import decode_requests, inline_payload, outbox_path
+from skysift.streaming.ingest import dead_letters, decode_requests, inline_payload, outbox_path
 
 
 def one(spark, column, **values):
@@ -195,6 +195,7 @@ def test_control():
     delays = {retry_delay_ms(a, "k") for a in range(20)}
     assert all(800 <= x <= 9600 for x in delays) and retry_delay_ms(3, "k") == retry_delay_ms(3, "k")
     assert error_class("40001", "") == "retryable" and error_class(None, "Deadlock found") == "retryable" and error_class("42000", "syntax") == "permanent"
+    assert error_class("hyt00") == error_class(code=-9007) == error_class(message="region unavailable") == "retryable" and error_class("HYT00X") == error_class(message="connection refused") == "permanent"
     assert StreamConfig((" a ", ""), group="x-v2").validate().streams == ("a",)
     with pytest.raises(ValueError, match="version"):
         StreamConfig(("a",), group="x-v0").validate()
@@ -203,7 +204,8 @@ def test_control():
 def test_requests_and_payloads(spark):
     ok = {"stream_name": "s", "dedupe_key": "k", "payload_ref": "r", "observed_at": "2026-06-01T12:00:00Z"}
     cases = [(ok, None), ({**ok, "observed_at": "2026-06-01"}, "observed_at is no instant"), ({**ok, "stream_name": "t"}, "stream is not configured"), ({**ok, "dedupe_key": ""}, "dedupe_key is missing"), ({**ok, "dedupe_key": "x" * 256}, "dedupe_key is too long")]
-    df = spark.createDataFrame([("t", 0, i, json.dumps(c)) for i, (c, _) in enumerate(cases)] + [("t", 0, 99, "{")], "topic string, partition int, offset long, value string")
+    df = spark.createDataFrame([("t", 0, i, None, json.dumps(c)) for i, (c, _) in enumerate(cases)] + [("t", 0, 99, "m", "{")], "topic string, partition int, offset long, key string, value string")
+    assert {r.key for r in dead_letters(decode_requests(df, ("s",)), "g-v1").collect()} == {"0:1", "0:2", "0:3", "0:4", "m"}
     got = {r.offset: r.error for r in decode_requests(df, ("s",)).collect()}
     assert got == {i: e for i, (_, e) in enumerate(cases)} | {99: "not JSON"}
     pay = lambda r: one(spark, inline_payload(F.lit(r)))
