@@ -17,8 +17,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, id, distance, rank): the k vectors nearest to each query by cosine distance.
 
     ``vectors`` and ``queries`` are (id long, vec array). Queries are cut into blocks of
-    bounded size; each block runs against all vectors with matrix products in place, keeps k
-    candidates a task, and the final ranking shuffles those only. A query is not its own
+    bounded size; each block runs against all vectors with matrix products in place, a task
+    keeps its k best candidates of each query and sends them at its end, and the final ranking
+    shuffles those only. A query is not its own
     neighbour. Ties go to the smaller id. Vectors of another size than the query's, empty or
     null ones and zero vectors have no neighbours.
     """
@@ -40,6 +41,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         sent = spark.sparkContext.broadcast(by_size)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            best = {size: (np.full((len(qid), k), np.inf), np.full((len(qid), k), np.iinfo(np.int64).max)) for size, (qid, _) in sent.value.items()}
             for batch in batches:
                 ids, vec = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
                 sizes = np.diff(np.asarray(vec.offsets))
@@ -52,16 +54,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                     m = flat[starts[pick][:, None] + np.arange(size)]
                     norm = np.linalg.norm(m, axis=1)
                     pick, m = pick[norm > 0], m[norm > 0] / norm[norm > 0, None]
-                    if not len(pick):
-                        continue
                     mine = ids[pick]
                     dist = 1 - np.clip(q @ m.T, -1, 1)
                     dist[qid[:, None] == mine[None, :]] = np.inf
-                    keep = min(k, len(mine))
-                    order = np.lexsort((np.broadcast_to(mine, dist.shape), dist), axis=1)[:, :keep]
-                    d = np.take_along_axis(dist, order, 1)
-                    ok = np.isfinite(d)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qid, keep)[ok.ravel()]), pa.array(mine[order].ravel()[ok.ravel()]), pa.array(d.ravel()[ok.ravel()])], ["query_id", "id", "distance"])
+                    dist = np.concatenate([best[size][0], dist], axis=1)
+                    number = np.concatenate([best[size][1], np.broadcast_to(mine, (len(qid), len(mine)))], axis=1)
+                    order = np.lexsort((number, dist), axis=1)[:, :k]
+                    best[size] = np.take_along_axis(dist, order, 1), np.take_along_axis(number, order, 1)
+            for size, (qid, _) in sent.value.items():
+                d, number = best[size]
+                ok = np.isfinite(d).ravel()
+                if ok.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qid, k)[ok]), pa.array(number.ravel()[ok]), pa.array(d.ravel()[ok])], ["query_id", "id", "distance"])
 
         part = vectors.select(F.col("id").cast("long"), F.col("vec").cast("array<double>")).where("id is not null and size(vec) > 0").mapInArrow(run, schema)
         result = part if result is None else result.unionByName(part)

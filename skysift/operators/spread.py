@@ -17,4 +17,4 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     splits is left where it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df._jdf.rdd().getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

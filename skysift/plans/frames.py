@@ -18,16 +18,21 @@ query = Registry()
 COLUMNS = ("dedupe_key", "location_id", "sensor_id", "observed_at", "frame_type", "frame_subtype", "signal_dbm", "retry", "protected", "bssid", "app_protocol", "adjacent_mac_hint", "tsft_delta_us", "wall_clock_delta_ms", "session_key")
 
 
-def frames(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+def frames(spark: SparkSession, d: str, *columns: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Each frame once, with its canonical source_mac and the start of its UTC hour.
 
     Copies of a frame are equal in all columns used here, so a plain distinct (hashed, combined
-    before the shuffle) keeps one of each.
+    before the shuffle) keeps one of each. With ``by`` the rows are partitioned by those columns
+    first: the distinct and an aggregation by them then need no other shuffle. That is for keys
+    of which none holds a large share, such as source and hour.
     """
     rows = table(spark, d, "projection_frames").select("dedupe_key", canonical_mac(F.col("source_mac")).alias("source_mac"), "observed_at", *(c for c in columns if c not in ("dedupe_key", "source_mac", "observed_at")))
-    return rows.distinct().withColumn("window_start", F.date_trunc("hour", F.col("observed_at").cast("timestamp")))
+    rows = rows.withColumn("window_start", F.date_trunc("hour", F.col("observed_at").cast("timestamp")))
+    return (rows.repartition(*by) if by else rows).distinct()
 
 
+BY_WINDOW = ("source_mac", "window_start")
+
 FRAMES_SQL = f"f AS (SELECT DISTINCT {canon_sql('source_mac')} AS source_mac, {', '.join(COLUMNS)} FROM projection_frames)"
 TOKEN_SQL = (
     "CASE " + " ".join(f"WHEN {{s}} = '{t}' THEN '{t}'" for t in MANAGEMENT) + " " + " ".join(f"WHEN {{s}} = '{a}' THEN '{t}'" for a, t in SPELLINGS.items()) + " WHEN lower(trim(frame_type)) = 'data' THEN 'data' ELSE 'other' END"
@@ -49,7 +54,7 @@ LAST_SQL = "arg_max({c}, (observed_at, dedupe_key)) FILTER (WHERE {c} IS NOT NUL
 
 @query("q01_window_source_count", f"WITH {FRAMES_SQL} SELECT source_mac, epoch_us({HOUR}) AS window_us, count(*) AS n FROM f GROUP BY ALL")
 def window_source_count(spark: SparkSession, d: str) -> DataFrame:
-    return frames(spark, d).groupBy("source_mac", "window_start").agg(F.count("*").alias("n")).select("source_mac", hour_us(), "n")
+    return frames(spark, d, by=BY_WINDOW).groupBy("source_mac", "window_start").agg(F.count("*").alias("n")).select("source_mac", hour_us(), "n")
 
 
 def behavior(rows: DataFrame) -> DataFrame:
@@ -88,7 +93,7 @@ SELECT {stable_sql('behavior', _KEY)} AS snapshot_id, {_KEY} AS snapshot_key, so
 
 @query("q02_behavior_snapshot", _BEHAVIOR)
 def behavior_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    return behavior(frames(spark, d, *COLUMNS))
+    return behavior(frames(spark, d, *COLUMNS, by=BY_WINDOW))
 
 
 @query("q02b_behavior_frame_mix", f"WITH {FRAMES_SQL} SELECT source_mac, epoch_us({HOUR}) AS window_us, {TOKEN_SQL} AS token, count(*) AS n FROM f GROUP BY ALL")
@@ -132,7 +137,7 @@ SELECT {_KEY} AS profile_key, sensor_id, location_id, tsft_p50, tsft_p95, tsft_j
 @query("q03_timing_profile", _TIMING)
 def timing_profile(spark: SparkSession, d: str) -> DataFrame:
     key = F.concat_ws(":", "source_mac", F.unix_seconds("window_start"))
-    return timing(frames(spark, d, "sensor_id", "location_id", "tsft_delta_us", "wall_clock_delta_ms")).select(
+    return timing(frames(spark, d, "sensor_id", "location_id", "tsft_delta_us", "wall_clock_delta_ms", by=BY_WINDOW)).select(
         key.alias("profile_key"), "sensor_id", "location_id", "tsft_p50", "tsft_p95", "tsft_jitter", "wall_p50", "wall_jitter", "source_event_count", stable_id("timing-run", key).alias("run_id")
     )
 

@@ -18,6 +18,10 @@ SPLIT = "timestamp_ntz'2021-01-15 00:00:00'"
 SPLIT_SQL = "TIMESTAMP '2021-01-15 00:00:00'"
 
 
+# Columns of which the last value given counts.
+ROLLED = ("risk_score", "category", "frequency_hz", "iat_ms", "tls_ver", "alpn", "ja3_lite", "resolved_ip", "asn_org")
+
+
 def rollup(blocked: DataFrame) -> DataFrame:
     """Blocked-host roll-up of ``blocked`` rows in the order (event_time, dedupe_key, row_sequence).
 
@@ -28,26 +32,24 @@ def rollup(blocked: DataFrame) -> DataFrame:
     order = F.struct("event_time", "dedupe_key", "row_sequence")
     last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c)
     first = blocked.groupBy("host").agg(
-        F.count("*").alias("attempts"), F.sum("blocked_bytes").alias("blocked_bytes"), F.sum("tarpit_held_ms").alias("tarpit_held_ms"), *(last(c) for c in ("category", "tls_ver", "alpn", "risk_score", "consecutive_blocks")),
+        F.count("*").alias("attempts"), F.sum("blocked_bytes").alias("blocked_bytes"), F.sum("tarpit_held_ms").alias("tarpit_held_ms"), *(last(c) for c in (*ROLLED, "consecutive_blocks")),
         F.max(F.when(F.col("consecutive_blocks").isNotNull(), order)).alias("given"), F.max_by(F.coalesce("last_verdict", "verdict"), order).alias("last_verdict"),
     )
     after = blocked.withColumn("at", order).select("host", "at").join(first.select("host", "given"), "host").where("at > given").groupBy("host").agg(F.count("*").alias("after"))
     return first.join(after, "host", "left").withColumn("consecutive_blocks", F.col("consecutive_blocks") + F.coalesce("after", F.lit(0))).drop("given", "after")
 
 
-_BLOCKED = f"""{records_sql('proxy.events')}, b AS (SELECT dedupe_key, i AS row_sequence, {_TEXT.format('host')} AS host, TRY_CAST(json_extract_string(payload, '$.time') AS TIMESTAMPTZ) AS event_time,
- coalesce({_LONG.format('blocked_bytes')}, {_LONG.format('metrics.blocked_bytes')}, {_LONG.format('metrics.total_blocked_bytes_approx')}, coalesce({_LONG.format('bytes_up')}, 0) + coalesce({_LONG.format('bytes_down')}, 0)) AS blocked_bytes,
- coalesce({_LONG.format('consecutive_blocks')}, {_LONG.format('metrics.consecutive_blocks')}, {_LONG.format('attempt_count')}, {_LONG.format('metrics.attempt_count')}) AS cb, {_TEXT.format('fingerprint.tls_ver')} AS tls_ver
- FROM r WHERE json_extract_string(payload, '$.blocked') IN ('true', '1') AND json_type(payload, '$.blocked') <> 'VARCHAR')"""
+_BLOCKED = f"b AS (SELECT * FROM ({sink_sql('blocked_events', records_sql('proxy.events'))}) WHERE error IS NULL)"
 
 
 @query("q23_rollup_fold", f"""
-WITH {_BLOCKED}, k AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY event_time, dedupe_key, row_sequence) AS k FROM b WHERE host IS NOT NULL AND event_time IS NOT NULL)
-SELECT host, count(*) AS attempts, CAST(sum(blocked_bytes) AS BIGINT) AS blocked_bytes, CAST(arg_max(cb, k) FILTER (WHERE cb IS NOT NULL) + max(k) - max(k) FILTER (WHERE cb IS NOT NULL) AS DOUBLE) AS consecutive_blocks,
- arg_max(tls_ver, k) FILTER (WHERE tls_ver IS NOT NULL) AS tls_ver FROM k GROUP BY host""")
+WITH {_BLOCKED}, k AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY event_time, dedupe_key, row_sequence) AS k FROM b)
+SELECT host, count(*) AS attempts, CAST(sum(blocked_bytes) AS BIGINT) AS blocked_bytes, CAST(sum(tarpit_held_ms) AS BIGINT) AS tarpit_held_ms, CAST(arg_max(consecutive_blocks, k) FILTER (WHERE consecutive_blocks IS NOT NULL) + max(k) - max(k) FILTER (WHERE consecutive_blocks IS NOT NULL) AS DOUBLE) AS consecutive_blocks,
+ arg_max(coalesce(last_verdict, verdict), k) AS last_verdict, {', '.join(f"{f'CAST(arg_max({c}, k) FILTER (WHERE {c} IS NOT NULL) AS DOUBLE)' if c in ('risk_score', 'frequency_hz', 'iat_ms') else f'arg_max({c}, k) FILTER (WHERE {c} IS NOT NULL)'} AS {c}" for c in ROLLED)} FROM k GROUP BY host""")
 def rollup_fold(spark: SparkSession, d: str) -> DataFrame:
     b = transform(messages(spark, d, "proxy.events"), "blocked_events").where("error is null")
-    return rollup(b).select("host", "attempts", "blocked_bytes", F.col("consecutive_blocks").cast("double").alias("consecutive_blocks"), "tls_ver")
+    numbers = ("consecutive_blocks", "risk_score", "frequency_hz", "iat_ms")
+    return rollup(b).select("host", "attempts", "blocked_bytes", "tarpit_held_ms", "last_verdict", *(F.col(c).cast("double").alias(c) if c in numbers else F.col(c) for c in ("consecutive_blocks", *ROLLED)))
 
 
 def daily_alerts(rows: DataFrame) -> DataFrame:
@@ -84,21 +86,28 @@ def inventory_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 
 def client_batch(rows: DataFrame) -> DataFrame:
-    return rows.where("bssid is not null").groupBy("bssid", "source_mac").agg(F.max("location_id").alias("location_id"), F.min("observed_at").alias("first_seen"), F.max("observed_at").alias("last_seen"), F.count("*").alias("probe_count"), F.lit("b1").alias("last_batch"))
+    """Clients of named networks, the name being that of the access point's authorised network."""
+    named = rows.where("ssid is not null")
+    return named.groupBy("ssid", F.col("source_mac").alias("client_mac")).agg(F.max("bssid").alias("known_bssid"), F.max("location_id").alias("location_id"), F.min("observed_at").alias("first_seen"), F.max("observed_at").alias("last_seen"), F.count("*").alias("probe_count"), F.lit("b1").alias("last_batch"))
+
+
+def _half(name: str, cond: str) -> str:
+    return f"{name} AS (SELECT n.ssid, source_mac AS client_mac, max(f.bssid) AS b, max(f.location_id) AS l, min(observed_at) AS f, max(observed_at) AS s, count(*) AS n FROM f JOIN nn n ON n.bssid = f.bssid WHERE n.ssid IS NOT NULL AND observed_at {cond} {SPLIT_SQL} GROUP BY 1, 2)"
 
 
 @query("q27_probe_merge", f"""
-WITH {FRAMES_SQL}, o AS (SELECT bssid, source_mac, max(location_id) AS l, min(observed_at) AS f, max(observed_at) AS s, count(*) AS n FROM f WHERE bssid IS NOT NULL AND observed_at < {SPLIT_SQL} GROUP BY 1, 2),
-n AS (SELECT bssid, source_mac, max(location_id) AS l, min(observed_at) AS f, max(observed_at) AS s, count(*) AS n FROM f WHERE bssid IS NOT NULL AND observed_at >= {SPLIT_SQL} GROUP BY 1, 2)
-SELECT coalesce(o.bssid, n.bssid) AS bssid, coalesce(o.source_mac, n.source_mac) AS source_mac, coalesce(n.l, o.l) AS location_id, epoch_us(least(o.f, n.f)) AS first_us, epoch_us(greatest(o.s, n.s)) AS last_us, coalesce(o.n, 0) + coalesce(n.n, 0) AS probe_count
-FROM o FULL JOIN n ON o.bssid = n.bssid AND o.source_mac = n.source_mac""")
+WITH {FRAMES_SQL}, nn AS (SELECT bssid, max(ssid) AS ssid FROM wireless_authorized_networks WHERE bssid IS NOT NULL GROUP BY 1), {_half('o', '<')}, {_half('n', '>=')}
+SELECT coalesce(o.ssid, n.ssid) AS ssid, coalesce(o.client_mac, n.client_mac) AS client_mac, coalesce(n.b, o.b) AS known_bssid, coalesce(n.l, o.l) AS location_id, epoch_us(least(o.f, n.f)) AS first_us, epoch_us(greatest(o.s, n.s)) AS last_us, coalesce(o.n, 0) + coalesce(n.n, 0) AS probe_count
+FROM o FULL JOIN n ON o.ssid = n.ssid AND o.client_mac = n.client_mac""")
 def probe_merge(spark: SparkSession, d: str) -> DataFrame:
     """Two batches, the second delivered twice: counts are added once, as its mark is the same."""
-    rows = frames(spark, d, "location_id", "bssid")
+    names = table(spark, d, "wireless_authorized_networks").where("bssid is not null").groupBy("bssid").agg(F.max("ssid").alias("ssid"))
+    rows = frames(spark, d, "location_id", "bssid").where("bssid is not null").join(names, "bssid")
     old, new = client_batch(rows.where(f"observed_at < {SPLIT}")), client_batch(rows.where(f"observed_at >= {SPLIT}")).withColumn("last_batch", F.lit("b2"))
-    rules = {"location_id": "coalesce_new", "first_seen": "least", "last_seen": "greatest", "probe_count": add_unless("last_batch")}
-    m = merge_rows(merge_rows(old, new, ["bssid", "source_mac"], rules), new, ["bssid", "source_mac"], rules)
-    return m.select("bssid", "source_mac", "location_id", epoch_us(F.col("first_seen")).alias("first_us"), epoch_us(F.col("last_seen")).alias("last_us"), "probe_count")
+    rules = {"known_bssid": "coalesce_new", "location_id": "coalesce_new", "first_seen": "least", "last_seen": "greatest", "probe_count": add_unless("last_batch")}
+    keys = ["ssid", "client_mac"]
+    m = merge_rows(merge_rows(old, new, keys, rules), new, keys, rules)
+    return m.select(*keys, "known_bssid", "location_id", epoch_us(F.col("first_seen")).alias("first_us"), epoch_us(F.col("last_seen")).alias("last_us"), "probe_count")
 
 
 @query("q42_monotone_merge", """

@@ -122,3 +122,16 @@ def test_processors_name_queries():
     assert all(order.index(n) < order.index(p) for p, (needs, _) in PROCESSORS.items() for n in needs)
     with pytest.raises(ValueError, match="needs"):
         in_order({"sync-job-planner"})
+
+
+def test_settings():
+    from skysift.settings import settings
+
+    fine = settings({"ingest.stream-names": ["proxy.events", "a"], "ingest.load-stream-names": "a", "kafka.groups": ["g-v1"], "processors.enabled": ["sync-scan-ingestion", "sync-job-planner"]}, {"SKYSIFT_CRON_INGEST_BATCH_SIZE": "7"})
+    assert fine["cron.ingest-batch-size"] == 7 and fine["ingest.load-stream-names"] == ("a",) and fine["archive.hot-days"] == 7
+    for given, message in (
+        ({"nothing": 1}, "not known"), ({"kafka.locked-batch-size": 501}, "at least kafka.locked-batch-size"), ({"archive.hot-days": 0}, "at least 1"), ({"cron.scan-max-attempts": "x"}, "no number"), ({"processors.event-duplicate-distance": 2.1}, "between"),
+        ({"kafka.dlq-suffix": " "}, "blank"), ({"ingest.stream-names": ["a", "a"]}, "twice.*proxy.events"), ({"ingest.load-stream-names": ["a"]}, "among"), ({"kafka.groups": ["g-v0"]}, "version"), ({"processors.enabled": ["sync-job-planner"]}, "needs"), ({"processors.enabled": ["x"]}, "not known"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            settings(given, {})
