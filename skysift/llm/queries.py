@@ -121,7 +121,27 @@ e AS (SELECT DISTINCT a, b FROM (SELECT a, b FROM p UNION ALL SELECT b, a FROM p
 r(v, g) AS (SELECT DISTINCT a, a FROM e UNION SELECT e.b, r.g FROM r JOIN e ON r.v = e.a)
 SELECT v AS source_mac, min(g) AS group_mac FROM r GROUP BY v"""
 
+
+
+def _patterns_sql(columns: str) -> str:
+    """Patterns of 3 to 5 tokens, a level at a time: the first place at which each sequence can end each frequent prefix."""
+    keep = "count(DISTINCT e) AS support FROM {0} GROUP BY p HAVING count(DISTINCT e) >= 0.06 * (SELECT count(DISTINCT e) FROM s) - 1e-9"
+    parts = [
+        "s AS (SELECT row_number() OVER () AS sid, e, t FROM (SELECT DISTINCT session_key AS e, list_filter(tokens, lambda x: x <> '') AS t FROM frame_sequences WHERE session_key IS NOT NULL) WHERE len(t) > 0)",
+        "w AS (SELECT sid, e, unnest(t) AS tok, generate_subscripts(t, 1) AS pos FROM s)",
+        "l1 AS (SELECT sid, e, tok AS p, min(pos) AS pos FROM w GROUP BY ALL)",
+        f"f1 AS (SELECT p, {keep.format('l1')})",
+    ]
+    for k in range(2, 6):
+        parts.append(f"l{k} AS (SELECT l.sid, l.e, l.p || ' ' || w.tok AS p, min(w.pos) AS pos FROM l{k - 1} l JOIN f{k - 1} f ON f.p = l.p JOIN w ON w.sid = l.sid AND w.pos > l.pos GROUP BY ALL)")
+        parts.append(f"f{k} AS (SELECT p, {keep.format(f'l{k}')})")
+    found = " UNION ALL ".join(f"SELECT p AS pattern, {k} AS length, support, (SELECT count(DISTINCT e) FROM s) AS entities FROM f{k}" for k in (3, 4, 5))
+    return f"WITH {', '.join(parts)} SELECT {columns} FROM ({found})"
+
+
 ORACLES = {
+    "p2_found": _patterns_sql("pattern AS token_pattern"),
+    "p2_supports": _patterns_sql("*"),
     "p6_found": _PERCENTILES,
     "p7_found": _GROUPS,
 }
