@@ -229,38 +229,42 @@ CELLS = 1024
 def exact_ranks(values: DataFrame, wanted: DataFrame, max_rounds: int = 60) -> DataFrame:
     """The exact interpolated percentiles of ``wanted(source, metric, day, pct, n, least, most)``; null day: all days.
 
-    Each round counts the values inside each bracket by CELLS cells, in one aggregate that
-    combines before the shuffle, and goes on with the cell that holds the wanted rank, until
-    that has one value or the two ranks to interpolate fall into different cells.
+    Bounds that are equal are the percentile. Else each round counts the values inside each
+    bracket by CELLS cells, in one aggregate that combines before the shuffle, and goes on with
+    the cell that holds the wanted rank, until that has one value or the two ranks to
+    interpolate fall into different cells. A bracket that does not hold a rank is widened.
     """
     key = ["source", "metric", "day", "pct"]
     position = (F.col("n") - 1) * F.col("pct")
     first = F.floor(position / 100).cast("long")
-    open_ = wanted.select(*key, first.alias("first"), (first + (position % 100 > 0).cast("long")).alias("second"), ((position % 100) / 100).alias("rest"), F.col("least").alias("lo"), F.col("most").alias("hi"))
+    done = wanted.where("least = most").select(*key, F.col("least").alias("value"))
+    open_ = wanted.where("least < most").select(*key, first.alias("first"), (first + (position % 100 > 0).cast("long")).alias("second"), ((position % 100) / 100).alias("rest"), F.col("least").alias("lo"), F.col("most").alias("hi"))
     open_ = materialize(open_, "ranks")
-    whole, done = _long(values), None
+    # each value stands for its day and for all days; both are found by equality
+    both = _long(values).select("source", "metric", F.explode(F.array("day", F.lit(None).cast("string"))).alias("of"), "x")
     for _ in range(max_rounds):
         if not open_.limit(1).count():
-            break
-        at = open_.withColumnRenamed("day", "scope")
-        inside = whole.join(at, ["source", "metric"]).where("(scope is null or scope = day) and x <= hi")
+            return done
+        at = open_.withColumnsRenamed({"day": "scope", "source": "s", "metric": "m"})
+        inside = both.join(at, (F.col("source") == F.col("s")) & (F.col("metric") == F.col("m")) & F.col("of").eqNullSafe(F.col("scope")) & (F.col("x") <= F.col("hi")))
         share = F.when(F.col("hi") > F.col("lo"), (F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.0)
         cell = F.when(F.col("x") < F.col("lo"), -1).otherwise(F.least(F.floor(share * CELLS).cast("int"), F.lit(CELLS - 1)))
-        cells = inside.groupBy("source", "metric", "scope", "pct", "first", "second", "rest", cell.alias("cell")).agg(F.count("*").alias("c"), F.min("x").alias("min"), F.max("x").alias("max"))
+        cells = inside.groupBy("source", "metric", "scope", "pct", "first", "second", "rest", "lo", "hi", cell.alias("cell")).agg(F.count("*").alias("c"), F.min("x").alias("min"), F.max("x").alias("max"))
         along = Window.partitionBy("source", "metric", "scope", "pct").orderBy("cell")
         cells = cells.withColumn("end", F.sum("c").over(along)).withColumn("start", F.col("end") - F.col("c"))
         holds = lambda rank: (F.col("start") <= F.col(rank)) & (F.col(rank) < F.col("end"))
-        pick = cells.groupBy("source", "metric", F.col("scope").alias("day"), "pct", "first", "second", "rest").agg(
+        pick = cells.groupBy("source", "metric", F.col("scope").alias("day"), "pct", "first", "second", "rest", "lo", "hi").agg(
             *(F.max(F.when(holds(rank), F.col(c))).alias(f"{rank}_{c}") for rank in ("first", "second") for c in ("cell", "min", "max"))
         )
         pick = materialize(pick, "ranks")
         split = F.col("first_cell") != F.col("second_cell")
         a, b = F.when(split, F.col("first_max")).otherwise(F.col("first_min")), F.when(split, F.col("second_min")).otherwise(F.col("second_max"))
-        finished = split | (F.col("first_min") == F.col("first_max"))
-        found = pick.where(finished).select(*key, (a + F.col("rest") * (b - a)).alias("value"))
-        done = found if done is None else done.unionByName(found)
-        open_ = pick.where(~finished).select(*key, "first", "second", "rest", F.col("first_min").alias("lo"), F.col("first_max").alias("hi"))
-    return done if done is not None else open_.select(*key, F.col("lo").alias("value"))
+        finished = F.coalesce(split | (F.col("first_min") == F.col("first_max")), F.lit(False))
+        done = done.unionByName(pick.where(finished).select(*key, (a + F.col("rest") * (b - a)).alias("value")))
+        lost = F.col("second_cell").isNull()
+        low, high = F.when(lost, F.lit(-8e307)).otherwise(F.col("first_min")), F.when(lost, F.lit(8e307)).otherwise(F.col("second_max"))
+        open_ = pick.where(~finished).select(*key, "first", "second", "rest", low.alias("lo"), high.alias("hi"))
+    raise RuntimeError(f"not found after {max_rounds} rounds")
 
 
 def _far(value_least: Column, value_most: Column, whole_least: Column, whole_most: Column, factor: float) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skysift.functions.mac import canonical_mac
-from skysift.llm.digests import far_percentiles, frame_percentiles
+from skysift.llm.digests import exact_ranks, far_percentiles, frame_percentiles
 from skysift.llm.groups import connected_groups
 from skysift.llm.language import corrected_languages, document_languages, segment_languages
 from skysift.llm.leakage import leaked_items
@@ -38,6 +38,13 @@ def p6_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return frame_percentiles(table(spark, d, "projection_frames"))[1].withColumnsRenamed({"source": "sensor_id", "day": "obs_day"})
 
 
+def p6_exact(spark: SparkSession, d: str) -> DataFrame:
+    """The exact percentiles of every sensor, day and metric, searched within their certified bounds."""
+    values, p = frame_percentiles(table(spark, d, "projection_frames"))
+    exact = exact_ranks(values, p.select("source", "metric", "day", "pct", "n", "least", "most"))
+    return exact.select(F.col("source").alias("sensor_id"), F.col("day").alias("obs_day"), "metric", "pct", F.round("value", 6).alias("value"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     mac = lambda c: canonical_mac(F.col(c))
     left = table(spark, d, "similarity_pairs").select(mac("left_source_mac").alias("a"), mac("right_source_mac").alias("b"))
@@ -90,6 +97,7 @@ QUERIES = {
     "p2_supports": p2_supports,
     "p6_found": p6_found,
     "p6_percentiles": p6_percentiles,
+    "p6_exact": p6_exact,
     "p7_found": p7_found,
     "p8_packed": p8_packed,
     "p8_room": p8_room,
@@ -102,18 +110,23 @@ QUERIES = {
 
 _MAC = "CASE WHEN length(regexp_replace(lower({0}), '[^0-9a-f]', '', 'g')) = 12 THEN array_to_string(list_transform(range(6), lambda i: substr(regexp_replace(lower({0}), '[^0-9a-f]', '', 'g'), CAST(2*i+1 AS BIGINT), 2)), ':') ELSE lower(trim({0})) END"
 
-_PERCENTILES = """
+_VALUES = """
 WITH f AS (SELECT dedupe_key, any_value(sensor_id) AS s, any_value(observed_at) AS t, any_value(tsft_delta_us) AS a, any_value(wall_clock_delta_ms) AS b
            FROM projection_frames WHERE sensor_id IS NOT NULL GROUP BY 1),
 v AS (SELECT s, strftime(t, '%Y-%m-%d') AS d, 'tsft_delta_us' AS m, CAST(a AS DOUBLE) AS x FROM f WHERE a IS NOT NULL
       UNION ALL SELECT s, strftime(t, '%Y-%m-%d'), 'wall_clock_delta_ms', CAST(b AS DOUBLE) FROM f WHERE b IS NOT NULL),
 p AS (SELECT * FROM (VALUES (50, 0.5), (95, 0.95)) AS q(pct, q)),
 w AS (SELECT s, m, [quantile_cont(x, 0.5), quantile_cont(x, 0.95)] AS z FROM v GROUP BY 1, 2),
-y AS (SELECT s, d, m, count(*) AS n, [quantile_cont(x, 0.5), quantile_cont(x, 0.95)] AS z FROM v GROUP BY 1, 2, 3)
+y AS (SELECT s, d, m, count(*) AS n, [quantile_cont(x, 0.5), quantile_cont(x, 0.95)] AS z FROM v GROUP BY 1, 2, 3)"""
+
+_PERCENTILES = _VALUES + """
 SELECT y.s AS sensor_id, y.d AS obs_day, y.m AS metric, CAST(p.pct AS INTEGER) AS pct
 FROM y JOIN w ON y.s = w.s AND y.m = w.m, p
 WHERE n >= 60 AND (y.z[CASE pct WHEN 50 THEN 1 ELSE 2 END] > 2 * w.z[CASE pct WHEN 50 THEN 1 ELSE 2 END] OR y.z[CASE pct WHEN 50 THEN 1 ELSE 2 END] < w.z[CASE pct WHEN 50 THEN 1 ELSE 2 END] / 2)"""
 
+_EXACT = _VALUES + """
+SELECT s AS sensor_id, d AS obs_day, m AS metric, CAST(pct AS INTEGER) AS pct, round(z[CASE pct WHEN 50 THEN 1 ELSE 2 END], 6) AS value FROM y, p"""
+
 _GROUPS = f"""
 WITH RECURSIVE p AS (SELECT {_MAC.format('left_source_mac')} AS a, {_MAC.format('right_source_mac')} AS b FROM similarity_pairs
                      UNION ALL SELECT {_MAC.format('mac_a')}, {_MAC.format('mac_b')} FROM merge_candidates),
@@ -143,5 +156,6 @@ ORACLES = {
     "p2_found": _patterns_sql("pattern AS token_pattern"),
     "p2_supports": _patterns_sql("*"),
     "p6_found": _PERCENTILES,
+    "p6_exact": _EXACT,
     "p7_found": _GROUPS,
 }

@@ -152,5 +152,12 @@ def test_frame_percentiles(spark, monkeypatch, delta, cells):
     assert len(exact) == len(wanted)
     for r in exact:
         assert r.value == pytest.approx(np.quantile(by[r.source, r.day, r.metric] if r.day else whole[r.source, r.metric], r.pct / 100))
+    narrow = [(*w[:5], w[5] + 1.0, w[5] + 1.5) for w in wanted if w[2]]  # brackets beside the ranks
+    assert sorted((r.source, r.metric, r.day, r.pct, r.value) for r in exact if r.day) == sorted(
+        (r.source, r.metric, r.day, r.pct, r.value) for r in exact_ranks(values, spark.createDataFrame(narrow, "source string, metric string, day string, pct int, n long, least double, most double")).collect()
+    )
+    certain = percentiles.select("source", "metric", "day", "pct", "n", "least", "most")
+    for r in exact_ranks(values, certain).collect():
+        assert r.value == pytest.approx(np.quantile(by[r.source, r.day, r.metric], r.pct / 100))
     values, percentiles = frame_percentiles(df.where("false"))
     assert percentiles.count() == 0 and far_percentiles(values, percentiles, 60, 2.0).count() == 0
