@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skysift.operators.spread import width
+from skysift.operators.spread import spread, width
 from skysift.session import materialize
 
 #: 64-bit words of a fixed-width identifier: the number of what came before, bytes, a mark.
@@ -183,7 +183,7 @@ def mark_surplus(rows: DataFrame, *carried: str) -> DataFrame:
     empty = F.lit("")
     plain = rows.select(F.coalesce("stream_name", empty).alias("stream_name"), F.coalesce("dedupe_key", empty).alias("dedupe_key"), F.col("at_us").cast("long").alias("at_us"), F.coalesce(F.col("row_id").cast("long"), F.lit(0).cast("long")).alias("row_id"), *carried)
     marked = T.StructType([*plain.schema.fields, T.StructField("surplus", T.BooleanType())])
-    local = materialize(plain.mapInArrow(_local, T.StructType([*marked.fields, T.StructField("shard", T.LongType())])), "deliveries")
+    local = materialize(spread(plain, "row_id").mapInArrow(_local, T.StructType([*marked.fields, T.StructField("shard", T.LongType())])), "deliveries")
     open_ = local.where("not surplus").drop("surplus")
     tasks = max(width(rows), -(-open_.count() // PER_TASK))
     last = open_.repartition(tasks, "shard").sortWithinPartitions(F.col("at_us").asc_nulls_last(), "row_id").drop("shard").mapInArrow(_global, marked)

@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skysift.operators.spread import spread
+
 NODES = "stream_name string, dedupe_key string, node_path string, parent_path string, table_path string, ordinal long"
 VALUES = "stream_name string, dedupe_key string, node_path string, member string, value string"
 
@@ -353,7 +355,7 @@ def latest_readable(events: DataFrame) -> DataFrame:
     numbers keep their digits. Of copies of equal age the greatest text counts.
     """
     rows = events.select("stream_name", "dedupe_key", "updated_at", F.col("payload").alias("json"))
-    text = rows.where("json is not null").mapInArrow(_readable_batches, rows.schema)
+    text = spread(rows.where("json is not null"), "dedupe_key").mapInArrow(_readable_batches, rows.schema)
     return text.groupBy("stream_name", "dedupe_key").agg(F.max_by("json", F.struct("updated_at", "json")).alias("json"))
 
 

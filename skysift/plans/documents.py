@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skysift.functions.ids import consumer_contract, keyed_sha256, name_uuid, prefixed_name_uuid, sha256, source_version, stable_id
-from skysift.functions.mac import canonical_mac, epoch_us
 from skysift.functions.text import normalized, sanitized, tokens
 from skysift.plans.frames import stable_sql
 from skysift.plans.registry import Registry

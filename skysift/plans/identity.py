@@ -12,12 +12,10 @@ from pyspark.sql import functions as F
 from skysift.functions.frames import cosine_similarity
 from skysift.functions.ids import stable_id
 from skysift.functions.mac import canonical_mac, epoch_us
-from skysift.functions.scores import ap_risk, clamp, distance_similarity, dns_score, severity, weighted_risk
+from skysift.functions.scores import clamp, distance_similarity, weighted_risk
 from skysift.operators.components import components
 from skysift.operators.knn import nearest
-from skysift.operators.match import null_tolerant_anti
 from skysift.plans.frames import FRAMES_SQL, frames, stable_sql
-from skysift.plans.payloads import _LONG, _TEXT, messages, records_sql, transform
 from skysift.plans.problems import canon_sql
 from skysift.plans.registry import NOW, Registry
 from skysift.session import materialize

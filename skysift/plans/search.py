@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skysift.functions.ids import sha256
 from skysift.functions.mac import canonical_mac, epoch_us
 from skysift.plans.documents import prepared, token_rows
 from skysift.plans.frames import HOUR

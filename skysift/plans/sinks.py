@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skysift.functions.mac import canonical_mac, epoch_us
+from skysift.functions.mac import epoch_us
 from skysift.operators.merge import add_unless, insert_only, merge_rows, newer_wins
 from skysift.plans.frames import FRAMES_SQL, frames
-from skysift.plans.payloads import _LONG, _TEXT, messages, records_sql, sink_sql, transform
-from skysift.plans.problems import canon_sql
-from skysift.plans.registry import NOW, Registry
+from skysift.plans.payloads import _TEXT, messages, records_sql, sink_sql, transform
+from skysift.plans.registry import Registry
 from skysift.sources.tables import table
 
 query = Registry()
