@@ -191,7 +191,8 @@ def certified(values: DataFrame, estimates: DataFrame) -> DataFrame:
     shares of n. least and most bound the exact (interpolated) percentile, whole_least and
     whole_most that of all days: they are equal where the counts prove the ends of the bracket
     to be the wanted ranks, the bracket where they prove these to lie in it, else the least
-    and greatest value. Certificates hold whatever the distribution.
+    and greatest value. below and whole_below are how many values are less than those bounds.
+    Certificates hold whatever the distribution.
     """
     keys = ["source", "metric", "day"]
     x = F.col("x")
@@ -213,7 +214,7 @@ def certified(values: DataFrame, estimates: DataFrame) -> DataFrame:
         value = lo + rest * (hi - lo)
         return {
             "value": F.when(exact, value).otherwise(at), "rank_error": F.when(exact, 0.0).otherwise(F.greatest(F.lit(0.0), c("lt_at") - first - 1, first + 1 - c("le_at")) / n),
-            "least": F.when(exact, value).when(inside, lo).otherwise(F.col(f"{w}min")), "most": F.when(exact, value).when(inside, hi).otherwise(F.col(f"{w}max")),
+            "below": F.when(inside, c("lt_lo")).otherwise(0), "least": F.when(exact, value).when(inside, lo).otherwise(F.col(f"{w}min")), "most": F.when(exact, value).when(inside, hi).otherwise(F.col(f"{w}max")),
         }
 
     each = F.explode(F.array(*(
@@ -227,43 +228,40 @@ CELLS = 1024
 
 
 def exact_ranks(values: DataFrame, wanted: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """The exact interpolated percentiles of ``wanted(source, metric, day, pct, n, least, most)``; null day: all days.
+    """The exact interpolated percentiles of ``wanted(source, metric, day, pct, n, least, most, below)``; null day: all days.
 
-    Bounds that are equal are the percentile. Else each round counts the values inside each
-    bracket by CELLS cells, in one aggregate that combines before the shuffle, and goes on with
-    the cell that holds the wanted rank, until that has one value or the two ranks to
-    interpolate fall into different cells. A bracket that does not hold a rank is widened.
+    The percentiles lie within their certified bounds, ``below`` values are less than
+    ``least``; bounds that are equal are the percentile. Each round counts the values inside
+    each bracket by CELLS cells, in one aggregate that combines before the shuffle, and goes on
+    with the cell that holds the wanted rank, until that has one value or the two ranks to
+    interpolate fall into different cells.
     """
     key = ["source", "metric", "day", "pct"]
     position = (F.col("n") - 1) * F.col("pct")
     first = F.floor(position / 100).cast("long")
     done = wanted.where("least = most").select(*key, F.col("least").alias("value"))
-    open_ = wanted.where("least < most").select(*key, first.alias("first"), (first + (position % 100 > 0).cast("long")).alias("second"), ((position % 100) / 100).alias("rest"), F.col("least").alias("lo"), F.col("most").alias("hi"))
+    state = ["first", "second", "rest", "lo", "hi", "below"]
+    open_ = wanted.where("least < most").select(*key, first.alias("first"), (first + (position % 100 > 0).cast("long")).alias("second"), ((position % 100) / 100).alias("rest"), F.col("least").alias("lo"), F.col("most").alias("hi"), "below")
     open_ = materialize(open_, "ranks")
-    # each value stands for its day and for all days; both are found by equality
-    both = _long(values).select("source", "metric", F.explode(F.array("day", F.lit(None).cast("string"))).alias("of"), "x")
+    x = _long(values)
     for _ in range(max_rounds):
         if not open_.limit(1).count():
             return done
-        at = open_.withColumnsRenamed({"day": "scope", "source": "s", "metric": "m"})
-        inside = both.join(at, (F.col("source") == F.col("s")) & (F.col("metric") == F.col("m")) & F.col("of").eqNullSafe(F.col("scope")) & (F.col("x") <= F.col("hi")))
+        days = x.join(open_.where("day is not null"), ["source", "metric", "day"]).where("x between lo and hi").select(*key, *state, "x")
+        wholes = x.drop("day").join(open_.where("day is null"), ["source", "metric"]).where("x between lo and hi").select(*key, *state, "x")
         share = F.when(F.col("hi") > F.col("lo"), (F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.0)
-        cell = F.when(F.col("x") < F.col("lo"), -1).otherwise(F.least(F.floor(share * CELLS).cast("int"), F.lit(CELLS - 1)))
-        cells = inside.groupBy("source", "metric", "scope", "pct", "first", "second", "rest", "lo", "hi", cell.alias("cell")).agg(F.count("*").alias("c"), F.min("x").alias("min"), F.max("x").alias("max"))
-        along = Window.partitionBy("source", "metric", "scope", "pct").orderBy("cell")
-        cells = cells.withColumn("end", F.sum("c").over(along)).withColumn("start", F.col("end") - F.col("c"))
+        cell = F.least(F.floor(share * CELLS).cast("int"), F.lit(CELLS - 1)).alias("cell")
+        cells = days.unionByName(wholes).groupBy(*key, *state, cell).agg(F.count("*").alias("c"), F.min("x").alias("min"), F.max("x").alias("max"))
+        end = F.col("below") + F.sum("c").over(Window.partitionBy(*key).orderBy("cell"))
+        cells = cells.withColumn("end", end).withColumn("start", F.col("end") - F.col("c"))
         holds = lambda rank: (F.col("start") <= F.col(rank)) & (F.col(rank) < F.col("end"))
-        pick = cells.groupBy("source", "metric", F.col("scope").alias("day"), "pct", "first", "second", "rest", "lo", "hi").agg(
-            *(F.max(F.when(holds(rank), F.col(c))).alias(f"{rank}_{c}") for rank in ("first", "second") for c in ("cell", "min", "max"))
-        )
+        pick = cells.groupBy(*key, "first", "second", "rest").agg(*(F.max(F.when(holds(rank), F.col(c))).alias(f"{rank}_{c}") for rank in ("first", "second") for c in ("cell", "min", "max", "start")))
         pick = materialize(pick, "ranks")
         split = F.col("first_cell") != F.col("second_cell")
         a, b = F.when(split, F.col("first_max")).otherwise(F.col("first_min")), F.when(split, F.col("second_min")).otherwise(F.col("second_max"))
-        finished = F.coalesce(split | (F.col("first_min") == F.col("first_max")), F.lit(False))
+        finished = split | (F.col("first_min") == F.col("first_max"))
         done = done.unionByName(pick.where(finished).select(*key, (a + F.col("rest") * (b - a)).alias("value")))
-        lost = F.col("second_cell").isNull()
-        low, high = F.when(lost, F.lit(-8e307)).otherwise(F.col("first_min")), F.when(lost, F.lit(8e307)).otherwise(F.col("second_max"))
-        open_ = pick.where(~finished).select(*key, "first", "second", "rest", low.alias("lo"), high.alias("hi"))
+        open_ = pick.where(~finished).select(*key, "first", "second", "rest", F.col("first_min").alias("lo"), F.col("first_max").alias("hi"), F.col("first_start").alias("below"))
     raise RuntimeError(f"not found after {max_rounds} rounds")
 
 
@@ -282,8 +280,8 @@ def far_percentiles(values: DataFrame, percentiles: DataFrame, least_n: int, fac
     judged = percentiles.where(F.col("n") >= least_n).withColumn("far", _far(F.col("least"), F.col("most"), F.col("whole_least"), F.col("whole_most"), factor))
     judged = materialize(judged, "judged")
     unclear, cols = judged.where("far is null"), ["source", "day", "metric", "pct"]
-    days = unclear.select("source", "metric", "day", "pct", "n", "least", "most")
-    wholes = unclear.select("source", "metric", F.lit(None).cast("string").alias("day"), "pct", F.col("whole_n").alias("n"), F.col("whole_least").alias("least"), F.col("whole_most").alias("most")).distinct()
+    days = unclear.select("source", "metric", "day", "pct", "n", "least", "most", "below")
+    wholes = unclear.select("source", "metric", F.lit(None).cast("string").alias("day"), "pct", F.col("whole_n").alias("n"), F.col("whole_least").alias("least"), F.col("whole_most").alias("most"), F.col("whole_below").alias("below")).distinct()
     exact = exact_ranks(values, days.unionByName(wholes))
     whole = exact.where("day is null").select("source", "metric", "pct", F.col("value").alias("whole"))
     value = F.col("value")

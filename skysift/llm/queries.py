@@ -41,7 +41,7 @@ def p6_percentiles(spark: SparkSession, d: str) -> DataFrame:
 def p6_exact(spark: SparkSession, d: str) -> DataFrame:
     """The exact percentiles of every sensor, day and metric, searched within their certified bounds."""
     values, p = frame_percentiles(table(spark, d, "projection_frames"))
-    exact = exact_ranks(values, p.select("source", "metric", "day", "pct", "n", "least", "most"))
+    exact = exact_ranks(values, p.select("source", "metric", "day", "pct", "n", "least", "most", "below"))
     return exact.select(F.col("source").alias("sensor_id"), F.col("day").alias("obs_day"), "metric", "pct", F.round("value", 6).alias("value"))
 
 

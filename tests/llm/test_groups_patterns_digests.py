@@ -147,16 +147,12 @@ def test_frame_percentiles(spark, monkeypatch, delta, cells):
         unclear += (r.least <= 1.5 * r.whole_most and r.most > 1.5 * r.whole_least) or (r.most >= r.whole_least / 1.5 and r.least < r.whole_most / 1.5)
     assert {tuple(r) for r in far_percentiles(values, percentiles, 60, 1.5).collect()} == far and far
     assert (unclear > 0) == (delta == 24)
-    wanted = [(s, m, d, p, len(x), float(min(x)), float(max(x))) for (s, d, m), x in [*by.items(), *(((s, None, m), x) for (s, m), x in whole.items())] for p in (50, 95)]
-    exact = exact_ranks(values, spark.createDataFrame(wanted, "source string, metric string, day string, pct int, n long, least double, most double")).collect()
+    wanted = [(s, m, d, p, len(x), float(min(x)), float(max(x)), 0) for (s, d, m), x in [*by.items(), *(((s, None, m), x) for (s, m), x in whole.items())] for p in (50, 95)]
+    exact = exact_ranks(values, spark.createDataFrame(wanted, "source string, metric string, day string, pct int, n long, least double, most double, below long")).collect()
     assert len(exact) == len(wanted)
     for r in exact:
         assert r.value == pytest.approx(np.quantile(by[r.source, r.day, r.metric] if r.day else whole[r.source, r.metric], r.pct / 100))
-    narrow = [(*w[:5], w[5] + 1.0, w[5] + 1.5) for w in wanted if w[2]]  # brackets beside the ranks
-    assert sorted((r.source, r.metric, r.day, r.pct, r.value) for r in exact if r.day) == sorted(
-        (r.source, r.metric, r.day, r.pct, r.value) for r in exact_ranks(values, spark.createDataFrame(narrow, "source string, metric string, day string, pct int, n long, least double, most double")).collect()
-    )
-    certain = percentiles.select("source", "metric", "day", "pct", "n", "least", "most")
+    certain = percentiles.select("source", "metric", "day", "pct", "n", "least", "most", "below")
     for r in exact_ranks(values, certain).collect():
         assert r.value == pytest.approx(np.quantile(by[r.source, r.day, r.metric], r.pct / 100))
     values, percentiles = frame_percentiles(df.where("false"))
