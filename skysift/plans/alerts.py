@@ -61,9 +61,10 @@ MADE = {
 }
 
 
-def made_messages(spark: SparkSession, d: str, kind: str) -> DataFrame:
+def made_messages(spark: SparkSession, d: str, kind: str, seen: DataFrame | None = None) -> DataFrame:
+    """Messages of one kind, from all sightings or those given."""
     body = F.to_json(F.struct(*(v.alias(k) for k, v in _members(kind).items())))
-    return sightings(spark, d).select(F.lit(MADE[kind]).alias("stream_name"), F.concat_ws(":", "sensor_id", "location_id", "bssid", "day").alias("dedupe_key"), body.alias("payload"))
+    return (sightings(spark, d) if seen is None else seen).select(F.lit(MADE[kind]).alias("stream_name"), F.concat_ws(":", "sensor_id", "location_id", "bssid", "day").alias("dedupe_key"), body.alias("payload"))
 
 
 def _noted(day: str, clock: str) -> str:

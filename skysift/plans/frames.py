@@ -18,6 +18,12 @@ query = Registry()
 COLUMNS = ("dedupe_key", "location_id", "sensor_id", "observed_at", "frame_type", "frame_subtype", "signal_dbm", "retry", "protected", "bssid", "app_protocol", "adjacent_mac_hint", "tsft_delta_us", "wall_clock_delta_ms", "session_key")
 
 
+def deliveries(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Frames as delivered, copies included, for least, greatest and distinct values, which copies do not change."""
+    rows = table(spark, d, "projection_frames").select("dedupe_key", canonical_mac(F.col("source_mac")).alias("source_mac"), "observed_at", *(c for c in columns if c not in ("dedupe_key", "source_mac", "observed_at")))
+    return rows.withColumn("window_start", F.date_trunc("hour", F.col("observed_at").cast("timestamp")))
+
+
 def frames(spark: SparkSession, d: str, *columns: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Each frame once, with its canonical source_mac and the start of its UTC hour.
 
@@ -26,8 +32,7 @@ def frames(spark: SparkSession, d: str, *columns: str, by: tuple[str, ...] = ())
     first: the distinct and an aggregation by them then need no other shuffle. That is for keys
     of which none holds a large share, such as source and hour.
     """
-    rows = table(spark, d, "projection_frames").select("dedupe_key", canonical_mac(F.col("source_mac")).alias("source_mac"), "observed_at", *(c for c in columns if c not in ("dedupe_key", "source_mac", "observed_at")))
-    rows = rows.withColumn("window_start", F.date_trunc("hour", F.col("observed_at").cast("timestamp")))
+    rows = deliveries(spark, d, *columns)
     return (rows.repartition(*by) if by else rows).distinct()
 
 

@@ -15,7 +15,7 @@ from skysift.functions.mac import canonical_mac, epoch_us
 from skysift.functions.scores import clamp, distance_similarity, weighted_risk
 from skysift.operators.components import components
 from skysift.operators.knn import nearest
-from skysift.plans.frames import FRAMES_SQL, frames, stable_sql
+from skysift.plans.frames import FRAMES_SQL, deliveries, frames, stable_sql
 from skysift.plans.problems import canon_sql
 from skysift.plans.registry import NOW, Registry
 from skysift.session import materialize
@@ -138,7 +138,7 @@ def known_clusters(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     Members are devices, that is addresses seen in frames; clusters without any are left out.
     """
     members, sums = identity_clusters(approved_edges(spark, d))
-    devices = frames(spark, d).groupBy(F.col("source_mac").alias("node")).agg(F.min("observed_at").alias("first"), F.max("observed_at").alias("last"))
+    devices = deliveries(spark, d).groupBy(F.col("source_mac").alias("node")).agg(F.min("observed_at").alias("first"), F.max("observed_at").alias("last"))
     known = materialize(members.join(devices, "node").select("root", F.col("node").alias("mac"), "first", "last"), "members")
     seen = known.groupBy("root").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     whole = sums.join(cluster_ids(members), "root").join(seen, "root").withColumn("cluster_name", F.concat(F.lit("identity-"), F.left("cluster_id", F.lit(8))))
@@ -179,7 +179,7 @@ def inventory_devices(spark: SparkSession, d: str) -> DataFrame:
 WITH RECURSIVE {_EDGES}, {FRAMES_SQL} SELECT m.root, epoch_us(min(observed_at)) AS first_us, epoch_us(max(observed_at)) AS last_us, count(DISTINCT m.node) AS known_members FROM m JOIN f ON f.source_mac = m.node GROUP BY 1""")
 def cluster_seen(spark: SparkSession, d: str) -> DataFrame:
     """When members known as devices were first and last seen; clusters without any are left out."""
-    devices = frames(spark, d).groupBy("source_mac").agg(F.min("observed_at").alias("first"), F.max("observed_at").alias("last"))
+    devices = deliveries(spark, d).groupBy("source_mac").agg(F.min("observed_at").alias("first"), F.max("observed_at").alias("last"))
     members = components(approved_edges(spark, d).select("a", "b"))
     g = members.join(devices.withColumnRenamed("source_mac", "node"), "node").groupBy("root")
     return g.agg(epoch_us(F.min("first")).alias("first_us"), epoch_us(F.max("last")).alias("last_us"), F.count("*").alias("known_members"))
@@ -191,7 +191,7 @@ UNION ALL SELECT 'ap:' || f.bssid, 'access_point', max(n.ssid), max(f.location_i
 UNION ALL SELECT 'identity:' || cluster_id, 'identity_cluster', cluster_name, NULL, NULL, epoch_us(last) FROM kc""")
 def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
     """Devices, access points (with the name of their authorised network, if any) and active identity clusters."""
-    f = frames(spark, d, "sensor_id", "location_id", "bssid")
+    f = deliveries(spark, d, "sensor_id", "location_id", "bssid")
     none = lambda c: F.lit(None).cast("string").alias(c)
     seen = epoch_us(F.max("observed_at")).cast("double").alias("observed_us")
     device = f.groupBy("source_mac").agg(seen).select(F.concat(F.lit("device:"), "source_mac").alias("node_id"), F.lit("device").alias("kind"), none("label"), none("location_id"), none("sensor_id"), "observed_us")

@@ -10,12 +10,13 @@ from skysift.functions.mac import epoch_us
 from skysift.functions.scores import ap_risk, dns_score, severity
 from skysift.operators.match import null_tolerant_anti
 from skysift.operators.merge import merge_rows, newer_wins
-from skysift.plans.alerts import SIGHTINGS_SQL, made_messages
-from skysift.plans.frames import FRAMES_SQL, frames, stable_sql
+from skysift.plans.alerts import SIGHTINGS_SQL, made_messages, sightings
+from skysift.plans.frames import FRAMES_SQL, deliveries, frames, stable_sql
 from skysift.plans.identity import _PAIRS, stored_pairs
 from skysift.plans.payloads import messages, records_sql, sink_sql, transform
 from skysift.plans.registry import NOW, Registry
 from skysift.plans.sinks import alert_rows
+from skysift.session import materialize
 from skysift.sources.tables import table
 
 query = Registry()
@@ -139,11 +140,11 @@ def entity_risk(spark: SparkSession, d: str) -> DataFrame:
     side being the access point its device was seen at.
     """
     since = f"timestamp_ntz'{RISK_NOW}' - INTERVAL {RISK_HOURS} HOURS"
-    f = frames(spark, d, "bssid").where("bssid is not null")
+    f, seen = deliveries(spark, d, "bssid").where("bssid is not null"), materialize(sightings(spark, d), "sightings")
     aps = f.groupBy("bssid").agg(F.max("observed_at").alias("last")).orderBy(F.desc("last"), "bssid").limit(RECENT_APS).select("bssid")
     rows = None
     for kind in ("deauth_flood", "signal_anomaly", "rogue_ap"):
-        a = alert_rows(transform(made_messages(spark, d, kind), kind), kind).select("alert_type", F.coalesce("primary_mac", "secondary_mac").alias("bssid"), F.col("detected_at").cast("timestamp_ntz").alias("at"))
+        a = alert_rows(transform(made_messages(spark, d, kind, seen), kind), kind).select("alert_type", F.coalesce("primary_mac", "secondary_mac").alias("bssid"), F.col("detected_at").cast("timestamp_ntz").alias("at"))
         rows = a if rows is None else rows.unionByName(a)
     either = lambda *kinds: F.max(F.col("alert_type").isin(*kinds).cast("int"))
     scores = rows.where(f"at >= {since}").join(F.broadcast(aps), "bssid", "left_semi").groupBy("bssid").agg(either("deauth_flood", "rogue_cluster").alias("de"), either("signal_anomaly", "rogue_cluster").alias("si"), either("rogue_cluster").alias("ty"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skysift.functions.mac import epoch_us
 from skysift.operators.merge import add_unless, insert_only, merge_rows, newer_wins
-from skysift.plans.frames import FRAMES_SQL, frames
+from skysift.plans.frames import FRAMES_SQL, deliveries, frames
 from skysift.plans.payloads import _TEXT, messages, records_sql, sink_sql, transform
 from skysift.plans.registry import Registry
 from skysift.sources.tables import table
@@ -63,7 +63,7 @@ def daily_alerts(rows: DataFrame) -> DataFrame:
 @query("q25_earliest_wins", f"WITH {FRAMES_SQL} SELECT sensor_id, arg_min(location_id, (observed_at, dedupe_key)) AS location_id, epoch_us(min(observed_at)) AS last_seen_us FROM f WHERE sensor_id IS NOT NULL AND location_id IS NOT NULL GROUP BY 1")
 def earliest_wins(spark: SparkSession, d: str) -> DataFrame:
     """The sensor table takes place and last_seen from a batch's earliest row, as its rule says."""
-    rows = frames(spark, d, "sensor_id", "location_id").where("sensor_id is not null and location_id is not null")
+    rows = deliveries(spark, d, "sensor_id", "location_id").where("sensor_id is not null and location_id is not null")
     return rows.groupBy("sensor_id").agg(F.min_by("location_id", F.struct("observed_at", "dedupe_key")).alias("location_id"), epoch_us(F.min("observed_at")).alias("last_seen_us"))
 
 
@@ -77,7 +77,7 @@ n AS (SELECT source_mac, max(location_id) AS l, max(nullif(app_protocol, '')) AS
 SELECT coalesce(o.source_mac, n.source_mac) AS mac_id, coalesce(n.l, o.l) AS location_id, coalesce(n.a, o.a) AS app_protocol, epoch_us(least(o.f, n.f)) AS first_us, epoch_us(greatest(o.s, n.s)) AS last_us,
  CASE WHEN o.source_mac IS NOT NULL AND n.source_mac IS NOT NULL THEN 2 ELSE 1 END AS entity_version FROM o FULL JOIN n ON o.source_mac = n.source_mac""")
 def inventory_upsert(spark: SparkSession, d: str) -> DataFrame:
-    rows = frames(spark, d, "location_id", "app_protocol")
+    rows = deliveries(spark, d, "location_id", "app_protocol")
     old, new = device_batch(rows.where(f"observed_at < {SPLIT}")), device_batch(rows.where(f"observed_at >= {SPLIT}"))
     rules = {"location_id": "coalesce_new", "app_protocol": "coalesce_new", "first_seen": "least", "last_seen": "greatest", "entity_version": "add"}
     m = merge_rows(old, new, ["source_mac"], rules)
