@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from skysift.functions.frames import band
 from skysift.operators.merge import insert_only, merge_rows
+from skysift.operators.spread import width
 from skysift.plans.frames import FRAMES_SQL, frames
 from skysift.plans.payloads import STREAMS, doubles_sql, messages, records_sql, shown, sink_sql, texts_of, transform
 from skysift.plans.registry import Registry
@@ -62,9 +63,10 @@ MADE = {
 
 
 def made_messages(spark: SparkSession, d: str, kind: str, seen: DataFrame | None = None) -> DataFrame:
-    """Messages of one kind, from all sightings or those given."""
+    """Messages of one kind, from all sightings or those given; spread, because JSON is heavy for its bytes."""
     body = F.to_json(F.struct(*(v.alias(k) for k, v in _members(kind).items())))
-    return (sightings(spark, d) if seen is None else seen).select(F.lit(MADE[kind]).alias("stream_name"), F.concat_ws(":", "sensor_id", "location_id", "bssid", "day").alias("dedupe_key"), body.alias("payload"))
+    rows = sightings(spark, d) if seen is None else seen
+    return rows.repartition(width(rows), "sensor_id", "bssid", "day").select(F.lit(MADE[kind]).alias("stream_name"), F.concat_ws(":", "sensor_id", "location_id", "bssid", "day").alias("dedupe_key"), body.alias("payload"))
 
 
 def _noted(day: str, clock: str) -> str:
