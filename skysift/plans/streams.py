@@ -135,7 +135,7 @@ def _consume(spark: SparkSession, d: str, name: str) -> DataFrame:
     networks = table(spark, d, "wireless_authorized_networks")
     wanted = F.when(F.col("status") == "merged", "lookups").otherwise("no such/topic")
     lookups = table(spark, d, "merge_candidates").select(F.lit("mac.lookup").alias("topic"), F.col("candidate_id").alias("key"), F.to_json(F.struct(F.upper("mac_a").alias("mac"), wanted.alias("reply_topic"))).alias("value"))
-    lone = spark.createDataFrame([("backlog.list", "list", "{}"), ("backlog.prune", "prune", "{}"), ("networks.request", "networks", '{"reply_topic": "_INBOX.atheros_sensor"}')], "topic string, key string, value string")
+    lone = spark.createDataFrame([("backlog.list", "list", "{}"), ("backlog.prune", "prune", "{}"), ("networks.request", "networks", '{"reply_topic": "_INBOX.sensor"}')], "topic string, key string, value string")
 
     def backlog(batch: DataFrame) -> dict[str, DataFrame]:
         after, replies, bad = apply_backlog(batch.sparkSession.createDataFrame([], BACKLOG), batch, NOW_US)
@@ -176,7 +176,7 @@ SELECT CASE WHEN status = 'merged' THEN 'lookups' ELSE 'lookup.replies' END AS t
 FROM merge_candidates JOIN dv ON dv.source_mac = lower(trim(mac_a)) WHERE regexp_full_match(lower(trim(mac_a)), '[0-9a-f]{{2}}(:[0-9a-f]{{2}}){{5}}')
 UNION ALL SELECT 'backlog.replies', 'prune', '{{"pruned":0,"retention_days":7}}'
 UNION ALL SELECT 'backlog.replies', 'list', '{{"entries":' || CAST(to_json(list(json_object('dedupe_key', dedupe_key, 'stream_name', stream_name, 'payload', payload, 'failure_stage', stage, 'attempt_count', 0) ORDER BY stream_name, dedupe_key)) AS VARCHAR) || '}}' FROM l
-UNION ALL SELECT '_INBOX.atheros_sensor', 'networks', CAST(to_json(list(json_object('ssid', ssid, 'bssid', lower(bssid), 'location_id', location_id, 'label', label, 'enabled', enabled) ORDER BY id)) AS VARCHAR) FROM wireless_authorized_networks WHERE enabled""")
+UNION ALL SELECT '_INBOX.sensor', 'networks', CAST(to_json(list(json_object('ssid', ssid, 'bssid', lower(bssid), 'location_id', location_id, 'label', label, 'enabled', enabled) ORDER BY id)) AS VARCHAR) FROM wireless_authorized_networks WHERE enabled""")
 def service_replies(spark: SparkSession, d: str) -> DataFrame:
     """Replies of all consumers: lookups, the list, the pruning and the networks, each in an allowed topic."""
     return _consume(spark, d, "replies").select("topic", "key", "value")

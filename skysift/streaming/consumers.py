@@ -18,7 +18,7 @@ from skysift.session import exists
 
 # Stages at which a message can have failed, and the reply topic every sensor may name.
 STAGES = ("pre_publish", "post_publish")
-SENSOR_INBOX = "_INBOX.atheros_sensor"
+SENSOR_INBOX = "_INBOX.sensor"
 
 Handler = Callable[[DataFrame], dict[str, DataFrame]]
 

@@ -26,13 +26,13 @@ def test_backlog(spark):
     rows = [
         ("backlog.save", "a", {"dedupe_key": "new", "stream_name": "s", "payload": {"x": 1}, "failure_stage": "post_publish"}), ("backlog.save", "b", {"dedupe_key": "kept", "stream_name": "s"}),
         ("backlog.save", "c", {"dedupe_key": "", "stream_name": "s"}), ("backlog.save", "d", "{"), ("backlog.save", "e", {"dedupe_key": "x", "stream_name": "s", "failure_stage": "elsewhere"}), ("backlog.save", "f", None),
-        ("backlog.synced", "g", {"dedupe_key": "later", "stream_name": "s"}), ("backlog.synced", "h", {"stream_name": "s"}), ("backlog.list", "i", {"reply_topic": "_INBOX.atheros_sensor"}), ("backlog.prune", "j", "{}"),
+        ("backlog.synced", "g", {"dedupe_key": "later", "stream_name": "s"}), ("backlog.synced", "h", {"stream_name": "s"}), ("backlog.list", "i", {"reply_topic": "_INBOX.sensor"}), ("backlog.prune", "j", "{}"),
     ]
     after, replies, bad = apply_backlog(stored, requests(spark, *rows), now)
     assert {r.dedupe_key: (r.status, r.stage, r.attempts) for r in after.collect()} == {"kept": ("synced", "pre_publish", 2), "later": ("synced", "post_publish", 3), "new": ("pending", "post_publish", 0)}
     got = {r.key: (r.topic, json.loads(r.value)) for r in replies.collect()}
     assert got["j"] == ("backlog.replies", {"pruned": 1, "retention_days": 7})
-    assert got["i"][0] == "_INBOX.atheros_sensor" and got["i"][1]["entries"] == [{"dedupe_key": "new", "stream_name": "s", "payload": '{"x":1}', "failure_stage": "post_publish", "attempt_count": 0}]
+    assert got["i"][0] == "_INBOX.sensor" and got["i"][1]["entries"] == [{"dedupe_key": "new", "stream_name": "s", "payload": '{"x":1}', "failure_stage": "post_publish", "attempt_count": 0}]
     assert sorted((r.key, json.loads(r.value)["error"]) for r in bad.collect()) == [("c", "blank dedupe_key"), ("d", "not JSON"), ("e", "invalid failure_stage"), ("f", "not JSON"), ("h", "blank dedupe_key")]
     # without a request nothing is pruned; nothing at all changes nothing
     after, replies, bad = apply_backlog(stored, requests(spark, ("other", "x", "{}")), now)

@@ -14,7 +14,7 @@ from skysift.functions.scores import ap_risk, distance_similarity, dns_score, se
 from skysift.functions.text import normalized, sanitized, tokens
 from skysift.operators.components import components
 from skysift.operators.knn import nearest
-from skysift.operators.match import null_tolerant_anti
+from skysift.operators.match import null_tolerant_anti, single_match
 from skysift.operators.merge import add_unless, insert_only, merge_rows
 from skysift.plans.frames import behavior, sessions, timing, transitions
 from skysift.plans.identity import identity_clusters
@@ -163,15 +163,17 @@ def test_nearest(spark):
     assert sorted(got) == [(1, 2, 2), (1, 4, 1)]
 
 
-def test_null_tolerant_anti(spark, monkeypatch):
-    import skysift.operators.match as match
-
-    rows = spark.createDataFrame([("l1", "b1"), ("l2", "b2"), ("l3", None), (None, None)], "location_id string, bssid string")
-    pats = spark.createDataFrame([("l1", None), (None, "b9"), ("l3", "b3")], rows.schema)
-    want = {("l2", "b2"), ("l3", None), (None, None)}
-    assert {tuple(r) for r in null_tolerant_anti(rows, pats, rows.columns).collect()} == want
-    monkeypatch.setattr(match, "BROADCAST_ROWS", 0)
-    assert {tuple(r) for r in null_tolerant_anti(rows, pats, rows.columns).collect()} == want
+def test_null_tolerant_matches(spark):
+    rows = spark.createDataFrame([("l1", "b1"), ("l2", "b2"), ("l3", None), (None, None), ("l2", "b2")], "location_id string, bssid string")
+    pats = spark.createDataFrame([("l1", None, "x"), (None, "b9", "y"), ("l3", "b3", "z"), ("l2", None, "u"), ("l2", "b2", "v")], "location_id string, bssid string, ssid string")
+    on = rows.columns
+    assert sorted(tuple(r) for r in null_tolerant_anti(rows, pats.where("ssid < 'u' or ssid > 'v'"), on).collect() if r.location_id) == [("l2", "b2"), ("l2", "b2"), ("l3", None)]
+    assert null_tolerant_anti(rows, spark.createDataFrame([(None, None)], rows.schema), on).count() == 0
+    assert null_tolerant_anti(rows, pats.where("false"), on).count() == 5
+    assert [tuple(r) for r in single_match(rows, pats, on, "ssid").collect()] == [("l1", "b1", "x")]
+    every = pats.unionByName(spark.createDataFrame([(None, None, "w")], pats.schema))
+    assert sorted((r.location_id or "-", r.ssid) for r in single_match(rows, every, on, "ssid").collect()) == [("-", "w"), ("l3", "w")]
+    assert single_match(rows, pats.where("false"), on, "ssid").count() == 0
 
 
 FRAME = "dedupe_key string, source_mac string, observed_at timestamp_ntz, location_id string, sensor_id string, frame_type string, frame_subtype string, signal_dbm int, retry boolean, protected boolean, bssid string, adjacent_mac_hint string, tsft_delta_us long, wall_clock_delta_ms long, session_key string, window_start timestamp"
